@@ -14,6 +14,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from article_warehouse import operators as op, plans, schemas as S
+from article_warehouse.files import stored_bytes
 from article_warehouse.operators.calendar import calendar_days
 from article_warehouse.scratch import scratch_folder
 from article_warehouse.sources import FrameSource, articles_from_documents
@@ -129,13 +130,14 @@ def reconcile_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Load jobs, each in a warehouse of its own
 
 
-def _warehouse(spark: SparkSession) -> plans.Warehouse:
+def _warehouse(spark: SparkSession, sf_dir: str) -> plans.Warehouse:
     name = f"article_warehouse_{uuid.uuid4().hex[:12]}"
-    return plans.Warehouse(spark, f"{scratch_folder(spark)}/{name}", name)
+    layout = plans.Layout.for_bytes(stored_bytes(spark, f"{sf_dir}/documents.parquet"))
+    return plans.Warehouse(spark, f"{scratch_folder(spark)}/{name}", name, layout)
 
 
 def _backfilled(spark: SparkSession, sf_dir: str) -> plans.Warehouse:
-    warehouse = _warehouse(spark)
+    warehouse = _warehouse(spark, sf_dir)
     plans.run_backfill(FrameSource(articles(spark, sf_dir)), warehouse, BACKFILLED)
     return warehouse
 

@@ -9,7 +9,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
-from article_warehouse.functions import utc_naive, utc_now
+from article_warehouse.functions import instant, utc_naive, utc_now
 from article_warehouse.operators.merge import merge_upsert
 from article_warehouse.plans.warehouse import Warehouse
 from article_warehouse.schemas import CONTROL, CONTROL_SCHEMA
@@ -35,9 +35,15 @@ def control_entry(
     at: datetime | None = None,
 ) -> DataFrame:
     """One control row; ``last_success_at`` is set whatever the state."""
-    mark = utc_naive(watermark) if watermark is not None else None
-    when = utc_naive(at) if at is not None else utc_now()
-    return spark.createDataFrame([(process, state, mark, when, details_text(details))], CONTROL_SCHEMA)
+    values = {
+        "process_name": F.lit(process),
+        "state": F.lit(state),
+        "watermark": instant(watermark) if watermark is not None else F.lit(None),
+        "last_success_at": instant(at if at is not None else utc_now()),
+        "details": F.lit(details_text(details)),
+    }
+    columns = [values[field.name].cast(field.dataType).alias(field.name) for field in CONTROL_SCHEMA]
+    return spark.range(1, numPartitions=1).select(*columns)
 
 
 def upsert_control(

@@ -16,6 +16,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from article_warehouse import schemas as S
+from article_warehouse.files import delete_folder, subfolders
 from article_warehouse.functions import instant, utc_naive, utc_now
 from article_warehouse.operators.authors import author_dimension
 from article_warehouse.operators.calendar import date_dimension
@@ -62,8 +63,9 @@ class Layout:
     @classmethod
     def for_bytes(cls, total: int, years: int = 10, per_partition: int = 16 << 30) -> Layout:
         """The coarsest layout that keeps an average partition within ``per_partition`` bytes."""
-        if total <= 12 * years * per_partition:
-            return cls("month")
+        for grain, periods in (("year", years), ("month", 12 * years)):
+            if total <= periods * per_partition:
+                return cls(grain)
         return cls("day", min(max(1, -(-total // (365 * years * per_partition))), 1000))
 
     def period(self, created: Column) -> Column:
@@ -246,7 +248,7 @@ class Warehouse:
             yield staged
         finally:
             if not staged.taken_over:
-                self._discard(staged.folder)
+                delete_folder(self.spark, staged.folder)
 
     def _fill(self, staged: StagedBatch, batch: DataFrame, on_duplicate: str) -> None:
         staged.location = f"{staged.folder}/batch"
@@ -331,7 +333,7 @@ class Warehouse:
             self._publish({partition: _folder(location, partition) for partition in touched}, set())
             return count
         finally:
-            self._discard(folder)
+            delete_folder(self.spark, folder)
 
     def _write(self, rows: DataFrame, location: str) -> None:
         rows.write.mode("errorifexists").parquet(location)
@@ -375,7 +377,7 @@ class Warehouse:
         self._set_property(_PENDING, plan)
         self._carry_out(entries)
         self._set_property(_PENDING, "")
-        self._discard(plan)
+        delete_folder(self.spark, plan)
 
     def finish_publication(self) -> None:
         """Carry out a committed publication that was interrupted."""
@@ -383,7 +385,7 @@ class Warehouse:
         if plan:
             self._carry_out([tuple(row) for row in self.spark.read.parquet(plan).collect()])
             self._set_property(_PENDING, "")
-            self._discard(plan)
+            delete_folder(self.spark, plan)
 
     def _carry_out(self, entries: list[tuple[int, int, str | None]]) -> None:
         existing = self.partitions()
@@ -421,11 +423,11 @@ class Warehouse:
         removed = []
         for table in (S.FACT, S.DATES, S.AUTHORS, S.CONTROL):
             used = self._runs_in_use(table)
-            for run in self._subfolders(f"{self.root}/{table}"):
+            for run in subfolders(self.spark, f"{self.root}/{table}"):
                 if run not in used and _run_time(run) is not None and _run_time(run) <= limit:
                     removed.append(f"{self.root}/{table}/{run}")
         for folder in removed:
-            self._discard(folder)
+            delete_folder(self.spark, folder)
         return removed
 
     def _runs_in_use(self, table: str) -> set[str]:
@@ -436,20 +438,6 @@ class Warehouse:
         location = described.where(F.col("col_name") == "Location").first()["data_type"]
         return {row["run"] for row in rows} | {location.rstrip("/").split("/")[-1]}
 
-    def _path(self, folder: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
-        return path, path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
-
-    def _subfolders(self, folder: str) -> list[str]:
-        path, files = self._path(folder)
-        if not files.exists(path):
-            return []
-        return [status.getPath().getName() for status in files.listStatus(path) if status.isDirectory()]
-
-    def _discard(self, folder: str) -> None:
-        path, files = self._path(folder)
-        files.delete(path, True)
-
 
 def _folder(location: str, partition: Partition) -> str:
     return f"{location}/{PERIOD}={partition[0]}/{SLICE}={partition[1]}"
