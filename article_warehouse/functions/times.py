@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 BUSINESS_ZONE = "Asia/Jakarta"
 
 # Anything after the time of day is a zone: "Z", "+07", "+07:00", "UTC", "Asia/Jakarta".
-_ZONED_TEXT = r"^\s*\d{4}-\d{1,2}-\d{1,2}[T ]\s*\d{1,2}:\d{1,2}(:\d{1,2}(\.\d*)?)?\s*[^\s\d.:]"
+_MINUTES = r"^(\s*\d{4}-\d{1,2}-\d{1,2}[T ]\d{1,2}:\d{1,2})"
+_ZONED_TEXT = _MINUTES + r"(:\d{1,2}(\.\d*)?)?\s*[^\s\d.:]"
+_ZONED_WITHOUT_SECONDS = _MINUTES + r"(?=\s*[^\s\d.:])"
 
 
 def utc_naive(value: datetime | str) -> datetime:
@@ -58,10 +60,10 @@ def to_utc(df: DataFrame, name: str) -> Column:
     if isinstance(kind, T.TimestampType):
         return _wall_time_utc(column)
     if isinstance(kind, T.StringType):
-        zoned = column.rlike(_ZONED_TEXT)
-        return F.when(zoned, _wall_time_utc(column.try_cast("timestamp"))).otherwise(
-            column.try_cast("timestamp_ntz")
-        )
+        complete = F.regexp_replace(column, _ZONED_WITHOUT_SECONDS, "$1:00")
+        return F.when(
+            column.rlike(_ZONED_TEXT), _wall_time_utc(complete.try_cast("timestamp"))
+        ).otherwise(column.try_cast("timestamp_ntz"))
     if isinstance(kind, T.NullType):
         return column.cast("timestamp_ntz")
     return column.try_cast("timestamp_ntz")

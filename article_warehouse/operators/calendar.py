@@ -46,8 +46,8 @@ def calendar_days(span: DataFrame) -> DataFrame:
         "day_name": _name(DAY_NAMES, weekday),
         "is_weekend": weekday.isin(6, 7),
     }
+    days = F.sequence("first_day", "last_day", F.expr("interval 1 day"))
     return (
-        span.where(F.col("first_day") <= F.col("last_day"))
-        .select(F.explode(F.sequence("first_day", "last_day", F.expr("interval 1 day"))).alias("date_actual"))
+        span.select(F.explode(F.when(F.col("first_day") <= F.col("last_day"), days)).alias("date_actual"))
         .select(*[attributes[field.name].cast(field.dataType).alias(field.name) for field in DATES_SCHEMA.fields])
     )

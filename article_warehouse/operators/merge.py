@@ -37,7 +37,7 @@ def merge_upsert(
         batch = batch.join(old, key, "left").select(
             *[values.get(name, F.col(name)).alias(name) for name in target.columns]
         )
-    untouched = target.join(batch.select(key), key, "left_anti")
+    untouched = target.join(batch.select(key), key, "left_anti").select(target.columns)
     return untouched.unionByName(batch.select(target.columns))
 
 
