@@ -15,14 +15,31 @@ class DuplicateKeyError(ValueError):
     """A merge batch holds more than one row for a key."""
 
 
+# Keys are short texts; this many take about 100 MB in a broadcast table.
+BROADCAST_KEYS = 1_000_000
+
+
+def sized_keys(keys: DataFrame, count: int) -> DataFrame:
+    """Keys whose number was counted, marked for broadcast if they are few enough.
+
+    Joined with many keys, both sides are shuffled as usual.
+    """
+    return F.broadcast(keys) if count <= BROADCAST_KEYS else keys
+
+
 def merge_upsert(
-    target: DataFrame, batch: DataFrame, key: str = ARTICLE_KEY, keep: Sequence[str] = ()
+    target: DataFrame,
+    batch: DataFrame,
+    key: str = ARTICLE_KEY,
+    keep: Sequence[str] = (),
+    batch_rows: int | None = None,
 ) -> DataFrame:
     """``target`` after overwriting matched rows with those of ``batch`` and adding the others.
 
     The batch wins whatever its times say, and nothing is deleted. Columns that the batch lacks,
     and those named in ``keep``, hold on to the value of a matched row. ``article_key`` equals
-    the key, so it needs no keeping. ``batch`` must have one row per key.
+    the key, so it needs no keeping. ``batch`` must have one row per key. With a known, small
+    number of ``batch_rows`` the target is not shuffled.
     """
     kept = [name for name in target.columns if name in keep or name not in batch.columns]
     if kept:
@@ -37,7 +54,10 @@ def merge_upsert(
         batch = batch.join(old, key, "left").select(
             *[values.get(name, F.col(name)).alias(name) for name in target.columns]
         )
-    untouched = target.join(batch.select(key), key, "left_anti").select(target.columns)
+    keys = batch.select(key)
+    if batch_rows is not None:
+        keys = sized_keys(keys, batch_rows)
+    untouched = target.join(keys, key, "left_anti").select(target.columns)
     return untouched.unionByName(batch.select(target.columns))
 
 

@@ -34,14 +34,15 @@ def run_backfill(
     start: datetime = HISTORY_START,
     chunk_days: int = CHUNK_DAYS,
     batch_size: int = BATCH_SIZE,
-    on_duplicate: str = "error",
+    on_duplicate: str | None = None,
     zone: str = BUSINESS_ZONE,
 ) -> int:
     """Load all history from ``start`` to now once; returns the number of rows loaded.
 
     The mark left for incremental loads is the time at which the backfill began, so rows that
     change while it runs are read again. ``batch_size`` sizes the reported batches; the load
-    itself is one job over all windows.
+    itself is one job over all windows. ``on_duplicate`` handles repeated keys; by default it is
+    what the source recommends.
     """
     warehouse.bootstrap()
     done = control_record(warehouse, BACKFILL_PROCESS)
@@ -62,7 +63,7 @@ def run_backfill(
     upsert_control(warehouse, BACKFILL_PROCESS, RUNNING, began, sizes, as_of)
 
     batch = transform_articles(source.created(start, began, chunk_days), zone)
-    with warehouse.staged(batch, on_duplicate) as staged:
+    with warehouse.staged(batch, on_duplicate or source.on_duplicate) as staged:
         warehouse.merge_staged(staged)
         totals = (
             window_totals(staged.rows, start, began, chunk_days, batch_size)
@@ -92,7 +93,7 @@ def run_incremental(
     interval_end: datetime,
     as_of: datetime | None = None,
     lookback: timedelta = timedelta(0),
-    on_duplicate: str = "error",
+    on_duplicate: str | None = None,
     zone: str = BUSINESS_ZONE,
 ) -> int | None:
     """Load rows changed since the mark, up to the end of the interval; returns their number.
@@ -107,7 +108,7 @@ def run_incremental(
         return None
 
     batch = transform_articles(source.changed(mark - lookback, end), zone)
-    loaded = warehouse.merge_fact(batch, on_duplicate)
+    loaded = warehouse.merge_fact(batch, on_duplicate or source.on_duplicate)
     if loaded:
         warehouse.refresh_authors(as_of or utc_now())
     summary = {"rows_loaded": loaded, "window_start": mark, "window_end": end}

@@ -27,6 +27,7 @@ from article_warehouse.operators.merge import (
     merge_upsert,
     missing_from_source,
     require_unique,
+    sized_keys,
 )
 
 PERIOD, SLICE = "created_period", "key_slice"
@@ -282,7 +283,7 @@ class Warehouse:
         if not staged.row_count:
             return
         fact, existing = self.spark.table(self.name(S.FACT)), self.partitions()
-        keys = staged.rows.select(S.ARTICLE_KEY, SLICE)
+        keys = sized_keys(staged.rows.select(S.ARTICLE_KEY, SLICE), staged.row_count)
         current = _distinct_partitions(fact.join(keys, [S.ARTICLE_KEY, SLICE], "left_semi")) if existing else set()
         incoming = _distinct_partitions(staged.rows)
         # Columns that only the table has keep their value, which the stored files do not hold.
@@ -293,7 +294,7 @@ class Warehouse:
         dropped: set[Partition] = set()
         if rewritten:
             location = self._new_folder(S.FACT)
-            merged = merge_upsert(fact.where(_within(rewritten)), staged.rows)
+            merged = merge_upsert(fact.where(_within(rewritten)), staged.rows, batch_rows=staged.row_count)
             self._write_fact(merged.where(_within(rewritten)), location)
             written = _distinct_partitions(self._fact_files(location, fact.columns))
             published |= {partition: _folder(location, partition) for partition in written}
@@ -324,9 +325,8 @@ class Warehouse:
                 if count > max_delete_fraction * active:
                     raise DeleteGuardError(f"{count} of {active} active rows are missing from the source")
             touched = _distinct_partitions(missing)
-            rows = fact.where(_within(touched)).join(
-                missing.withColumn("missing", F.lit(True)), [S.ARTICLE_KEY, *PARTITION], "left"
-            )
+            flags = sized_keys(missing.withColumn("missing", F.lit(True)), count)
+            rows = fact.where(_within(touched)).join(flags, [S.ARTICLE_KEY, *PARTITION], "left")
             gone = F.col("missing") & (F.col("is_deleted") == F.lit(False))
             location = self._new_folder(S.FACT)
             self._write_fact(mark_deleted(rows, gone, as_of).select(*fact.columns), location)

@@ -15,6 +15,9 @@ from article_warehouse.sources.jdbc import JdbcSource
 class FrameSource:
     """Articles held in files or in any DataFrame; the scan prunes columns and row groups."""
 
+    # A key occurs once; anything else is a fault.
+    on_duplicate = "error"
+
     def __init__(self, articles: DataFrame):
         self.articles = articles.select(*ARTICLES_SCHEMA.names)
 

@@ -60,6 +60,9 @@ class JdbcSource:
     of ranges that a window of changes is cut into.
     """
 
+    # Parallel reads are not one snapshot: a row that changes in between can be read twice.
+    on_duplicate = "latest"
+
     def __init__(
         self,
         spark: SparkSession,
