@@ -62,7 +62,7 @@ class Layout:
             raise ValueError("slices must be between 1 and 1000")
 
     @classmethod
-    def for_bytes(cls, total: int, years: int = 10, per_partition: int = 16 << 30) -> Layout:
+    def for_bytes(cls, total: int, years: int = 10, per_partition: int = 4 << 30) -> Layout:
         """The coarsest layout that keeps an average partition within ``per_partition`` bytes."""
         for grain, periods in (("year", years), ("month", 12 * years)):
             if total <= periods * per_partition:

@@ -64,6 +64,27 @@ def new_warehouse(spark, tmp_path, layout=plans.Layout("year")):
     return plans.Warehouse(spark, f"{tmp_path}/{name}", name, layout)
 
 
+def clone(original, tmp_path):
+    """A warehouse of its own that starts from the files of ``original``; files never change."""
+    spark, copy = original.spark, new_warehouse(original.spark, tmp_path, original.layout)
+    spark.sql(f"create database {copy.database} location '{copy.root}'")
+    for table in (S.FACT, S.DATES, S.AUTHORS, S.CONTROL):
+        properties = ", ".join(f"'{k}' = '{v}'" for k, v in {"cloned": "yes", **original._properties(table)}.items())
+        spark.sql(
+            f"create table {copy.name(table)} like {original.name(table)} using parquet "
+            f"location '{_location(original, table)}' tblproperties ({properties})"
+        )
+    for period, part in original.partitions():
+        spec = f"partition (created_period = {period}, key_slice = {part})"
+        copy._alter_fact(f"add {spec} location '{_location(original, S.FACT, spec)}'")
+    return copy
+
+
+def _location(warehouse, table, spec=""):
+    described = warehouse.spark.sql(f"describe table extended {warehouse.name(table)} {spec}")
+    return described.where("col_name = 'Location'").collect()[0]["data_type"]
+
+
 def local(text):
     """A time of the business zone, as UTC."""
     return datetime.fromisoformat(text) - timedelta(hours=7)

@@ -2,7 +2,7 @@ import json
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import AS_OF, article, frame, local, new_warehouse, seed_rows, sorted_rows
+from conftest import AS_OF, article, clone, frame, local, new_warehouse, seed_rows, sorted_rows
 
 from article_warehouse import plans, schemas as S
 from article_warehouse.operators import DuplicateKeyError, date_dimension
@@ -20,13 +20,19 @@ def hourly(spark, warehouse, rows, at):
     return plans.run_hourly(source(spark, rows), warehouse, at - HOUR, at, at)
 
 
-@pytest.fixture
-def seeded(spark, warehouse):
-    """A warehouse after its first hourly run over the seed cases."""
+@pytest.fixture(scope="module")
+def first_run(spark, tmp_path_factory):
+    warehouse = new_warehouse(spark, tmp_path_factory.mktemp("seed"))
     assert hourly(spark, warehouse, seed_rows(), AS_OF) == {"backfilled": 8, "changed": None, "marked_deleted": 0}
     return warehouse
 
 
+@pytest.fixture
+def seeded(first_run, tmp_path):
+    """A warehouse after its first hourly run over the seed cases."""
+    return clone(first_run, tmp_path)
+
+
 def revised(rows, id, **changes):
     names = S.ARTICLES_SCHEMA.names
     return [tuple({**dict(zip(names, row)), **changes}.values()) if row[0] == id else row for row in rows]
