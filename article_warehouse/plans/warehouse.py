@@ -91,14 +91,15 @@ class Layout:
         )
 
 
-def _partition_number(period: Column | int, part: Column | int) -> Column | int:
-    return period * 1000 + part
-
-
 def _within(partitions: Iterable[Partition]) -> Column:
     """Rows of the given partitions; it refers to partition columns only, so other files are not read."""
-    numbers = sorted(_partition_number(*partition) for partition in partitions)
-    return _partition_number(F.col(PERIOD).cast("bigint"), F.col(SLICE)).isin(numbers)
+    partitions = sorted(partitions)
+    listed = ", ".join(f"{period * 1000 + part}L" for period, part in partitions)
+    # The range of periods is the part that a catalog can evaluate itself.
+    return F.expr(
+        f"{PERIOD} BETWEEN {partitions[0][0]} AND {partitions[-1][0]} "
+        f"AND {PERIOD} * 1000L + {SLICE} IN ({listed})"
+    )
 
 
 def _distinct_partitions(rows: DataFrame) -> set[Partition]:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F, types as T
 
 from article_warehouse import operators as op, plans, schemas as S
 from article_warehouse.files import subfolders
+from article_warehouse.operators import merge
 from article_warehouse.plans import warehouse as storage
 
 DAY = datetime(2020, 1, 1)
@@ -147,6 +148,31 @@ def test_merge_equals_the_pure_operator(spark, stocked):
     assert sorted_rows(stocked.table(S.FACT)) == expected
 
 
+def test_large_key_sets_are_shuffled_instead_of_broadcast(spark, stocked, monkeypatch):
+    monkeypatch.setattr(merge, "BROADCAST_KEYS", 0)
+    before = stocked.table(S.FACT).cache()
+    batch = _fact(spark, article(4, DAY, title="x"), article(6, DAY + timedelta(days=900))).cache()
+    ids = spark.createDataFrame([("1",), ("4",), ("6",)], "article_id string")
+    merged = op.merge_upsert(before, batch)
+    expected = sorted_rows(op.reconcile_deletes(merged, ids, NOW))
+    stocked.merge_fact(batch)
+    assert stocked.mark_missing(ids, NOW) == 2
+    assert sorted_rows(stocked.table(S.FACT)) == expected
+
+
+def test_an_hourly_merge_shuffles_for_the_file_layout_only(spark, stocked):
+    with stocked.staged(_fact(spark, article(2, DAY, title="B"))) as staged:
+        fact = spark.table(stocked.name(S.FACT)).where(storage._within(staged_partitions(staged)))
+        merged = op.merge_upsert(fact, staged.rows, batch_rows=staged.row_count)
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    assert plan.count("PartitionFilters: [isnotnull(created_period") == 1
+
+
+def staged_partitions(staged):
+    return {tuple(row) for row in staged.rows.select(*storage.PARTITION).collect()}
+
+
 def test_an_empty_batch_changes_nothing(spark, stocked):
     before = subfolders(spark, f"{stocked.root}/{S.FACT}")
     assert stocked.merge_fact(_fact(spark)) == 0
