@@ -184,6 +184,10 @@ def audit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.audit_counts(articles(spark, sf_dir), fact(spark, sf_dir), dates, authors(spark, sf_dir))
 
 
+def source_id_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plans.source_id_count(op.source_ids(remaining_articles(spark, sf_dir)))
+
+
 def article_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.article_state(reconcile_deletes(spark, sf_dir), "2")
 
@@ -230,6 +234,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "authors_after_run": authors_after_run,
         "control_after_run": control_after_run,
         "audit_counts": audit_counts,
+        "source_id_count": source_id_count,
         "article_state": article_state,
         "star_year_quarter": star_year_quarter,
         "star_author_active": star_author_active,
@@ -416,6 +421,7 @@ union all select 'fact_rows', count(*) from fact
 union all select 'deleted_rows', count(*) filter (where is_deleted) from fact
 union all select 'date_rows', count(*) from dates
 union all select 'author_rows', count(*) from authors""",
+        "source_id_count": f"with {_ARTICLES}, {_REMAINING} select count(*) as source_ids from remaining",
         "article_state": f"""with {_FACT}, {_REMAINING}, final as ({_reconciled_sql("fact")})
 select article_id, is_deleted, deleted_at from final where article_id = '2'""",
         "star_year_quarter": f"""{star}

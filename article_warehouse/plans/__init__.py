@@ -1,4 +1,4 @@
-from article_warehouse.plans.audits import article_state, audit_counts, control_records
+from article_warehouse.plans.audits import article_state, audit_counts, control_records, source_id_count
 from article_warehouse.plans.control import control_mark, control_record, upsert_control
 from article_warehouse.plans.jobs import run_backfill, run_delete_sync, run_hourly, run_incremental
 from article_warehouse.plans.star import (
@@ -25,6 +25,7 @@ __all__ = [
     "run_delete_sync",
     "run_hourly",
     "run_incremental",
+    "source_id_count",
     "upsert_control",
     "weekend_share_per_author",
 ]

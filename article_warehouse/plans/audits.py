@@ -26,6 +26,11 @@ def audit_counts(articles: DataFrame, fact: DataFrame, dates: DataFrame, authors
     return reduce(DataFrame.unionByName, parts)
 
 
+def source_id_count(ids: DataFrame) -> DataFrame:
+    """Number of source ids that a delete reconciliation compares with."""
+    return ids.agg(F.count(F.lit(1)).alias("source_ids"))
+
+
 def article_state(fact: DataFrame, article_id: str) -> DataFrame:
     """Deletion state of one article."""
     return fact.where(F.col(ARTICLE_KEY) == article_id).select(ARTICLE_KEY, "is_deleted", "deleted_at")
