@@ -132,7 +132,8 @@ def reconcile_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _warehouse(spark: SparkSession, sf_dir: str) -> plans.Warehouse:
     name = f"article_warehouse_{uuid.uuid4().hex[:12]}"
-    layout = plans.Layout.for_bytes(stored_bytes(spark, f"{sf_dir}/documents.parquet"))
+    size = stored_bytes(spark, f"{sf_dir}/documents.parquet")
+    layout = plans.Layout.for_articles(articles(spark, sf_dir), size)
     return plans.Warehouse(spark, f"{scratch_folder(spark)}/{name}", name, layout)
 
 

@@ -7,8 +7,9 @@ job leaves every table as it was. There is one writer at a time.
 
 from __future__ import annotations
 
+import math
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Mapping
 from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime, timedelta
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from article_warehouse import schemas as S
 from article_warehouse.files import delete_folder, subfolders
-from article_warehouse.functions import instant, utc_naive, utc_now
+from article_warehouse.functions import instant, to_utc, utc_naive, utc_now
 from article_warehouse.operators.authors import author_dimension
 from article_warehouse.operators.calendar import date_dimension
 from article_warehouse.operators.merge import (
@@ -44,30 +45,61 @@ class DeleteGuardError(RuntimeError):
     """A delete reconciliation would mark more rows than allowed."""
 
 
+MAX_SLICES = 1000
+PARTITION_BYTES = 4 << 30
+
+
+def _slices_for(size: float, per_partition: int) -> int:
+    return min(max(1, math.ceil(size / per_partition)), MAX_SLICES)
+
+
 @dataclass(frozen=True)
 class Layout:
     """Physical partitions of the fact: a UTC period of ``created_at`` and a slice of the keys.
 
-    A merge rewrites the partitions it touches, so they bound its cost. Slicing by key divides a
-    period that holds a large share of all rows.
+    A merge rewrites the partitions it touches, so they bound its cost. ``hot`` gives periods that
+    hold far more rows than others a number of slices of their own.
     """
 
     grain: str = "month"
     slices: int = 1
+    hot: tuple[tuple[int, int], ...] = ()
 
     def __post_init__(self) -> None:
         if self.grain not in ("day", "month", "year"):
             raise ValueError(f"unknown grain: {self.grain}")
-        if not 1 <= self.slices <= 1000:
-            raise ValueError("slices must be between 1 and 1000")
+        if not all(1 <= slices <= MAX_SLICES for slices in (self.slices, *dict(self.hot).values())):
+            raise ValueError(f"slices must be between 1 and {MAX_SLICES}")
 
     @classmethod
-    def for_bytes(cls, total: int, years: int = 10, per_partition: int = 4 << 30) -> Layout:
+    def for_bytes(cls, total: int, years: int = 10, per_partition: int = PARTITION_BYTES) -> Layout:
         """The coarsest layout that keeps an average partition within ``per_partition`` bytes."""
         for grain, periods in (("year", years), ("month", 12 * years)):
             if total <= periods * per_partition:
                 return cls(grain)
-        return cls("day", min(max(1, -(-total // (365 * years * per_partition))), 1000))
+        return cls("day", _slices_for(total / (365 * years), per_partition))
+
+    @classmethod
+    def for_articles(cls, articles: DataFrame, total: int, per_partition: int = PARTITION_BYTES) -> Layout:
+        """A layout for ``total`` bytes spread over periods as the creation times of ``articles`` are."""
+        grain = cls.for_bytes(total, per_partition=per_partition).grain
+        period = cls(grain).period(to_utc(articles, "created_at"))
+        # One row per period.
+        counts = dict(tuple(row) for row in articles.groupBy(period).count().collect())
+        rows = sum(counts.values())
+        needed = {p: _slices_for(total * count / rows, per_partition) for p, count in counts.items()}
+        usual = sorted(needed.values())[len(needed) // 2] if needed else 1
+        return cls(grain, usual, tuple(sorted((p, n) for p, n in needed.items() if n > 2 * usual)))
+
+    @classmethod
+    def from_properties(cls, properties: Mapping[str, str]) -> Layout:
+        prefix = "layout.slices."
+        hot = sorted((int(k.removeprefix(prefix)), int(v)) for k, v in properties.items() if k.startswith(prefix))
+        return cls(properties["layout.grain"], int(properties["layout.slices"]), tuple(hot))
+
+    def properties(self) -> dict[str, str]:
+        hot = {f"layout.slices.{period}": str(slices) for period, slices in self.hot}
+        return {"layout.grain": self.grain, "layout.slices": str(self.slices), **hot}
 
     def period(self, created: Column) -> Column:
         """The period as an integer such as 201612; 0 for a row without creation time."""
@@ -82,13 +114,16 @@ class Layout:
         text = value.strftime("%Y%m%d")
         return int(text[: {"year": 4, "month": 6, "day": 8}[self.grain]])
 
-    def slice(self, key: Column) -> Column:
-        return F.pmod(F.xxhash64(key), F.lit(self.slices)).cast("int")
+    def slice(self, key: Column, period: Column) -> Column:
+        slices = F.lit(self.slices)
+        if self.hot:
+            counts = F.create_map(*[F.lit(number) for entry in self.hot for number in entry])
+            slices = F.coalesce(F.try_element_at(counts, period), slices)
+        return F.pmod(F.xxhash64(key), slices).cast("int")
 
     def place(self, rows: DataFrame) -> DataFrame:
-        return rows.withColumns(
-            {PERIOD: self.period(F.col("created_at")), SLICE: self.slice(F.col(S.ARTICLE_KEY))}
-        )
+        placed = rows.withColumn(PERIOD, self.period(F.col("created_at")))
+        return placed.withColumn(SLICE, self.slice(F.col(S.ARTICLE_KEY), F.col(PERIOD)))
 
 
 def _within(partitions: Iterable[Partition]) -> Column:
@@ -159,14 +194,14 @@ class Warehouse:
         """One fact row, looked up in its slice of the keys."""
         frame = self.spark.table(self.name(S.FACT))
         key = F.lit(article_id)
-        rows = frame.where(F.col(SLICE) == self.layout.slice(key)).where(F.col(S.ARTICLE_KEY) == key)
+        own_slice = F.col(SLICE) == self.layout.slice(key, F.col(PERIOD))
+        rows = frame.where(own_slice).where(F.col(S.ARTICLE_KEY) == key)
         return rows.drop(*PARTITION)
 
     @property
     def layout(self) -> Layout:
         """The layout that the fact was created with."""
-        stored = self._properties(S.FACT)
-        return Layout(stored["layout.grain"], int(stored["layout.slices"]))
+        return Layout.from_properties(self._properties(S.FACT))
 
     def ensure_table(
         self,
@@ -205,13 +240,12 @@ class Warehouse:
             f"CREATE DATABASE IF NOT EXISTS {self.database} "
             f"COMMENT 'Article star schema' LOCATION {_quoted(self.root)}"
         )
-        wanted = self._wanted_layout
         self.ensure_table(
             S.FACT,
             S.FACT_SCHEMA,
             "Articles, one row per article_id",
             PARTITION_SCHEMA,
-            {"layout.grain": wanted.grain, "layout.slices": str(wanted.slices)},
+            self._wanted_layout.properties(),
         )
         self.ensure_table(S.DATES, S.DATES_SCHEMA, "Calendar days, one row per date_key")
         self.ensure_table(S.AUTHORS, S.AUTHORS_SCHEMA, "Authors seen in the articles, one row per author_id")
@@ -284,8 +318,8 @@ class Warehouse:
         if not staged.row_count:
             return
         fact, existing = self.spark.table(self.name(S.FACT)), self.partitions()
-        keys = sized_keys(staged.rows.select(S.ARTICLE_KEY, SLICE), staged.row_count)
-        current = _distinct_partitions(fact.join(keys, [S.ARTICLE_KEY, SLICE], "left_semi")) if existing else set()
+        keys = sized_keys(staged.rows.select(S.ARTICLE_KEY), staged.row_count)
+        current = _distinct_partitions(fact.join(keys, S.ARTICLE_KEY, "left_semi")) if existing else set()
         incoming = _distinct_partitions(staged.rows)
         # Columns that only the table has keep their value, which the stored files do not hold.
         complete = set(fact.columns) == set(staged.rows.columns)

@@ -66,11 +66,33 @@ def test_layout_follows_the_size():
     assert plans.Layout.for_bytes(1 << 30) == plans.Layout("year")
     assert plans.Layout.for_bytes(400 << 30) == plans.Layout("month")
     assert plans.Layout.for_bytes(100 << 40) == plans.Layout("day", 8)
-    for wrong in (("week", 1), ("day", 0), ("day", 1001)):
+    for wrong in (("week", 1), ("day", 0), ("day", 1001), ("day", 1, ((20200101, 0),))):
         with pytest.raises(ValueError):
             plans.Layout(*wrong)
 
 
+def test_a_hot_period_gets_slices_of_its_own(spark, tmp_path):
+    # A third of all rows share one creation time.
+    rows = [article(i, DAY if i % 3 == 0 else DAY + timedelta(days=i)) for i in range(1, 301)]
+    layout = plans.Layout.for_articles(frame(spark, rows), total=300 * 1000, per_partition=2400)
+    assert layout.grain == "day" and layout.slices == 1
+    assert layout.hot == ((20200101, 42),)
+    warehouse = new_warehouse(spark, tmp_path, plans.Layout("year", 2, ((2020, 16),)))
+    warehouse.bootstrap()
+    assert warehouse.layout == plans.Layout("year", 2, ((2020, 16),))
+    warehouse.merge_fact(_fact(spark, *[article(i, DAY if i % 3 else DAY - timedelta(days=9)) for i in range(1, 61)]))
+    parts = warehouse.partitions()
+    assert {part for period, part in parts if period == 2019} == {0, 1}
+    assert len({part for period, part in parts if period == 2020}) > 10
+    # Rows move between periods with different numbers of slices.
+    batch = [article(i, DAY if i % 3 == 0 else DAY - timedelta(days=9), title="moved") for i in (3, 4, 5, 6)]
+    warehouse.merge_fact(_fact(spark, *batch))
+    assert sorted_rows(warehouse.table(S.FACT).where("title = 'moved'"), "article_id") == [("3",), ("4",), ("5",), ("6",)]
+    assert warehouse.table(S.FACT).count() == 60
+    assert [warehouse.article(str(i)).count() for i in (3, 4, 7, 9, 61)] == [1, 1, 1, 1, 0]
+    assert warehouse.mark_missing(spark.createDataFrame([("3",)], "article_id string"), NOW) == 59
+
+
 def test_missing_columns_are_added_and_none_dropped(spark, stocked):
     wider = T.StructType([*S.FACT_SCHEMA.fields[:3], T.StructField("note", T.StringType())])
     assert stocked.add_missing_columns(S.FACT, wider) == ["note"]
