@@ -19,6 +19,14 @@ from article_warehouse.operators.calendar import calendar_days
 from article_warehouse.scratch import scratch_folder
 from article_warehouse.sources import FrameSource, articles_from_documents
 
+try:  # these may be left out of a build
+    import corpus_pipeline
+    from article_warehouse.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "article_warehouse.llm"):
+        raise
+    llm = None
+
 # Times of the scenario: start of history, backfill, end of the next interval, delete sync.
 START = datetime(2016, 1, 1)
 BACKFILLED = datetime(2023, 6, 1)
@@ -241,6 +249,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "star_author_active": star_author_active,
         "star_author_weekend": star_author_weekend,
         "star_author_year": star_author_year,
+        **({**llm.queries(), "pipeline": corpus_pipeline.run} if llm else {}),
     }
 
 
@@ -442,4 +451,5 @@ select author_id, count(*) as articles, count(*) filter (where is_weekend) as we
 select author_id, author_name, year, count(*) as articles,
   count(*) filter (where is_deleted = false) as active_articles, cast(sum(word_count) as bigint) as words
 {published} join authors using (author_id) group by author_id, author_name, year order by author_id, year""",
+        **(llm.oracle_sql() if llm else {}),
     }
