@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +37,14 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def kept_table(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read again."""
+    spark = df.sparkSession
+    path = f"{scratch_folder(spark)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def small(df: DataFrame, most: int = 100_000) -> DataFrame:
     """``df`` with a broadcast hint if it was counted to have ``most`` rows at most, else as it is."""
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df

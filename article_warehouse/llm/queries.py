@@ -7,15 +7,40 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from article_warehouse.llm.common import table
+from article_warehouse.llm.decontaminate import SHINGLE, THRESHOLD, contaminated
 from article_warehouse.llm.exact import exact_groups
+from article_warehouse.llm.language import identify
+from article_warehouse.llm.licenses import PHRASES, TEMPLATES, WORD, license_scan
 from article_warehouse.llm.mixing import mix
+from article_warehouse.llm.quality import quality_scores
+from article_warehouse.llm.recurrent import language_model_scores
+from article_warehouse.llm.secrets import secret_digest
 from article_warehouse.llm.simhash import near_duplicates
+from article_warehouse.llm.tokens import token_counts
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digest(table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
@@ -24,11 +49,34 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model_scores(table(spark, sf_dir, "documents"))
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": op1_mixing,
+        "op2_quality": op2_quality,
+        "op3_tokens": op3_tokens,
+        "op4_secrets": op4_secrets,
         "op5_exact_dedup": op5_exact_dedup,
         "op6_simhash": op6_simhash,
+        "op7_licenses": op7_licenses,
+        "op8_decontamination": op8_decontamination,
+        "op9_language_model": op9_language_model,
+        "op10_language": op10_language,
     }
 
 
@@ -41,5 +89,62 @@ select doc_id, min(doc_id) over same as keep_id, count(*) over same as group_siz
 from hashed window same as (partition by text_sha256)"""
 
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _licenses(threshold: float = 0.8) -> str:
+    """Every line is compared with every template."""
+
+    def places(phrase: str) -> str:
+        parts = phrase.split()
+        tests = " and ".join(f"w[i + {k}] = '{part}'" for k, part in enumerate(parts))
+        return f"[i - 1 for i in range(1, len(w) - {len(parts) - 2}) if {tests}]"
+
+    every = " || ".join(places(phrase) for phrase in PHRASES)
+    base = " || ".join(f"(case when len({places(phrase)}) > 0 then ['{label}'] else [] end)" for phrase, label in PHRASES.items())
+    wanted = ", ".join(f"('{text}', '{label}')" for text, label in TEMPLATES.items())
+    return f"""
+with words as (select doc_id, regexp_extract_all({_LOWER}, '{WORD}') as w from documents),
+based as (select doc_id, cast(len(w) as bigint) as n_words, {every} as places, {base} as base from words),
+lines as (
+  select doc_id, list_distinct(regexp_extract_all(line, '{WORD}')) as w
+  from (select doc_id, unnest(string_split({_LOWER}, chr(10))) as line from documents)
+),
+templates as (
+  select label, list_distinct(string_split(template, ' ')) as wanted from (values {wanted}) as t(template, label)
+),
+shared as (
+  select doc_id, label, len(wanted) as size, len(list_intersect(w, wanted)) as shared from lines cross join templates
+),
+matched as (
+  select doc_id, list(distinct label) as labels, max(cast(shared as double) / size) as containment
+  from shared where shared >= ceil({threshold} * size - 1e-9) group by doc_id
+)
+select doc_id, n_words, cast(len(places) as bigint) as n_base,
+  cast(list_min(places) as bigint) as first_word, cast(list_max(places) as bigint) as last_word,
+  coalesce(array_to_string(list_sort(list_distinct(base)), ','), '') as base_labels,
+  coalesce(array_to_string(list_sort(list_distinct(base || coalesce(labels, []))), ','), '') as labels,
+  case when len(places) > 0 then 1.0::double else coalesce(containment, 0.0)::double end as score
+from based left join matched using (doc_id)"""
+
+
+_CONTAMINATED = f"""
+with words as (
+  select 'd' as side, doc_id as id, regexp_extract_all(lower(coalesce(text, '')), '{WORD}') as w from documents
+  union all select 'b', item_id, regexp_extract_all(lower(coalesce(text, '')), '{WORD}') from benchmark
+),
+shingles as (
+  select distinct side, id, unnest([array_to_string(w[i:i + {SHINGLE - 1}], ' ') for i in range(1, len(w) - {SHINGLE - 2})]) as shingle
+  from words
+),
+items as (select id, count(*) as n from shingles where side = 'b' group by id),
+shared as (
+  select d.id as doc_id, b.id as item_id, count(*) as n
+  from shingles d join shingles b on d.shingle = b.shingle and d.side = 'd' and b.side = 'b' group by all
+)
+select doc_id, item_id, cast(i.n as integer) as n_shingles, cast(s.n as integer) as n_shared, s.n / i.n as containment
+from shared s join items i on i.id = item_id where s.n >= ceil({THRESHOLD} * i.n - 1e-9)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_dedup": _EXACT}
+    return {"op5_exact_dedup": _EXACT, "op7_licenses": _licenses(), "op8_decontamination": _CONTAMINATED}

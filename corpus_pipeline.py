@@ -1,37 +1,51 @@
-"""The corpus pipeline: each stage reads what its predecessor kept."""
+"""The corpus pipeline: each stage works on all that its predecessor kept."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from article_warehouse.llm.common import table
+from article_warehouse.llm.common import kept_table, table
+from article_warehouse.llm.decontaminate import drop_contaminated
 from article_warehouse.llm.exact import drop_exact_duplicates
 from article_warehouse.llm.mixing import mix
+from article_warehouse.llm.quality import keep_quality
 from article_warehouse.llm.simhash import drop_near_duplicates
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    return keep_quality(docs, table(spark, sf_dir, "labels"))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_exact_duplicates(docs)
 
 
-def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_near_duplicates(docs, shingle=3, radius=3)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mix(docs)
 
 
 STAGES = [
+    ("quality classifier", quality),
     ("exact dedup", exact_dedup),
-    ("SimHash near-dedup", simhash_dedup),
+    ("SimHash near-dedup", near_dedup),
+    ("benchmark decontamination", decontamination),
     ("mixing sources to target weights", mixing),
 ]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix of what the stages keep of ``documents``; each stage's result is a Parquet table in the shared folder."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = kept_table(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
