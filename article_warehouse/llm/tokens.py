@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
@@ -16,15 +16,22 @@ from article_warehouse.llm.common import pieces, text_of
 # decides which tier answers, never the answer.
 TABLE_ROWS, TABLE_ENTRIES, TABLE_CHUNK_CHARS = 2000, 32_768, 48
 # Entries of a worker's cache of the rest, after which it starts anew, and the longest chunk in it.
-CACHE_ENTRIES, CACHE_CHUNK_CHARS = 250_000, 256
+CACHE_ENTRIES, CACHE_CHUNK_CHARS = 400_000, 256
 
 # Blanks that Python splits at beside the six of ASCII; with one of them a text is split by pattern.
 _OTHER_BLANK = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
+_MARKS = ".,;:!?"
 _BLANK = re.compile("[ \t\n\v\f\r]+")
 
 
 def chunks(text: str) -> list[str]:
-    """Text between ASCII blanks. No token crosses a blank, so counts of chunks add up."""
+    """Text between ASCII blanks. No token crosses a blank, so counts of chunks add up.
+
+    A text of ASCII only is lowered first, as the tokenizer does itself, so that fewer chunks differ; not so where it
+    might have a special token, which has to be found before.
+    """
+    if text.isascii() and "<|" not in text:
+        text = text.lower()
     if _OTHER_BLANK.search(text):
         return [chunk for chunk in _BLANK.split(text) if chunk]
     return text.split()
@@ -47,29 +54,28 @@ class Lengths(dict):
         super().__init__(frequent)
         self.path, self.frequent = path, frequent
 
-    def encode(self, missed: list[str]) -> None:
-        if len(self) - len(self.frequent) + len(missed) > CACHE_ENTRIES:
+    def encode(self, found: Iterable[str]) -> None:
+        tokenizer = _tokenizer(self.path)
+        self.update((chunk, len(tokenizer.encode(chunk, add_special_tokens=False))) for chunk in found)
+
+    def counts(self, texts: list[str]) -> list[int]:
+        """Tokens of each text."""
+        found = [chunks(text) for text in texts]
+        if len(self) - len(self.frequent) > CACHE_ENTRIES:
             self.clear()
             self.update(self.frequent)
-        encoded = _tokenizer(self.path).encode_batch(missed, add_special_tokens=False)
-        self.update(zip(missed, map(len, encoded), strict=True))
-
-    def count(self, text: str) -> int:
-        found = chunks(text)
-        known = list(map(self.get, found))
-        if None not in known:
-            return sum(known)
-        missed = {chunk for chunk, length in zip(found, known, strict=True) if length is None}
-        long = [chunk for chunk in missed if len(chunk) > CACHE_CHUNK_CHARS]
-        self.encode([chunk for chunk in missed if len(chunk) <= CACHE_CHUNK_CHARS])
-        lengths = self
-        if long or not missed <= self.keys():
-            encoded = _tokenizer(self.path).encode_batch(long, add_special_tokens=False)
-            lengths = {chunk: self.get(chunk) for chunk in found} | dict(zip(long, map(len, encoded), strict=True))
-            forgotten = [chunk for chunk, length in lengths.items() if length is None]
-            encoded = _tokenizer(self.path).encode_batch(forgotten, add_special_tokens=False)
-            lengths.update(zip(forgotten, map(len, encoded), strict=True))
-        return sum(map(lengths.__getitem__, found))
+        missed = set().union(*found).difference(self)
+        # Marks behind a word are tokens of their own, so only the word is encoded.
+        words = {chunk: word for chunk in missed if (word := chunk.rstrip(_MARKS)) != chunk and word.isalpha()}
+        self.encode(set(words.values()).union(missed.difference(words)).difference(self))
+        self.encode({chunk[len(word) :] for chunk, word in words.items()}.difference(self))
+        self.update((chunk, self[word] + self[chunk[len(word) :]]) for chunk, word in words.items())
+        sums = [sum(map(self.__getitem__, listed)) for listed in found]
+        # Long chunks hardly come again, and marked words are put together again.
+        for chunk in missed:
+            if chunk in words or len(chunk) > CACHE_CHUNK_CHARS:
+                del self[chunk]
+        return sums
 
 
 def frequent_chunks(docs: DataFrame, path: str) -> dict[str, int]:
@@ -81,8 +87,9 @@ def frequent_chunks(docs: DataFrame, path: str) -> dict[str, int]:
             for text in batch.column(0).to_pylist():
                 counts.update(chunk for chunk in chunks(text) if len(chunk) <= TABLE_CHUNK_CHARS)
         frequent = [chunk for chunk, _ in counts.most_common(TABLE_ENTRIES)]
-        encoded = _tokenizer(path).encode_batch(frequent, add_special_tokens=False)
-        yield pa.RecordBatch.from_arrays([pa.array(frequent, pa.string()), pa.array(list(map(len, encoded)), pa.int64())], ["chunk", "n"])
+        table = Lengths(path, {})
+        table.encode(frequent)
+        yield pa.RecordBatch.from_arrays([pa.array(list(table), pa.string()), pa.array(list(table.values()), pa.int64())], ["chunk", "n"])
 
     sample = docs.select(text_of().alias("text")).limit(TABLE_ROWS).coalesce(1)
     return {row.chunk: row.n for row in sample.mapInArrow(lengths, "chunk string, n long").collect()}
@@ -102,7 +109,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 2048) -> DataFrame:
     def counted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         lengths = Lengths(path, table.value)
         for texts in batches:
-            yield pa.array([lengths.count(text) for piece in pieces(texts) for text in piece.to_pylist()], pa.int64())
+            yield pa.array([n for piece in pieces(texts) for n in lengths.counts(piece.to_pylist())], pa.int64())
 
     n_tokens = counted(text_of())
     rows = docs.select("doc_id", F.octet_length(text_of()).cast("long").alias("n_bytes"), n_tokens.alias("n_tokens"))
