@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from article_warehouse.llm.common import pieces, text_of
 
-# Rows and entries that the table of frequent chunks is made from and holds at most. The table only
+# Rows that the table of frequent chunks is made from, entries that it holds at most, and their length. The table only
 # decides which tier answers, never the answer.
 TABLE_ROWS, TABLE_ENTRIES, TABLE_CHUNK_CHARS = 2000, 32_768, 48
 # Entries of a worker's cache of the rest, after which it starts anew, and the longest chunk in it.
@@ -79,7 +79,7 @@ class Lengths(dict):
 
 
 def frequent_chunks(docs: DataFrame, path: str) -> dict[str, int]:
-    """Token counts of the most frequent chunks in up to ``TABLE_ROWS`` documents."""
+    """Token counts of the most frequent chunks in about ``TABLE_ROWS`` documents, chosen by the hash of their id."""
 
     def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[str] = Counter()
@@ -91,7 +91,8 @@ def frequent_chunks(docs: DataFrame, path: str) -> dict[str, int]:
         table.encode(frequent)
         yield pa.RecordBatch.from_arrays([pa.array(list(table), pa.string()), pa.array(list(table.values()), pa.int64())], ["chunk", "n"])
 
-    sample = docs.select(text_of().alias("text")).limit(TABLE_ROWS).coalesce(1)
+    one_in = max(1, docs.count() // TABLE_ROWS)
+    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(one_in)) == 0).select(text_of().alias("text")).repartition(1)
     return {row.chunk: row.n for row in sample.mapInArrow(lengths, "chunk string, n long").collect()}
 
 
