@@ -25,23 +25,26 @@ TEMPLATES = {
     "this program is free software you can redistribute it and or modify it": "gpl-notice",
     "no part of this publication may be reproduced without permission": "no-reproduction",
 }
-# A character that is not in a word, before A-Z are lowered.
-_GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
+# A character that is not in a word.
+_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def lowered(text: Column) -> Column:
-    """``text`` with A-Z as lower case and everything else as it is."""
-    return F.translate(text, _UPPER, _LOWER)
+    """``text`` with A-Z as lower case.
+
+    Letters beyond ASCII may change to others beyond ASCII, which tells no two words apart here. Only the
+    Kelvin sign would become one of ASCII; a text with it is translated letter by letter.
+    """
+    return F.when(text.contains("\u212a"), F.translate(text, _UPPER, _LOWER)).otherwise(F.lower(text))
 
 
 def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1))
+    return F.array_remove(F.split(lowered(text), f"{_GAP}+"), "")
 
 
-def _any_word(words: list[str]) -> str:
-    """Pattern of a text that has one of ``words`` as a word, in either case of A-Z."""
-    return rf"(?i)(?:^|{_GAP})(?:{'|'.join(words)})(?:$|{_GAP})"
+def _texts(words: list[str]) -> Column:
+    return F.array(*map(F.lit, words))
 
 
 def template_index(docs: DataFrame, templates: dict[str, str], threshold: float) -> list[tuple[str, list[str], int]]:
@@ -50,10 +53,8 @@ def template_index(docs: DataFrame, templates: dict[str, str], threshold: float)
     The order is that of the number of documents that have the word, over all of ``docs``.
     """
     vocabulary = sorted({word for text in templates for word in text.split()})
-    found = F.array_distinct(words_of(lowered(text_of())))
-    known = F.array_intersect(found, F.array(*map(F.lit, vocabulary)))
-    likely = docs.where(text_of().rlike(_any_word(vocabulary)))
-    counts = likely.select(F.explode(known).alias("word")).groupBy("word").count()
+    found = F.array_intersect(words_of(text_of()), _texts(vocabulary))
+    counts = docs.select(F.explode(found).alias("word")).groupBy("word").count()
     # At most one row per word of the templates.
     frequency = {row["word"]: row["count"] for row in counts.collect()}
     index = []
@@ -79,7 +80,7 @@ def template_matches(lines: DataFrame, index: list[tuple[str, list[str], int]])
     )
     # Both are as large as the given templates.
     probes = inverted.join(sets, "template").where("size(wanted) - place >= need")
-    words = lines.select("row_id", F.array_distinct(words_of(lowered(F.col("line")))).alias("words"))
+    words = lines.select("row_id", F.array_distinct(words_of(F.col("line"))).alias("words"))
     pairs = words.select("*", F.explode("words").alias("word")).join(F.broadcast(probes), "word").where("size(words) >= need")
     shared = F.size(F.array_intersect("words", "wanted"))
     compared = pairs.where(shared >= F.col("need"))
@@ -115,20 +116,29 @@ def license_scan(
     that has ``threshold`` of its distinct words. Null and empty texts have no words and no labels.
     """
     index = template_index(docs, templates, threshold)
-    # Only texts that have a phrase, and lines that have a word of a template's prefix, are taken apart.
-    has_phrase = text_of().rlike(_any_word([phrase.replace(" ", f"{_GAP}+") for phrase in phrases]))
-    starts = _any_word(sorted({word for word, *_ in _prefixes(index)}))
-    lines = F.filter(F.split(text_of(), "\n"), lambda line: line.rlike(starts))
+    starts = sorted({word for word, *_ in _prefixes(index)})
+    in_phrases = [word for phrase in phrases for word in phrase.split()]
     nothing = F.array().cast("array<string>")
-    parts = docs.select(
-        F.monotonically_increasing_id().alias("row_id"),
-        "doc_id",
-        F.regexp_count(text_of(), F.lit(f"[^{_GAP[1:]}+")).cast("long").alias("n_words"),
-        F.when(has_phrase, words_of(lowered(text_of()))).otherwise(nothing).alias("words"),
-        F.when(text_of().rlike(starts), lines).otherwise(nothing).alias("lines"),
+    taken_apart = docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", text_of().alias("text"), words_of(text_of()).alias("words"))
+    parts = taken_apart.select("*", F.array_intersect("words", _texts(sorted({*starts, *in_phrases}))).alias("hits"))
+    # Only texts that have all words of a phrase are searched for it, and only lines that have a word of a template's
+    # prefix are kept.
+    lines = F.filter(F.split("text", "\n"), lambda line: F.arrays_overlap(words_of(line), _texts(starts)))
+    places = {
+        f"places_{i}": F.when(F.size(F.array_except(_texts(phrase.split()), F.col("hits"))) == 0, _places(F.col("words"), phrase)).otherwise(
+            F.array().cast("array<int>")
+        )
+        for i, phrase in enumerate(phrases)
+    }
+    rows = stored(
+        parts.select(
+            "row_id",
+            "doc_id",
+            F.size("words").cast("long").alias("n_words"),
+            F.when(F.arrays_overlap("hits", _texts(starts)), lines).otherwise(nothing).alias("lines"),
+            *[column.alias(name) for name, column in places.items()],
+        )
     )
-    places = {f"places_{i}": _places(F.col("words"), phrase) for i, phrase in enumerate(phrases)}
-    rows = stored(parts.withColumns(places).drop("words"))
     matches = template_matches(rows.select("row_id", F.explode("lines").alias("line")), index)
     matched = matches.groupBy("row_id").agg(F.collect_set("label").alias("matched"), F.max("containment").alias("containment"))
     found = rows.join(matched, "row_id", "left")
