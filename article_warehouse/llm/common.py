@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from article_warehouse.scratch import scratch_folder
 
 # Text that one step of a Python function holds in arrays, in bytes; a longer text is held alone.
-PIECE_BYTES = 1 << 22
+PIECE_BYTES = 1 << 20
 
 
 def text_of(name: str = "text") -> Column:

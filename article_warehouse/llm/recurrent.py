@@ -23,8 +23,8 @@ SLICES, ROUNDS, WINDOW, LANES, RATE = 16, 2, 32, 64, 0.01
 CHUNKS = 16
 # Tokens that a task holds counts of before it passes them on.
 HELD_COUNTS = 1 << 20
-# Documents x steps that are scored together, and rows of the output layer at a time.
-STEPS, OUTPUT_ROWS = 64, 1 << 15
+# Bytes of text whose documents go forward together, steps of a window, rows of the output layer at a time.
+TOGETHER_BYTES, STEPS, OUTPUT_ROWS = 12 << 20, 64, 1 << 15
 
 _TAIL_MASK = np.uint64(TAILS - 1)
 # The end of a text is a token of its own; no word has its tail class and hash but by chance.
@@ -393,7 +393,8 @@ def language_model_scores(docs: DataFrame) -> DataFrame:
         weights, vocabulary = shared.value
         places = Places(vocabulary.tokens)
         for texts in batches:
-            yield scored_texts(texts, weights, vocabulary, places)
+            parts = [scored_texts(part, weights, vocabulary, places) for part in pieces(texts, TOGETHER_BYTES)]
+            yield pa.concat_arrays(parts) if parts else scored_texts(texts, weights, vocabulary, places)
 
     rows = docs.select("doc_id", (id_remainder(5) == 1).alias("held_out"), scored(text_of()).alias("found"))
     rows = stored(rows.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", "held_out", "found.*"))
