@@ -20,6 +20,11 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def columns_of(df: DataFrame) -> list[Column]:
+    """All columns of ``df``, whatever signs their names have."""
+    return [F.col(f"`{name.replace('`', '``')}`") for name in df.columns]
+
+
 def id_remainder(modulus: int, name: str = "doc_id") -> Column:
     """Remainder of the CRC of an id as text; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(name).cast("string"), F.lit(""))) % modulus

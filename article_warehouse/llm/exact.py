@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from article_warehouse.llm.common import small, stored, text_of
+from article_warehouse.llm.common import columns_of, small, stored, text_of
 
 # Keys up to this number are broadcast after they were counted: 16 bytes each, 32 MB as rows in memory.
 BROADCAST_KEYS = 250_000
@@ -45,7 +45,7 @@ def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     dropped = stored(_grouped(docs, content_hash).where(~F.col("kept")).select("doc_id", "content_key", same_id.alias("same_id")))
     names = dropped.select(F.struct("doc_id", "content_key").alias("content_name")).distinct()
     content_key = content_hash(F.sha2(normalised(text_of()), 256))
-    named = docs.select(F.struct(*docs.columns).alias("row"), F.struct("doc_id", content_key.alias("content_key")).alias("content_name"))
+    named = docs.select(F.struct(*columns_of(docs)).alias("row"), F.struct("doc_id", content_key.alias("content_key")).alias("content_name"))
     kept = named.join(small(names, BROADCAST_KEYS), "content_name", "left_anti").select("row.*")
     repeated = dropped.where("same_id").select(F.struct("doc_id", "content_key").alias("content_name")).distinct()
     if repeated.isEmpty():

@@ -11,7 +11,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from article_warehouse.llm.common import pieces, small, stored, text_of, word_runs
+from article_warehouse.llm.common import columns_of, pieces, small, stored, text_of, word_runs
 from article_warehouse.llm.components import connected_components
 
 # Seed of the shingle hash. Fixed value.
@@ -256,11 +256,11 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3) ->
     unclear = stored(rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1 or doc_id is null"))
     dropped = found.where("doc_id <> component_id").select("doc_id")
     names = stored(dropped.unionByName(unclear.where("doc_id is not null").select("doc_id")).distinct())
-    kept = docs.where("doc_id is not null").join(small(names, 250_000), "doc_id", "left_anti").select(*docs.columns)
+    kept = docs.where("doc_id is not null").join(small(names, 250_000), "doc_id", "left_anti").select(*columns_of(docs))
     if unclear.isEmpty():
         return kept
     ids = small(unclear.select(F.struct("doc_id").alias("of")), 250_000)
-    again = docs.select(F.struct(*docs.columns).alias("row")).join(ids, F.struct("row.doc_id") == F.col("of"), "left_semi")
+    again = docs.select(F.struct(*columns_of(docs)).alias("row")).join(ids, F.struct("row.doc_id") == F.col("of"), "left_semi")
     printed = again.select("row", fingerprint_udf(shingle)(text_of("row.text")).alias("fingerprint"))
     classes = found.select("fingerprint", "component_id", "root").distinct()
     stays = printed.join(classes, "fingerprint").where(F.col("row.doc_id").eqNullSafe(F.col("component_id")))
