@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from article_warehouse import operators as op, plans, schemas as S
 from article_warehouse.files import stored_bytes
+from article_warehouse.functions import instant
 from article_warehouse.operators.calendar import calendar_days
 from article_warehouse.scratch import scratch_folder
 from article_warehouse.sources import FrameSource, articles_from_documents
@@ -27,7 +28,7 @@ except ModuleNotFoundError as missing:
         raise
     llm = None
 
-# Times of the scenario: start of history, backfill, end of the next interval, delete sync.
+# Times of the scenario: start of history, backfill, end of the next interval, delete sync, end of all changes.
 START = datetime(2016, 1, 1)
 BACKFILLED = datetime(2023, 6, 1)
 CHANGED_UNTIL = datetime(2024, 6, 1)
@@ -55,9 +56,11 @@ def revised_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def remaining_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The source after toxic articles were removed from it."""
-    toxic = _table(spark, sf_dir, "labels").where("toxic = 1").select((F.col("doc_id") + 1).alias("id"))
-    return articles(spark, sf_dir).join(toxic.distinct(), "id", "left_anti")
+    """The source after toxic articles that had been loaded were removed from it."""
+    toxic = _table(spark, sf_dir, "labels").where("toxic = 1").select((F.col("doc_id") + 1).alias("toxic_id"))
+    rows = articles(spark, sf_dir)
+    gone = (F.col("id") == F.col("toxic_id")) & (F.col("updated_at") < instant(CHANGED_UNTIL))
+    return rows.join(toxic, gone, "left_anti")
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,12 +106,14 @@ def dim_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys read twice: history and the later changes overlap."""
+    """Keys read twice: history and the later changes overlap, and together they are all articles."""
     return op.duplicate_keys(_read_twice(spark, sf_dir))
 
 
 def latest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.keep_latest(_read_twice(spark, sf_dir))
+    rows = _read_twice(spark, sf_dir)
+    repeated = op.duplicate_keys(rows)
+    return op.keep_latest(rows, repeated=(repeated, repeated.count()))
 
 
 def _read_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,12 +122,13 @@ def _read_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _changed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.transform_articles(op.changed_between(revised_articles(spark, sf_dir), BACKFILLED, CHANGED_UNTIL))
+    return op.transform_articles(op.changed_between(revised_articles(spark, sf_dir), BACKFILLED, END))
 
 
 def merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = op.transform_articles(op.created_between(articles(spark, sf_dir), START, TARGET_END))
-    return op.merge_upsert(target, _changed_rows(spark, sf_dir))
+    batch = _changed_rows(spark, sf_dir)
+    return op.merge_upsert(target, batch, batch_rows=batch.count())
 
 
 def missing_from_source(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,7 +138,8 @@ def missing_from_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reconcile_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = op.source_ids(remaining_articles(spark, sf_dir))
-    return op.reconcile_deletes(fact(spark, sf_dir), ids, SYNCED)
+    missing = op.missing_from_source(fact(spark, sf_dir).select("article_id", "is_deleted"), ids).count()
+    return op.reconcile_deletes(fact(spark, sf_dir), ids, SYNCED, missing_rows=missing)
 
 
 # Load jobs, each in a warehouse of its own
@@ -151,18 +158,28 @@ def _backfilled(spark: SparkSession, sf_dir: str) -> plans.Warehouse:
     return warehouse
 
 
-def _updated(spark: SparkSession, sf_dir: str) -> plans.Warehouse:
+def _updated(spark: SparkSession, sf_dir: str, until: datetime) -> plans.Warehouse:
     warehouse = _backfilled(spark, sf_dir)
     source = FrameSource(revised_articles(spark, sf_dir))
-    plans.run_incremental(source, warehouse, BACKFILLED, CHANGED_UNTIL, CHANGED_UNTIL)
+    plans.run_incremental(source, warehouse, BACKFILLED, until, until)
     return warehouse
 
 
+_HOURLY: dict[tuple[str, str], plans.Warehouse] = {}
+
+
 def _hourly(spark: SparkSession, sf_dir: str) -> plans.Warehouse:
-    warehouse = _updated(spark, sf_dir)
-    source = FrameSource(remaining_articles(spark, sf_dir))
-    plans.run_hourly(source, warehouse, BACKFILLED, CHANGED_UNTIL, SYNCED)
-    return warehouse
+    """A warehouse after backfill, changes and an hourly run that loads the rest and syncs deletes.
+
+    Its three tables are read by queries of their own, so it is loaded once per application and source.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _HOURLY:
+        warehouse = _updated(spark, sf_dir, CHANGED_UNTIL)
+        source = FrameSource(remaining_articles(spark, sf_dir))
+        plans.run_hourly(source, warehouse, CHANGED_UNTIL, END, SYNCED, chunk_days=CHUNK_DAYS, max_delete_fraction=0.5)
+        _HOURLY[key] = warehouse
+    return _HOURLY[key]
 
 
 def backfill_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,7 +187,7 @@ def backfill_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _updated(spark, sf_dir).table(S.FACT)
+    return _updated(spark, sf_dir, END).table(S.FACT)
 
 
 def delete_sync_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,6 +210,27 @@ def audit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.audit_counts(articles(spark, sf_dir), fact(spark, sf_dir), dates, authors(spark, sf_dir))
 
 
+def stored_audit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts over the stored tables after the hourly run."""
+    warehouse = _hourly(spark, sf_dir)
+    tables = [warehouse.table(name) for name in (S.FACT, S.DATES, S.AUTHORS)]
+    return plans.audit_counts(articles(spark, sf_dir), *tables)
+
+
+def stored_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _hourly(spark, sf_dir).table(S.DATES)
+
+
+def stored_article_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State of one article, read from its slice of the stored fact."""
+    return plans.article_state(_hourly(spark, sf_dir).article("2"), "2")
+
+
+def facts_without_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Date keys of the fact that a calendar of the usual years lacks."""
+    return plans.facts_without_day(fact(spark, sf_dir), op.date_dimension(spark))
+
+
 def source_id_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.source_id_count(op.source_ids(remaining_articles(spark, sf_dir)))
 
@@ -202,7 +240,8 @@ def article_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def star_year_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plans.articles_per_quarter(fact(spark, sf_dir), op.date_dimension(spark))
+    rows = fact(spark, sf_dir)
+    return plans.articles_per_quarter(rows, op.covering_calendar(rows))
 
 
 def star_author_active(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,11 +249,13 @@ def star_author_active(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def star_author_weekend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plans.weekend_share_per_author(fact(spark, sf_dir), op.date_dimension(spark))
+    rows = fact(spark, sf_dir)
+    return plans.weekend_share_per_author(rows, op.covering_calendar(rows))
 
 
 def star_author_year(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plans.articles_per_author_year(fact(spark, sf_dir), op.date_dimension(spark), authors(spark, sf_dir))
+    rows = fact(spark, sf_dir)
+    return plans.articles_per_author_year(rows, op.covering_calendar(rows), authors(spark, sf_dir))
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -243,6 +284,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "authors_after_run": authors_after_run,
         "control_after_run": control_after_run,
         "audit_counts": audit_counts,
+        "stored_audit_counts": stored_audit_counts,
+        "stored_calendar": stored_calendar,
+        "stored_article_state": stored_article_state,
+        "facts_without_day": facts_without_day,
         "source_id_count": source_id_count,
         "article_state": article_state,
         "star_year_quarter": star_year_quarter,
@@ -270,7 +315,7 @@ articles as (
     cast(doc_id + 1 as bigint) as id,
     lang || '-' || source || '-' || doc_id as title,
     case when doc_id % 50 <> 7 then text end as content,
-    case when doc_id % 11 <> 3 then created + interval 1 hour end as published_at,
+    case when doc_id % 11 <> 3 then created + to_hours(case when doc_id % 13 = 4 then 87601 else 1 end) end as published_at,
     case when doc_id % 37 <> 5 then cast(regexp_extract(source, '([0-9]+)$', 1) as bigint) + 101 end as author_id,
     created as created_at,
     created + to_hours(cast(doc_id % 72 as integer)) as updated_at,
@@ -278,7 +323,11 @@ articles as (
   from timed
 )"""
 
-_WORD = r"[^\t-\r\x{1c}-\x{20}\x{85}\p{Z}]+"
+# Every blank of Unicode by its number.
+_WORD = (
+    r"[^\x{9}\x{a}\x{b}\x{c}\x{d}\x{1c}\x{1d}\x{1e}\x{1f}\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+)
 
 
 def _key(column: str) -> str:
@@ -331,12 +380,14 @@ def _reconciled_sql(source: str) -> str:
 
 _FACT = f"{_ARTICLES},\nfact as ({_fact_sql('articles')})"
 _CHANGED = f"updated_at >= {_at(BACKFILLED)} and updated_at < {_at(CHANGED_UNTIL)}"
-_REMAINING = """
+_REMAINING = f"""
 remaining as (
   select cast(id as varchar) as article_id from articles
-  where id not in (select doc_id + 1 from labels where toxic = 1)
+  where not (updated_at < {_at(CHANGED_UNTIL)} and id in (select doc_id + 1 from labels where toxic = 1))
 )"""
 _DATES = f"dates as ({_calendar(repr(op.calendar.FIRST_DATE), repr(op.calendar.LAST_DATE))})"
+# Without a calendar: what day a publication fell on, at the zone's offset.
+_PUBLISHED = "published as (select *, published_at + interval 7 hour as day from fact where published_at is not null)"
 _AUTHORS = f"authors as ({_authors_sql('fact', SYNCED)})"
 _WINDOWS = f"""
 windows as (
@@ -344,16 +395,32 @@ windows as (
     least({_at(START)} + to_days(cast((i + 1) * {CHUNK_DAYS} as integer)), {_at(END)}) as window_end
   from (select unnest(range(0, {-((START - END).days // CHUNK_DAYS)})) as i)
 )"""
-_BATCH = f"batch as ({_fact_sql(f'(select * from articles where {_CHANGED})', repr('') + ' || title || ' + repr('-v2'))})"
+
+
+def _revised(until: datetime, name: str) -> str:
+    changed = f"updated_at >= {_at(BACKFILLED)} and updated_at < {_at(until)}"
+    return f"{name} as ({_fact_sql(f'(select * from articles where {changed})', repr('') + ' || title || ' + repr('-v2'))})"
+
+
+def _merged(name: str, target: str, batch: str) -> str:
+    return f"{name} as (select * from {target} where article_id not in (select article_id from {batch}) union all select * from {batch})"
+
+
+_BATCH = _revised(END, "batch")
 _BACKFILL = f"history as (select * from fact where created_at >= {_at(START)} and created_at < {_at(BACKFILLED)})"
 _LOADED = f"""{_FACT},
 {_BATCH},
 {_BACKFILL},
-loaded as (
-  select * from history where article_id not in (select article_id from batch) union all select * from batch
-),
+{_merged("loaded", "history", "batch")},
+{_revised(CHANGED_UNTIL, "first_batch")},
+{_merged("updated", "history", "first_batch")},
 {_REMAINING},
-final as ({_reconciled_sql("loaded")})"""
+rest as (
+  select f.* from fact f join remaining using (article_id)
+  where f.updated_at >= {_at(CHANGED_UNTIL)} and f.updated_at < {_at(END)}
+),
+{_merged("all_rows", "updated", "rest")},
+final as ({_reconciled_sql("all_rows")})"""
 _READ_TWICE = f"""{_FACT},
 {_BATCH},
 both_reads as (
@@ -373,14 +440,15 @@ select 'articles_historical_backfill' as process_name, 'completed' as state, {_a
   '{{"rows_loaded": ' || (select count(*) from history) || ', "batches_loaded": ' || (select cast(batches as bigint) from batch_total)
   || ', "source_start": "{START}+00:00", "source_end": "{BACKFILLED}+00:00"}}' as details
 union all
-select 'articles_incremental_watermark', 'completed', {_at(CHANGED_UNTIL)}, {_at(CHANGED_UNTIL)},
-  '{{"rows_loaded": ' || (select count(*) from batch)
-  || ', "window_start": "{BACKFILLED}+00:00", "window_end": "{CHANGED_UNTIL}+00:00"}}'"""
+select 'articles_incremental_watermark', 'completed', {_at(END)}, {_at(SYNCED)},
+  '{{"rows_loaded": ' || (select count(*) from rest)
+  || ', "window_start": "{CHANGED_UNTIL}+00:00", "window_end": "{END}+00:00"}}'"""
 
 
 def oracle_sql() -> dict[str, str]:
-    star = f"with {_FACT}, {_DATES}, {_AUTHORS}\n"
-    published = "from fact join dates on date_key = published_date_key"
+    star = f"with {_FACT}, {_DATES}, {_AUTHORS}, {_PUBLISHED}\n"
+    usual = f"{op.calendar.FIRST_DATE.replace('-', '')} and {op.calendar.LAST_DATE.replace('-', '')}"
+    last_day = f"greatest(date '{op.calendar.LAST_DATE}', (select cast(max(greatest(published_at, created_at)) + interval 7 hour as date) from final))"
     history = f"created_at >= {_at(START)} and created_at < {_at(END)}"
     return {
         "fact_articles": f"with {_FACT} select * from fact",
@@ -431,25 +499,38 @@ union all select 'fact_rows', count(*) from fact
 union all select 'deleted_rows', count(*) filter (where is_deleted) from fact
 union all select 'date_rows', count(*) from dates
 union all select 'author_rows', count(*) from authors""",
+        "stored_audit_counts": f"""with {_LOADED}
+select 'source_rows' as check_name, count(*) as row_count from articles
+union all select 'fact_rows', count(*) from final
+union all select 'deleted_rows', count(*) filter (where is_deleted) from final
+union all select 'date_rows', date_diff('day', date '{op.calendar.FIRST_DATE}', {last_day}) + 1
+union all select 'author_rows', count(distinct author_id) from final""",
+        "stored_calendar": f"with {_LOADED} {_calendar(repr(op.calendar.FIRST_DATE), last_day)}",
+        "stored_article_state": f"""with {_LOADED}
+select article_id, is_deleted, deleted_at from final where article_id = '2'""",
+        "facts_without_day": f"""with {_FACT}
+select date_key, count(*) as row_count
+from (select published_date_key as date_key from fact union all select created_date_key from fact)
+where date_key not between {usual} group by date_key""",
         "source_id_count": f"with {_ARTICLES}, {_REMAINING} select count(*) as source_ids from remaining",
         "article_state": f"""with {_FACT}, {_REMAINING}, final as ({_reconciled_sql("fact")})
 select article_id, is_deleted, deleted_at from final where article_id = '2'""",
         "star_year_quarter": f"""{star}
-select year, quarter, count(*) as articles, cast(sum(word_count) as bigint) as words,
-  cast(sum(word_count) as double) / count(*) as mean_words
-{published} group by year, quarter""",
+select cast(year(day) as bigint) as year, cast(quarter(day) as bigint) as quarter, count(*) as articles,
+  cast(sum(word_count) as bigint) as words, cast(sum(word_count) as double) / count(*) as mean_words
+from published group by 1, 2""",
         "star_author_active": f"""{star}
 select author_id, author_name, first_article_created_at, count(*) as active_articles,
   cast(sum(word_count) as bigint) as active_words
 from fact join authors using (author_id) where is_deleted = false
 group by author_id, author_name, first_article_created_at""",
         "star_author_weekend": f"""{star}
-select author_id, count(*) as articles, count(*) filter (where is_weekend) as weekend_articles,
-  cast(count(*) filter (where is_weekend) as double) / count(*) as weekend_share
-{published} where author_id is not null group by author_id""",
+select author_id, count(*) as articles, count(*) filter (where isodow(day) > 5) as weekend_articles,
+  cast(count(*) filter (where isodow(day) > 5) as double) / count(*) as weekend_share
+from published where author_id is not null group by author_id""",
         "star_author_year": f"""{star}
-select author_id, author_name, year, count(*) as articles,
+select author_id, author_name, cast(year(day) as bigint) as year, count(*) as articles,
   count(*) filter (where is_deleted = false) as active_articles, cast(sum(word_count) as bigint) as words
-{published} join authors using (author_id) group by author_id, author_name, year order by author_id, year""",
+from published join authors using (author_id) group by 1, 2, 3 order by 1, 3""",
         **(llm.oracle_sql() if llm else {}),
     }

@@ -18,6 +18,14 @@ def subfolders(spark: SparkSession, folder: str) -> list[str]:
     return [status.getPath().getName() for status in files.listStatus(path) if status.isDirectory()]
 
 
+def partition_locations(spark: SparkSession, database: str, table: str) -> list[str]:
+    """Where the partitions of a table are, one entry each, from the catalog."""
+    option = spark._jvm.scala.Option
+    name = spark._jvm.org.apache.spark.sql.catalyst.TableIdentifier(table, option.apply(database))
+    listed = spark._jsparkSession.sessionState().catalog().listPartitions(name, option.apply(None))
+    return [listed.apply(i).location().toString() for i in range(listed.size())]
+
+
 def delete_folder(spark: SparkSession, folder: str) -> None:
     path, files = _located(spark, folder)
     files.delete(path, True)

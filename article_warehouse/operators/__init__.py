@@ -1,5 +1,5 @@
 from article_warehouse.operators.authors import author_dimension
-from article_warehouse.operators.calendar import date_dimension
+from article_warehouse.operators.calendar import covering_calendar, date_dimension
 from article_warehouse.operators.merge import (
     DuplicateKeyError,
     duplicate_keys,
@@ -29,6 +29,7 @@ __all__ = [
     "batch_plan",
     "changed_between",
     "created_between",
+    "covering_calendar",
     "date_dimension",
     "duplicate_keys",
     "keep_latest",

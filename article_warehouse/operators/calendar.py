@@ -26,6 +26,21 @@ def date_dimension(spark: SparkSession, start: str = FIRST_DATE, end: str = LAST
     return calendar_days(span)
 
 
+def covering_calendar(fact: DataFrame, start: str = FIRST_DATE, end: str = LAST_DATE) -> DataFrame:
+    """The calendar from ``start`` to ``end``, widened to the date keys of ``fact``."""
+    keys = F.col("published_date_key"), F.col("created_date_key")
+    first, last = key_day(F.min(F.least(*keys))), key_day(F.max(F.greatest(*keys)))
+    # Nulls are left out, so an empty fact changes nothing.
+    first, last = F.least(F.lit(start).cast("date"), first), F.greatest(F.lit(end).cast("date"), last)
+    return calendar_days(fact.agg(first.alias("first_day"), last.alias("last_day")))
+
+
+def key_day(key: Column) -> Column:
+    """The day of a date key such as 20161231."""
+    number = key.cast("int")
+    return F.make_date(F.floor(number / 10000).cast("int"), F.floor(number / 100 % 100).cast("int"), number % 100)
+
+
 def _name(names: tuple[str, ...], number: Column) -> Column:
     return F.element_at(F.array(*[F.lit(name) for name in names]), number)
 

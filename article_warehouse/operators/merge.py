@@ -63,20 +63,26 @@ def merge_upsert(
 
 def missing_from_source(fact: DataFrame, ids: DataFrame, key: str = ARTICLE_KEY) -> DataFrame:
     """Active fact rows whose key is not among the source ids."""
-    # Repeated ids collapse before the shuffle, which the join then shares.
-    return fact.where(_active()).join(ids.select(key).distinct(), key, "left_anti")
+    return fact.where(_active()).join(ids.select(key), key, "left_anti")
 
 
 def reconcile_deletes(
-    fact: DataFrame, ids: DataFrame, as_of: datetime | str, key: str = ARTICLE_KEY
+    fact: DataFrame,
+    ids: DataFrame,
+    as_of: datetime | str,
+    key: str = ARTICLE_KEY,
+    missing_rows: int | None = None,
 ) -> DataFrame:
     """``fact`` with active rows that are gone from the source marked as deleted.
 
-    Rows already marked, rows without a flag and ids unknown to the fact change nothing.
+    Rows already marked, rows without a flag and ids unknown to the fact change nothing. Keys and flags alone
+    are compared with the ids. With a known, small number of ``missing_rows`` the full rows are not shuffled.
     """
-    present = ids.select(key).distinct().withColumn("present", F.lit(True))
-    gone = _active() & F.col("present").isNull()
-    return mark_deleted(fact.join(present, key, "left"), gone, as_of).select(fact.columns)
+    missing = missing_from_source(fact.select(key, "is_deleted"), ids, key).select(key).distinct()
+    if missing_rows is not None:
+        missing = sized_keys(missing, missing_rows)
+    rows = fact.join(missing.withColumn("missing", F.lit(True)), key, "left")
+    return mark_deleted(rows, F.col("missing") & _active(), as_of).select(fact.columns)
 
 
 def mark_deleted(fact: DataFrame, gone: Column, as_of: datetime | str) -> DataFrame:
@@ -124,12 +130,19 @@ def require_unique(batch: DataFrame, key: str = ARTICLE_KEY) -> None:
         raise DuplicateKeyError(f"repeated {key}: {named}")
 
 
-def keep_latest(batch: DataFrame, key: str = ARTICLE_KEY, order: str = "updated_at") -> DataFrame:
+def keep_latest(
+    batch: DataFrame, key: str = ARTICLE_KEY, order: str = "updated_at", repeated: tuple[DataFrame, int] | None = None
+) -> DataFrame:
     """One row per key: the one with the highest ``order``, then the highest remaining columns.
 
     The aggregate has a partial form, so a key with a large share of all rows is reduced to one
-    row per map task before the shuffle.
+    row per map task before the shuffle. With the ``repeated`` keys, all of them, and their number,
+    only rows of these keys are aggregated, and the others stay where they are.
     """
+    if repeated is not None:
+        keys = sized_keys(repeated[0].select(key), repeated[1])
+        latest = keep_latest(batch.join(keys, key, "left_semi"), key, order)
+        return batch.join(keys, key, "left_anti").select(batch.columns).unionByName(latest.select(batch.columns))
     rest = [name for name in batch.columns if name not in (key, order)]
     return (
         batch.groupBy(key)

@@ -26,6 +26,13 @@ def audit_counts(articles: DataFrame, fact: DataFrame, dates: DataFrame, authors
     return reduce(DataFrame.unionByName, parts)
 
 
+def facts_without_day(fact: DataFrame, dates: DataFrame) -> DataFrame:
+    """Number of fact rows for each date key that the calendar lacks; none in a sound warehouse."""
+    keys = fact.select(F.explode(F.array("published_date_key", "created_date_key")).alias("date_key"))
+    counts = keys.where(F.col("date_key").isNotNull()).groupBy("date_key").agg(F.count(F.lit(1)).alias("row_count"))
+    return counts.join(dates, "date_key", "left_anti")
+
+
 def source_id_count(ids: DataFrame) -> DataFrame:
     """Number of source ids that a delete reconciliation compares with."""
     return ids.agg(F.count(F.lit(1)).alias("source_ids"))

@@ -23,7 +23,8 @@ def details_text(details: Mapping[str, Any] | None) -> str:
             return str(utc_naive(value).replace(tzinfo=timezone.utc))
         return value
 
-    return json.dumps({name: plain(value) for name, value in (details or {}).items()})
+    # What JSON has no form for becomes text.
+    return json.dumps({name: plain(value) for name, value in (details or {}).items()}, default=str)
 
 
 def control_entry(

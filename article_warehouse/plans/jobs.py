@@ -16,7 +16,14 @@ from article_warehouse.operators.transform import transform_articles
 from article_warehouse.operators.windows import window_totals
 from article_warehouse.plans.control import control_mark, control_record, upsert_control
 from article_warehouse.plans.warehouse import Warehouse
-from article_warehouse.schemas import BACKFILL_PROCESS, COMPLETED, INCREMENTAL_PROCESS, RUNNING
+from article_warehouse.schemas import (
+    AFTER_BACKFILL,
+    AFTER_EARLIER_BACKFILL,
+    BACKFILL_PROCESS,
+    COMPLETED,
+    INCREMENTAL_PROCESS,
+    RUNNING,
+)
 from article_warehouse.sources import FrameSource, JdbcSource
 
 # Start of history and default sizes.
@@ -53,7 +60,7 @@ def run_backfill(
                 INCREMENTAL_PROCESS,
                 COMPLETED,
                 done["watermark"],
-                {"source": "historical_backfill_existing_state"},
+                {"source": AFTER_EARLIER_BACKFILL},
                 as_of,
             )
         return 0
@@ -81,7 +88,7 @@ def run_backfill(
         "source_end": began,
     }
     upsert_control(warehouse, BACKFILL_PROCESS, COMPLETED, began, summary, as_of)
-    seed = {"source": "historical_backfill_completion"}
+    seed = {"source": AFTER_BACKFILL}
     upsert_control(warehouse, INCREMENTAL_PROCESS, COMPLETED, began, seed, as_of)
     return loaded
 
@@ -141,11 +148,24 @@ def run_hourly(
     interval_start: datetime,
     interval_end: datetime,
     as_of: datetime | None = None,
+    *,
+    start: datetime = HISTORY_START,
+    chunk_days: int = CHUNK_DAYS,
+    batch_size: int = BATCH_SIZE,
+    on_duplicate: str | None = None,
+    zone: str = BUSINESS_ZONE,
+    lookback: timedelta = timedelta(0),
+    max_delete_fraction: float | None = None,
 ) -> dict[str, int | None]:
-    """Bootstrap, backfill, incremental load and delete sync in this order; a failure stops the rest."""
+    """Bootstrap, backfill, incremental load and delete sync in this order; a failure stops the rest.
+
+    The options are those of the single jobs.
+    """
     warehouse.bootstrap()
     return {
-        "backfilled": run_backfill(source, warehouse, as_of),
-        "changed": run_incremental(source, warehouse, interval_start, interval_end, as_of),
-        "marked_deleted": run_delete_sync(source, warehouse, as_of),
+        "backfilled": run_backfill(source, warehouse, as_of, start, chunk_days, batch_size, on_duplicate, zone),
+        "changed": run_incremental(
+            source, warehouse, interval_start, interval_end, as_of, lookback, on_duplicate, zone
+        ),
+        "marked_deleted": run_delete_sync(source, warehouse, as_of, max_delete_fraction),
     }

@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 import uuid
 from collections.abc import Iterable, Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime, timedelta
@@ -17,11 +18,12 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from article_warehouse import schemas as S
-from article_warehouse.files import delete_folder, subfolders
+from article_warehouse.files import delete_folder, partition_locations, subfolders
 from article_warehouse.functions import instant, to_utc, utc_naive, utc_now
 from article_warehouse.operators.authors import author_dimension
-from article_warehouse.operators.calendar import date_dimension
+from article_warehouse.operators.calendar import FIRST_DATE, LAST_DATE, covering_calendar, date_dimension
 from article_warehouse.operators.merge import (
+    duplicate_keys,
     keep_latest,
     key_profile,
     mark_deleted,
@@ -45,12 +47,13 @@ class DeleteGuardError(RuntimeError):
     """A delete reconciliation would mark more rows than allowed."""
 
 
-MAX_SLICES = 1000
 PARTITION_BYTES = 4 << 30
+# Catalog statements of a publication that are under way at a time.
+CATALOG_THREADS = 8
 
 
 def _slices_for(size: float, per_partition: int) -> int:
-    return min(max(1, math.ceil(size / per_partition)), MAX_SLICES)
+    return max(1, math.ceil(size / per_partition))
 
 
 @dataclass(frozen=True)
@@ -58,7 +61,7 @@ class Layout:
     """Physical partitions of the fact: a UTC period of ``created_at`` and a slice of the keys.
 
     A merge rewrites the partitions it touches, so they bound its cost. ``hot`` gives periods that
-    hold far more rows than others a number of slices of their own.
+    need another number of slices than usual a number of their own.
     """
 
     grain: str = "month"
@@ -68,8 +71,8 @@ class Layout:
     def __post_init__(self) -> None:
         if self.grain not in ("day", "month", "year"):
             raise ValueError(f"unknown grain: {self.grain}")
-        if not all(1 <= slices <= MAX_SLICES for slices in (self.slices, *dict(self.hot).values())):
-            raise ValueError(f"slices must be between 1 and {MAX_SLICES}")
+        if not all(slices >= 1 for slices in (self.slices, *dict(self.hot).values())):
+            raise ValueError("a period has one slice at least")
 
     @classmethod
     def for_bytes(cls, total: int, years: int = 10, per_partition: int = PARTITION_BYTES) -> Layout:
@@ -89,7 +92,7 @@ class Layout:
         rows = sum(counts.values())
         needed = {p: _slices_for(total * count / rows, per_partition) for p, count in counts.items()}
         usual = sorted(needed.values())[len(needed) // 2] if needed else 1
-        return cls(grain, usual, tuple(sorted((p, n) for p, n in needed.items() if n > 2 * usual)))
+        return cls(grain, usual, tuple(sorted((p, n) for p, n in needed.items() if n != usual)))
 
     @classmethod
     def from_properties(cls, properties: Mapping[str, str]) -> Layout:
@@ -123,17 +126,25 @@ class Layout:
 
     def place(self, rows: DataFrame) -> DataFrame:
         placed = rows.withColumn(PERIOD, self.period(F.col("created_at")))
-        return placed.withColumn(SLICE, self.slice(F.col(S.ARTICLE_KEY), F.col(PERIOD)))
+        if not self.hot:
+            return placed.withColumn(SLICE, self.slice(F.col(S.ARTICLE_KEY), F.col(PERIOD)))
+        # At most one row per period; a join finds them without a search through a list for each row.
+        own = rows.sparkSession.createDataFrame(list(self.hot), f"{PERIOD} int, own_slices int")
+        slices = F.coalesce("own_slices", F.lit(self.slices))
+        numbered = placed.join(F.broadcast(own), PERIOD, "left")
+        return numbered.withColumn(SLICE, F.pmod(F.xxhash64(S.ARTICLE_KEY), slices).cast("int")).select(
+            *rows.columns, PERIOD, SLICE
+        )
 
 
 def _within(partitions: Iterable[Partition]) -> Column:
     """Rows of the given partitions; it refers to partition columns only, so other files are not read."""
     partitions = sorted(partitions)
-    listed = ", ".join(f"{period * 1000 + part}L" for period, part in partitions)
+    listed = ", ".join(f"{(period << 32) + part}L" for period, part in partitions)
     # The range of periods is the part that a catalog can evaluate itself.
     return F.expr(
         f"{PERIOD} BETWEEN {partitions[0][0]} AND {partitions[-1][0]} "
-        f"AND {PERIOD} * 1000L + {SLICE} IN ({listed})"
+        f"AND {PERIOD} * {1 << 32}L + {SLICE} IN ({listed})"
     )
 
 
@@ -155,6 +166,12 @@ class StagedBatch:
     rows: DataFrame | None = None
     row_count: int = 0
     taken_over: bool = False
+    # Partitions that held repeated keys, and where they stand without them.
+    cleared: frozenset[Partition] = frozenset()
+    cleared_location: str = ""
+
+    def location_of(self, partition: Partition) -> str:
+        return self.cleared_location if partition in self.cleared else self.location
 
 
 class Warehouse:
@@ -234,8 +251,11 @@ class Warehouse:
             self.spark.sql(f"ALTER TABLE {self.name(table)} ADD COLUMNS ({columns})")
         return [field.name for field in missing]
 
-    def bootstrap(self) -> None:
-        """Make sure that all tables exist, finish an interrupted publication and seed the calendar."""
+    def bootstrap(self, first_date: str = FIRST_DATE, last_date: str = LAST_DATE) -> None:
+        """Make sure that all tables exist, finish an interrupted publication and seed the calendar.
+
+        The dates say what a new calendar covers; it grows with the rows that are loaded.
+        """
         self.spark.sql(
             f"CREATE DATABASE IF NOT EXISTS {self.database} "
             f"COMMENT 'Article star schema' LOCATION {_quoted(self.root)}"
@@ -252,7 +272,7 @@ class Warehouse:
         self.ensure_table(S.CONTROL, S.CONTROL_SCHEMA, "State and high-water mark of each process")
         self.finish_publication()
         if self.table(S.DATES).isEmpty():
-            self.replace_table(S.DATES, date_dimension(self.spark).coalesce(1))
+            self.replace_table(S.DATES, date_dimension(self.spark, first_date, last_date).coalesce(1))
 
     # Writing
 
@@ -265,6 +285,17 @@ class Warehouse:
         self._write(rows, location)
         self.spark.sql(f"ALTER TABLE {self.name(table)} SET LOCATION {_quoted(location)}")
 
+    def _cover_days(self, rows: DataFrame) -> None:
+        """Extend the calendar to the date keys of ``rows``."""
+        dates = self.table(S.DATES)
+        held = dates.agg(F.min("date_actual").alias("first"), F.max("date_actual").alias("last")).first()
+        if held["first"] is None:
+            return
+        wider = covering_calendar(rows, str(held["first"]), str(held["last"]))
+        ends = wider.agg(F.min("date_actual").alias("first"), F.max("date_actual").alias("last")).first()
+        if ends != held:
+            self.replace_table(S.DATES, wider.coalesce(1))
+
     def refresh_authors(self, as_of: datetime) -> None:
         self.replace_table(S.AUTHORS, author_dimension(self.table(S.FACT), as_of))
 
@@ -297,10 +328,16 @@ class Warehouse:
         if profile["repeated_keys"]:
             if on_duplicate == "error":
                 require_unique(staged.rows)
-            first = staged.rows.select(*batch.columns)
-            staged.location = f"{staged.folder}/latest"
-            self._write_fact(self.layout.place(keep_latest(first)), staged.location)
-            staged.rows = self._fact_files(staged.location, batch.columns)
+            # Only partitions that hold a repeated key are written again, and only such rows compared.
+            repeated = duplicate_keys(staged.rows)
+            keys = sized_keys(repeated.select(S.ARTICLE_KEY), profile["repeated_keys"])
+            staged.cleared = frozenset(_distinct_partitions(staged.rows.join(keys, S.ARTICLE_KEY, "left_semi")))
+            within = _within(staged.cleared)
+            latest = keep_latest(staged.rows.where(within), repeated=(repeated, profile["repeated_keys"]))
+            staged.cleared_location = f"{staged.folder}/latest"
+            self._write_fact(latest, staged.cleared_location)
+            cleared = self._fact_files(staged.cleared_location, batch.columns)
+            staged.rows = staged.rows.where(~within).unionByName(cleared)
         staged.row_count = profile["key_count"]
 
     def merge_fact(self, batch: DataFrame, on_duplicate: str = "error") -> int:
@@ -325,7 +362,7 @@ class Warehouse:
         complete = set(fact.columns) == set(staged.rows.columns)
         fresh = incoming - existing if complete or not existing else set()
         rewritten = (current | incoming) - fresh
-        published = {partition: _folder(staged.location, partition) for partition in fresh}
+        published = {partition: _folder(staged.location_of(partition), partition) for partition in fresh}
         dropped: set[Partition] = set()
         if rewritten:
             location = self._new_folder(S.FACT)
@@ -335,6 +372,7 @@ class Warehouse:
             published |= {partition: _folder(location, partition) for partition in written}
             dropped = (rewritten & existing) - written
         staged.taken_over = bool(fresh)
+        self._cover_days(staged.rows)
         self._publish(published, dropped)
 
     def mark_missing(
@@ -435,8 +473,9 @@ class Warehouse:
                 added.append(f"{spec} LOCATION {_quoted(location)}")
         for start in range(0, len(added), 500):
             self._alter_fact("ADD IF NOT EXISTS " + " ".join(added[start : start + 500]))
-        for change in moved:
-            self._alter_fact(change)
+        # Statements of their own, which a remote catalog answers one by one.
+        with ThreadPoolExecutor(CATALOG_THREADS) as threads:
+            list(threads.map(self._alter_fact, moved))
         if dropped:
             self._alter_fact("DROP IF EXISTS " + ", ".join(dropped))
 
@@ -453,7 +492,11 @@ class Warehouse:
     # Folders
 
     def vacuum(self, older_than: timedelta = timedelta(days=7)) -> list[str]:
-        """Delete run folders that no table points at; younger ones stay for running readers."""
+        """Delete run folders that no table points at; younger ones stay for running readers.
+
+        A committed publication is carried out first, so that the folders it names are pointed at.
+        """
+        self.finish_publication()
         limit = utc_now() - older_than
         removed = []
         for table in (S.FACT, S.DATES, S.AUTHORS, S.CONTROL):
@@ -466,12 +509,12 @@ class Warehouse:
         return removed
 
     def _runs_in_use(self, table: str) -> set[str]:
-        """Runs that wrote the current files of a table; one row per run reaches the driver."""
-        run = F.regexp_extract("_metadata.file_path", f".*/{table}/([^/]+)/", 1).alias("run")
-        rows = self.spark.table(self.name(table)).select(run).distinct().collect()
+        """Runs that wrote the current files of a table, from the locations in the catalog."""
         described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(table)}")
-        location = described.where(F.col("col_name") == "Location").first()["data_type"]
-        return {row["run"] for row in rows} | {location.rstrip("/").split("/")[-1]}
+        locations = [described.where(F.col("col_name") == "Location").first()["data_type"]]
+        if table == S.FACT:
+            locations += partition_locations(self.spark, self.database, table)
+        return {location.rstrip("/").split(f"/{table}/")[-1].split("/")[0] for location in locations}
 
 
 def _folder(location: str, partition: Partition) -> str:

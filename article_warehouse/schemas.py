@@ -19,6 +19,9 @@ BACKFILL_PROCESS = "articles_historical_backfill"
 INCREMENTAL_PROCESS = "articles_incremental_watermark"
 RUNNING = "running"
 COMPLETED = "completed"
+# Why the control table holds a mark that no incremental load has set.
+AFTER_BACKFILL = "historical_backfill_completion"
+AFTER_EARLIER_BACKFILL = "historical_backfill_existing_state"
 
 ARTICLE_KEY = "article_id"
 
@@ -27,6 +30,7 @@ def _struct(*fields: tuple) -> T.StructType:
     return T.StructType([T.StructField(name, kind, name not in REQUIRED) for name, kind in fields])
 
 
+# Fixed values, down to the end: tables and columns that readers of the warehouse rely on.
 # Columns that a warehouse row must have; files do not enforce it, so writers check it.
 REQUIRED = {"id", "article_key", "article_id", "date_key", "author_key", "process_name"}
 

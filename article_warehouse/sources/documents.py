@@ -14,7 +14,7 @@ def _plus_hours(start: Column, hours: Column) -> Column:
 
 
 def articles_from_documents(documents: DataFrame) -> DataFrame:
-    """One article per document, with creation times spread over ten years."""
+    """One article per document, with creation times spread over ten years; some are to be published ten years later."""
     doc = F.col("doc_id")
     created = _plus_hours(instant(FIRST_HOUR), doc * 7919 % 87600)
     updated = _plus_hours(created, doc % 72)
@@ -23,7 +23,7 @@ def articles_from_documents(documents: DataFrame) -> DataFrame:
         (doc + 1).cast("bigint").alias("id"),
         F.concat_ws("-", "lang", "source", doc.cast("string")).alias("title"),
         F.when(doc % 50 != 7, F.col("text")).alias("content"),
-        F.when(doc % 11 != 3, _plus_hours(created, F.lit(1))).alias("published_at"),
+        F.when(doc % 11 != 3, _plus_hours(created, F.when(doc % 13 == 4, 87601).otherwise(1))).alias("published_at"),
         F.when(doc % 37 != 5, author).alias("author_id"),
         created.alias("created_at"),
         updated.alias("updated_at"),

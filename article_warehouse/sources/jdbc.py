@@ -34,22 +34,24 @@ def ranges(start: datetime | str, end: datetime | str, step: timedelta) -> list[
 def range_predicates(
     column: str,
     cuts: Sequence[tuple[datetime, datetime]],
-    row_counts: Mapping[int, int],
+    counted: Mapping[int, tuple[int, int, int]],
     max_rows: int,
 ) -> list[str]:
-    """One read per range; a range above ``max_rows`` is divided further by id.
+    """One read per range; a range above ``max_rows`` is divided further by bounds of the id.
 
-    Dividing by id also splits rows that share one time. A range without a count is still read,
-    as rows may have arrived since the counting.
+    ``counted`` has rows, lowest and highest id of a range. Bounds of ids split rows that share one time too,
+    and an index on the id serves them. The first and the last read of a range are open, and a range without a count
+    is still read, as rows may have arrived since the counting.
     """
     predicates = []
     for index, (start, end) in enumerate(cuts):
         within = sql_range(column, start, end)
-        parts = max(1, -(-row_counts.get(index, 0) // max_rows))
-        if parts == 1:
-            predicates.append(within)
-        else:
-            predicates += [f"{within} AND abs(id % {parts}) = {part}" for part in range(parts)]
+        rows, lowest, highest = counted.get(index, (0, 0, 0))
+        parts = max(1, min(-(-rows // max_rows), highest - lowest + 1))
+        bounds = [lowest + (highest - lowest + 1) * part // parts for part in range(1, parts)]
+        lower = ["", *[f" AND id >= {bound}" for bound in bounds]]
+        upper = [*[f" AND id < {bound}" for bound in bounds], ""]
+        predicates += [within + low + high for low, high in zip(lower, upper)]
     return predicates or ["1 = 0"]
 
 
@@ -107,7 +109,7 @@ class JdbcSource:
     def _in_ranges(self, column: str, start: datetime, end: datetime, step: timedelta) -> DataFrame:
         # The database counts; one row per range comes back.
         counts = {
-            int(row["range_index"]): int(row["row_count"])
+            int(row["range_index"]): (int(row["row_count"]), int(row["lowest"]), int(row["highest"]))
             for row in self._query(self.count_query(column, start, end, step)).collect()
         }
         return self._read(range_predicates(column, ranges(start, end, step), counts, self.max_rows))
@@ -115,8 +117,8 @@ class JdbcSource:
     def count_query(self, column: str, start: datetime, end: datetime, step: timedelta) -> str:
         elapsed = f"extract(epoch FROM {column} - {sql_instant(start)})"
         return (
-            f"SELECT floor({elapsed} / {step.total_seconds()}) AS range_index, count(*) AS row_count "
-            f"FROM {self.table} WHERE {sql_range(column, start, end)} GROUP BY 1"
+            f"SELECT floor({elapsed} / {step.total_seconds()}) AS range_index, count(*) AS row_count, "
+            f"min(id) AS lowest, max(id) AS highest FROM {self.table} WHERE {sql_range(column, start, end)} GROUP BY 1"
         )
 
     def id_read_options(self) -> dict:

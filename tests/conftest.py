@@ -101,14 +101,14 @@ def frame(spark, rows):
 def seed_rows():
     hours = lambda n: AS_OF - timedelta(hours=n)
     return [
-        article(1, local("2016-04-12 09:30"), 101, "Reading on screens", published=local("2016-04-12 10:00")),
-        article(2, local("2016-08-25 15:00"), 102, "First steps with tables", published=local("2016-08-25 15:45")),
-        article(3, local("2016-12-18 07:00"), 101, "A site opens", published=local("2016-12-18 08:00")),
-        article(4, local("2020-02-05 10:00"), 103, "Large data", published=local("2020-02-05 11:20")),
-        article(5, local("2020-11-30 13:00"), 102, "A guide", published=local("2020-11-30 14:00")),
-        article(6, hours(13), 103, "Columns", published=hours(12)),
-        article(7, hours(5), 101, "Rows", published=hours(4)),
-        article(8, hours(48), 104, "Withdrawn", published=hours(24), updated=hours(24), deleted=hours(24)),
+        article(1, local("2016-05-03 16:20"), 101, "Reading on screens", published=local("2016-05-03 18:05")),
+        article(2, local("2016-09-14 11:10"), 102, "First steps with tables", published=local("2016-09-14 11:15")),
+        article(3, local("2016-11-06 07:00"), 101, "Midnight", published=local("2016-11-06 07:30")),
+        article(4, local("2020-03-19 20:45"), 103, "Large data", published=local("2020-03-19 21:00")),
+        article(5, local("2020-10-08 08:30"), 102, "A guide", published=local("2020-10-08 09:40")),
+        article(6, hours(15), 103, "Columns", published=hours(14)),
+        article(7, hours(6), 101, "Rows", published=hours(5)),
+        article(8, hours(70), 104, "Withdrawn", published=hours(66), updated=hours(30), deleted=hours(30)),
     ]
 
 

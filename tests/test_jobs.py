@@ -56,8 +56,8 @@ def test_seed_run_matches_the_published_counts(spark, seeded):
     ]
     # Created at midnight UTC; the business date is the same day.
     third = fact.where("article_id = '3'").first()
-    assert (third.created_at, third.created_date_key) == (datetime(2016, 12, 18), 20161218)
-    # 15:00 UTC the day before is still that day, 22:00 local.
+    assert (third.created_at, third.created_date_key) == (datetime(2016, 11, 6), 20161106)
+    # 21:00 UTC the day before is the next day, 04:00 local.
     assert fact.where("article_id = '7'").first().created_date_key == 20260522
 
 
@@ -224,8 +224,8 @@ def test_jobs_do_not_depend_on_the_session_zone(spark, tmp_path, zone):
     warehouse = new_warehouse(spark, tmp_path)
     hourly(spark, warehouse, seed_rows(), AS_OF)
     keys = sorted_rows(warehouse.table(S.FACT), "article_id", "created_at", "created_date_key")
-    assert keys[2] == ("3", datetime(2016, 12, 18), 20161218)
-    assert keys[5] == ("6", AS_OF - 13 * HOUR, 20260521)
+    assert keys[2] == ("3", datetime(2016, 11, 6), 20161106)
+    assert keys[5] == ("6", AS_OF - 15 * HOUR, 20260521)
     assert plans.control_mark(warehouse, S.INCREMENTAL_PROCESS) == AS_OF
     assert '"source_end": "2026-05-22 03:00:00+00:00"' in plans.control_record(warehouse, S.BACKFILL_PROCESS)["details"]
 
@@ -237,6 +237,20 @@ def test_details_text():
     )
 
 
+def test_details_without_a_form_in_json_become_text():
+    assert details_text({"day": AS_OF.date(), "span": HOUR}) == '{"day": "2026-05-22", "span": "1:00:00"}'
+
+
+def test_the_hourly_run_takes_the_options_of_its_jobs(spark, warehouse):
+    rows = seed_rows() + [article(1, local("2016-05-03 16:20"), title="later", updated=AS_OF - HOUR)]
+    options = {"on_duplicate": "latest", "chunk_days": 400, "batch_size": 2, "start": datetime(2016, 6, 1)}
+    found = plans.run_hourly(source(spark, rows), warehouse, AS_OF - HOUR, AS_OF, AS_OF, **options)
+    assert found == {"backfilled": 7, "changed": None, "marked_deleted": 0}
+    with pytest.raises(plans.DeleteGuardError):
+        at = AS_OF + HOUR
+        plans.run_hourly(source(spark, []), warehouse, AS_OF, at, at, max_delete_fraction=0.1, lookback=HOUR, zone="UTC")
+
+
 def test_control_records_are_merged_by_process(spark, warehouse):
     warehouse.bootstrap()
     assert plans.control_record(warehouse, "a") is None and plans.control_mark(warehouse, "a") is None
@@ -257,7 +271,7 @@ def test_star_queries_over_the_seed(spark, seeded):
         (103, 2020, 1, 1), (103, 2026, 1, 1), (104, 2026, 1, 0),
     ]
     weekend = {r.author_id: r.weekend_share for r in plans.weekend_share_per_author(fact, dates).collect()}
-    # 2016-12-18 was a Sunday.
+    # 2016-11-06 was a Sunday.
     assert weekend == {101: 1 / 3, 102: 0.0, 103: 0.0, 104: 0.0}
     assert plans.articles_per_quarter(fact, date_dimension(spark)).count() == 6
     active = plans.active_articles_per_author(fact, authors)

@@ -7,6 +7,7 @@ from article_warehouse import schemas as S
 from article_warehouse.sources import FrameSource, JdbcSource, article_source
 from article_warehouse.sources.jdbc import range_predicates, ranges
 
+COUNTED = "range_index bigint, row_count bigint, lowest bigint, highest bigint"
 START, END = datetime(2016, 1, 1), datetime(2016, 3, 1)
 
 
@@ -37,12 +38,14 @@ def test_large_ranges_are_divided_by_id():
     cuts = ranges(START, END, timedelta(days=31))
     first = "created_at >= TIMESTAMPTZ '2016-01-01 00:00:00+00' AND created_at < TIMESTAMPTZ '2016-02-01 00:00:00+00'"
     second = "created_at >= TIMESTAMPTZ '2016-02-01 00:00:00+00' AND created_at < TIMESTAMPTZ '2016-03-01 00:00:00+00'"
-    assert range_predicates("created_at", cuts, {1: 2500}, 1000) == [
+    assert range_predicates("created_at", cuts, {1: (2500, 10, 39)}, 1000) == [
         first,
-        f"{second} AND abs(id % 3) = 0",
-        f"{second} AND abs(id % 3) = 1",
-        f"{second} AND abs(id % 3) = 2",
+        f"{second} AND id < 20",
+        f"{second} AND id >= 20 AND id < 30",
+        f"{second} AND id >= 30",
     ]
+    # Rows of one time are divided too, as far as they have different ids.
+    assert range_predicates("created_at", cuts[:1], {0: (2500, 7, 8)}, 1000) == [f"{first} AND id < 8", f"{first} AND id >= 8"]
     assert range_predicates("created_at", [], {}, 1000) == ["1 = 0"]
 
 
@@ -63,18 +66,18 @@ class RecordedReads(JdbcSource):
 
 
 def test_history_reads_follow_the_counts(spark):
-    source = RecordedReads(spark, ([(0, 10), (1, 4_000)], "range_index bigint, row_count bigint"), max_rows=1000)
+    source = RecordedReads(spark, ([(0, 10, 1, 10), (1, 4_000, 11, 4_010)], COUNTED), max_rows=1000)
     source.created(START, END, 31)
     assert len(source.reads[0]) == 1 + 4
     assert source.queries == [
         "SELECT floor(extract(epoch FROM created_at - TIMESTAMPTZ '2016-01-01 00:00:00+00') / 2678400.0) AS range_index, "
-        "count(*) AS row_count FROM articles WHERE created_at >= TIMESTAMPTZ '2016-01-01 00:00:00+00' "
+        "count(*) AS row_count, min(id) AS lowest, max(id) AS highest FROM articles WHERE created_at >= TIMESTAMPTZ '2016-01-01 00:00:00+00' "
         "AND created_at < TIMESTAMPTZ '2016-03-01 00:00:00+00' GROUP BY 1"
     ]
 
 
 def test_changes_are_read_in_slices(spark):
-    source = RecordedReads(spark, ([], "range_index bigint, row_count bigint"), change_reads=4)
+    source = RecordedReads(spark, ([], COUNTED), change_reads=4)
     source.changed(START, START + timedelta(hours=1))
     assert len(source.reads[0]) == 4
     assert source.reads[0][0].endswith("updated_at < TIMESTAMPTZ '2016-01-01 00:15:00+00'")

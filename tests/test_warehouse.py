@@ -66,7 +66,7 @@ def test_layout_follows_the_size():
     assert plans.Layout.for_bytes(1 << 30) == plans.Layout("year")
     assert plans.Layout.for_bytes(400 << 30) == plans.Layout("month")
     assert plans.Layout.for_bytes(100 << 40) == plans.Layout("day", 8)
-    for wrong in (("week", 1), ("day", 0), ("day", 1001), ("day", 1, ((20200101, 0),))):
+    for wrong in (("week", 1), ("day", 0), ("day", 1, ((20200101, 0),))):
         with pytest.raises(ValueError):
             plans.Layout(*wrong)
 
@@ -77,6 +77,8 @@ def test_a_hot_period_gets_slices_of_its_own(spark, tmp_path):
     layout = plans.Layout.for_articles(frame(spark, rows), total=300 * 1000, per_partition=2400)
     assert layout.grain == "day" and layout.slices == 1
     assert layout.hot == ((20200101, 42),)
+    # However many slices a period needs, it gets.
+    assert plans.Layout.for_articles(frame(spark, rows), total=300 * 100_000, per_partition=2400).hot == ((20200101, 4167),)
     warehouse = new_warehouse(spark, tmp_path, plans.Layout("year", 2, ((2020, 16),)))
     warehouse.bootstrap()
     assert warehouse.layout == plans.Layout("year", 2, ((2020, 16),))
@@ -309,6 +311,69 @@ def test_vacuum_removes_replaced_files_only(spark, warehouse):
     assert warehouse.vacuum(timedelta(0)) == []
 
 
+@pytest.mark.parametrize("call", [3, 4, 6])
+def test_vacuum_after_a_crash_loses_nothing(spark, tmp_path, monkeypatch, call):
+    warehouse = new_warehouse(spark, tmp_path)
+    warehouse.bootstrap()
+    warehouse.merge_fact(_fact(spark, *[article(i, DAY + timedelta(days=400 * (i // 2 - 1))) for i in range(1, 6)]))
+    batch = _fact(spark, *[move() for move in MOVES]).cache()
+    before = warehouse.table(S.FACT).cache()
+    expected = sorted_rows(op.merge_upsert(before, batch))
+    with monkeypatch.context() as patched:
+        _crash_at(patched, call)
+        with pytest.raises(Crash):
+            warehouse.merge_fact(batch)
+    warehouse.vacuum(timedelta(0))
+    warehouse.finish_publication()
+    assert sorted_rows(warehouse.table(S.FACT)) == expected
+
+
+def test_vacuum_does_not_read_the_fact(spark, stocked, monkeypatch):
+    monkeypatch.setattr(plans.Warehouse, "table", lambda *_: 1 / 0)
+    monkeypatch.setattr(type(spark), "table", lambda *_: 1 / 0)
+    assert stocked.vacuum(timedelta(0)) == []
+
+
+def test_one_repeated_key_rewrites_one_partition(spark, stocked, monkeypatch):
+    written, real = [], plans.Warehouse._write_fact
+
+    def write(self, placed, location):
+        real(self, placed, location)
+        written.append(len({tuple(row) for row in placed.select(*storage.PARTITION).distinct().collect()}))
+
+    monkeypatch.setattr(plans.Warehouse, "_write_fact", write)
+    rows = [article(i, DAY + timedelta(days=40 * i)) for i in range(10, 30)]
+    newer = article(12, DAY + timedelta(days=480), title="newer", updated=DAY + timedelta(days=999))
+    assert stocked.merge_fact(_fact(spark, *rows, newer), on_duplicate="latest") == 20
+    assert written[0] > 10 and written[1] == 1
+    assert stocked.article("12").first().title == "newer" and stocked.table(S.FACT).count() == 24
+
+
+def test_the_calendar_grows_with_the_fact(spark, stocked):
+    stocked.merge_fact(_fact(spark, article(50, DAY, published=datetime(2033, 5, 1))))
+    fact, dates = stocked.table(S.FACT), stocked.table(S.DATES)
+    assert dates.agg(F.max("date_key")).first()[0] == 20330501 and dates.count() == dates.distinct().count()
+    assert plans.facts_without_day(fact, dates).isEmpty()
+    assert plans.facts_without_day(fact, op.date_dimension(spark)).collect()[0]["date_key"] == 20330501
+    assert plans.articles_per_quarter(fact, dates).agg(F.sum("articles")).first()[0] == 5
+
+
+def test_few_missing_rows_do_not_shuffle_the_fact(spark, stocked):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = stocked.table(S.FACT)
+        ids = spark.createDataFrame([("1",), ("2",), ("4",)], "article_id string")
+        plan = op.reconcile_deletes(fact, ids, NOW, missing_rows=1)._jdf.queryExecution().executedPlan().toString()
+        latest = op.keep_latest(fact, repeated=(op.duplicate_keys(fact), 0))
+        latest_plan = latest._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert "BroadcastHashJoin" in plan and exchanges and "BroadcastHashJoin" in latest_plan
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "content" not in line]
+    assert scans
+
+
 def test_reads_by_time_and_key_skip_partitions(spark, stocked):
     rows = stocked.fact(DAY, DAY + timedelta(days=31))
     assert sorted_rows(rows, "article_id") == [("2",), ("3",)]
