@@ -42,12 +42,15 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def kept_table(df: DataFrame) -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read again."""
-    spark = df.sparkSession
-    path = f"{scratch_folder(spark)}/tables/{uuid.uuid4().hex}"
+def new_folder(spark: SparkSession) -> str:
+    """A folder of its own in the shared one."""
+    return f"{scratch_folder(spark)}/tables/{uuid.uuid4().hex}"
+
+
+def kept_table(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written as Parquet and read again."""
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def small(df: DataFrame, most: int = 100_000) -> DataFrame:

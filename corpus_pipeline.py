@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from article_warehouse.llm.common import kept_table, table
+from article_warehouse.files import delete_folder
+from article_warehouse.llm.common import kept_table, new_folder, table
 from article_warehouse.llm.decontaminate import drop_contaminated
 from article_warehouse.llm.exact import drop_exact_duplicates
 from article_warehouse.llm.mixing import mix
@@ -44,8 +45,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mix of what the stages keep of ``documents``; each stage's result is a Parquet table in the shared folder."""
-    docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
-        docs = kept_table(stage(spark, docs, sf_dir))
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """The mix of what the stages keep of ``documents``.
+
+    Each stage's result is a Parquet table in the shared folder. They are deleted at the end: the mix rests on
+    what it has stored itself.
+    """
+    docs, folder = table(spark, sf_dir, "documents"), new_folder(spark)
+    for number, (_, stage) in enumerate(STAGES[:-1]):
+        docs = kept_table(stage(spark, docs, sf_dir), f"{folder}/{number}")
+    mixed = STAGES[-1][1](spark, docs, sf_dir)
+    delete_folder(spark, folder)
+    return mixed
