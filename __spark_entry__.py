@@ -11,14 +11,14 @@ import uuid
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from article_warehouse import operators as op, plans, schemas as S
 from article_warehouse.files import stored_bytes
 from article_warehouse.functions import instant
 from article_warehouse.operators.calendar import calendar_days
 from article_warehouse.scratch import scratch_folder
-from article_warehouse.sources import FrameSource, articles_from_documents
+from article_warehouse.sources import FrameSource, article_source, articles_from_documents
 
 try:  # these may be left out of a build
     import corpus_pipeline
@@ -165,10 +165,14 @@ def _updated(spark: SparkSession, sf_dir: str, until: datetime) -> plans.Warehou
     return warehouse
 
 
-_HOURLY: dict[tuple[str, str], plans.Warehouse] = {}
+_HOURLY: dict[tuple[str, str], tuple[plans.Warehouse, dict[str, int | None]]] = {}
 
 
 def _hourly(spark: SparkSession, sf_dir: str) -> plans.Warehouse:
+    return _hourly_run(spark, sf_dir)[0]
+
+
+def _hourly_run(spark: SparkSession, sf_dir: str) -> tuple[plans.Warehouse, dict[str, int | None]]:
     """A warehouse after backfill, changes and an hourly run that loads the rest and syncs deletes.
 
     Its three tables are read by queries of their own, so it is loaded once per application and source.
@@ -177,8 +181,8 @@ def _hourly(spark: SparkSession, sf_dir: str) -> plans.Warehouse:
     if key not in _HOURLY:
         warehouse = _updated(spark, sf_dir, CHANGED_UNTIL)
         source = FrameSource(remaining_articles(spark, sf_dir))
-        plans.run_hourly(source, warehouse, CHANGED_UNTIL, END, SYNCED, chunk_days=CHUNK_DAYS, max_delete_fraction=0.5)
-        _HOURLY[key] = warehouse
+        options = {"chunk_days": CHUNK_DAYS, "max_delete_fraction": 0.5}
+        _HOURLY[key] = warehouse, plans.run_hourly(source, warehouse, CHANGED_UNTIL, END, SYNCED, **options)
     return _HOURLY[key]
 
 
@@ -198,6 +202,28 @@ def authors_after_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _hourly(spark, sf_dir).table(S.AUTHORS)
 
 
+def affected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each step of the hourly run reports."""
+    counts = _hourly_run(spark, sf_dir)[1]
+    return spark.createDataFrame(list(counts.items()), "step string, affected long")
+
+
+def added_column_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A merge into a fact that got a column after its backfill; rows of the merge lack it."""
+    warehouse = _backfilled(spark, sf_dir)
+    warehouse.add_missing_columns(S.FACT, T.StructType([T.StructField("note", T.StringType())]))
+    warehouse.merge_fact(warehouse.table(S.FACT).withColumn("note", F.concat(F.lit("n"), "article_id")))
+    warehouse.merge_fact(_changed_rows(spark, sf_dir))
+    return warehouse.table(S.FACT)
+
+
+def article_source_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles read from a Parquet folder that has a column more."""
+    folder = f"{scratch_folder(spark)}/articles-{uuid.uuid4().hex[:12]}"
+    articles(spark, sf_dir).withColumn("extra", F.lit(1)).write.parquet(folder)
+    return article_source(spark, folder).rows()
+
+
 def control_after_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.control_records(_hourly(spark, sf_dir).table(S.CONTROL))
 
@@ -283,6 +309,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "delete_sync_load": delete_sync_load,
         "authors_after_run": authors_after_run,
         "control_after_run": control_after_run,
+        "affected_rows": affected_rows,
+        "added_column_load": added_column_load,
+        "article_source_rows": article_source_rows,
         "audit_counts": audit_counts,
         "stored_audit_counts": stored_audit_counts,
         "stored_calendar": stored_calendar,
@@ -493,6 +522,14 @@ where is_deleted = false and article_id not in (select article_id from remaining
         "delete_sync_load": f"with {_LOADED} select * from final",
         "authors_after_run": f"with {_LOADED} {_authors_sql('final', SYNCED)}",
         "control_after_run": _control_sql(),
+        "affected_rows": f"""with {_LOADED}
+select 'backfilled' as step, 0 as affected
+union all select 'changed', (select count(*) from rest)
+union all select 'marked_deleted', (
+  select count(*) from all_rows where not is_deleted and article_id not in (select article_id from remaining))""",
+        "added_column_load": f"""with {_LOADED}
+select loaded.*, case when article_id in (select article_id from history) then 'n' || article_id end as note from loaded""",
+        "article_source_rows": f"with {_ARTICLES} select * from articles",
         "audit_counts": f"""{star}
 select 'source_rows' as check_name, count(*) as row_count from articles
 union all select 'fact_rows', count(*) from fact

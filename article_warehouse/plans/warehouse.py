@@ -48,6 +48,8 @@ class DeleteGuardError(RuntimeError):
 
 
 PARTITION_BYTES = 4 << 30
+# Size that the tasks which write the fact aim at, as shuffled.
+FILE_BYTES = 512 << 20
 # Catalog statements of a publication that are under way at a time.
 CATALOG_THREADS = 8
 
@@ -181,8 +183,10 @@ class Warehouse:
         root: str,
         database: str = "article_warehouse",
         layout: Layout = Layout(),
+        file_bytes: int = FILE_BYTES,
     ):
         self.spark, self.root, self.database = spark, root.rstrip("/"), database
+        self.file_bytes = file_bytes
         self._wanted_layout = layout
 
     # Tables
@@ -414,13 +418,19 @@ class Warehouse:
     def _write_fact(self, placed: DataFrame, location: str) -> None:
         # Rebalancing splits a partition with many rows over several tasks and joins small ones,
         # which a repartition by the same columns would not.
-        (
-            placed.hint("rebalance", *PARTITION)
-            .sortWithinPartitions(*PARTITION, *CLUSTERING)
-            .write.mode("errorifexists")
-            .partitionBy(*PARTITION)
-            .parquet(location)
-        )
+        size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+        before = self.spark.conf.get(size)
+        self.spark.conf.set(size, str(self.file_bytes))
+        try:
+            (
+                placed.hint("rebalance", *PARTITION)
+                .sortWithinPartitions(*PARTITION, *CLUSTERING)
+                .write.mode("errorifexists")
+                .partitionBy(*PARTITION)
+                .parquet(location)
+            )
+        finally:
+            self.spark.conf.set(size, before)
 
     def _fact_files(self, location: str, columns: list[str]) -> DataFrame:
         fields = {field.name: field for field in self.spark.table(self.name(S.FACT)).schema}

@@ -387,16 +387,12 @@ def test_reads_by_time_and_key_skip_partitions(spark, stocked):
 def test_a_large_partition_is_written_by_several_tasks(spark, tmp_path):
     warehouse = new_warehouse(spark, tmp_path)
     warehouse.bootstrap()
-    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    spark.conf.set(size, "20000")
-    try:
-        text = F.repeat(F.sha2(F.col("id").cast("string"), 256), 4)
-        rows = _fact(spark).sparkSession.range(4000).select(
-            "id", F.lit("t").alias("title"), text.alias("content"), F.lit(DAY).cast("timestamp_ntz").alias("created_at"),
-            F.lit(1).alias("author_id"), *[F.lit(None).cast("timestamp_ntz").alias(n) for n in ("published_at", "updated_at", "deleted_at")],
-        )
-        warehouse.merge_fact(op.transform_articles(rows))
-    finally:
-        spark.conf.unset(size)
+    warehouse.file_bytes = 20_000
+    text = F.repeat(F.sha2(F.col("id").cast("string"), 256), 4)
+    rows = spark.range(4000).select(
+        "id", F.lit("t").alias("title"), text.alias("content"), F.lit(DAY).cast("timestamp_ntz").alias("created_at"),
+        F.lit(1).alias("author_id"), *[F.lit(None).cast("timestamp_ntz").alias(n) for n in ("published_at", "updated_at", "deleted_at")],
+    )
+    warehouse.merge_fact(op.transform_articles(rows))
     assert warehouse.partitions() == {(2020, 0)}
     assert len(warehouse.table(S.FACT).inputFiles()) > 3
