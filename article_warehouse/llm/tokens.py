@@ -17,6 +17,8 @@ from article_warehouse.llm.common import pieces, text_of
 TABLE_ROWS, TABLE_ENTRIES, TABLE_CHUNK_CHARS = 2000, 32_768, 48
 # Entries of a worker's cache of the rest, after which it starts anew, and the longest chunk in it.
 CACHE_ENTRIES, CACHE_CHUNK_CHARS = 400_000, 256
+# Bytes of text whose missed chunks are encoded together.
+TEXT_BYTES = 4 << 20
 
 # Blanks that Python splits at beside the six of ASCII; with one of them a text is split by pattern.
 _OTHER_BLANK = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
@@ -110,7 +112,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 2048) -> DataFrame:
     def counted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         lengths = Lengths(path, table.value)
         for texts in batches:
-            yield pa.array([n for piece in pieces(texts) for n in lengths.counts(piece.to_pylist())], pa.int64())
+            yield pa.array([n for piece in pieces(texts, TEXT_BYTES) for n in lengths.counts(piece.to_pylist())], pa.int64())
 
     n_tokens = counted(text_of())
     rows = docs.select("doc_id", F.octet_length(text_of()).cast("long").alias("n_bytes"), n_tokens.alias("n_tokens"))
