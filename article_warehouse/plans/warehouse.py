@@ -9,16 +9,17 @@ from __future__ import annotations
 
 import math
 import uuid
+from collections import Counter
 from collections.abc import Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from article_warehouse import schemas as S
-from article_warehouse.files import delete_folder, partition_locations, subfolders
+from article_warehouse.files import delete_folder, partition_locations, stored_bytes, subfolders
 from article_warehouse.functions import instant, to_utc, utc_naive, utc_now
 from article_warehouse.operators.authors import author_dimension
 from article_warehouse.operators.calendar import FIRST_DATE, LAST_DATE, covering_calendar, date_dimension
@@ -39,6 +40,8 @@ PARTITION_SCHEMA = T.StructType([T.StructField(name, T.IntegerType()) for name i
 CLUSTERING = ["author_id", S.ARTICLE_KEY]
 
 _PENDING = "pending_publication"
+# Set with each publication, cleared once the author dimension is computed from what was published.
+_AUTHORS_BEHIND = "authors_behind"
 
 Partition = tuple[int, int]
 
@@ -50,7 +53,7 @@ class DeleteGuardError(RuntimeError):
 PARTITION_BYTES = 4 << 30
 # Size that the tasks which write the fact aim at, as shuffled.
 FILE_BYTES = 512 << 20
-# Catalog statements of a publication that are under way at a time.
+# Catalog statements of a publication, or folders being measured, that are under way at a time.
 CATALOG_THREADS = 8
 
 
@@ -63,12 +66,14 @@ class Layout:
     """Physical partitions of the fact: a UTC period of ``created_at`` and a slice of the keys.
 
     A merge rewrites the partitions it touches, so they bound its cost. ``hot`` gives periods that
-    need another number of slices than usual a number of their own.
+    need another number of slices than usual a number of their own. A period that outgrows
+    ``partition_bytes`` a slice gets more of them with the merge that makes it so large.
     """
 
     grain: str = "month"
     slices: int = 1
     hot: tuple[tuple[int, int], ...] = ()
+    partition_bytes: int = PARTITION_BYTES
 
     def __post_init__(self) -> None:
         if self.grain not in ("day", "month", "year"):
@@ -81,8 +86,8 @@ class Layout:
         """The coarsest layout that keeps an average partition within ``per_partition`` bytes."""
         for grain, periods in (("year", years), ("month", 12 * years)):
             if total <= periods * per_partition:
-                return cls(grain)
-        return cls("day", _slices_for(total / (365 * years), per_partition))
+                return cls(grain, partition_bytes=per_partition)
+        return cls("day", _slices_for(total / (365 * years), per_partition), partition_bytes=per_partition)
 
     @classmethod
     def for_articles(cls, articles: DataFrame, total: int, per_partition: int = PARTITION_BYTES) -> Layout:
@@ -94,17 +99,34 @@ class Layout:
         rows = sum(counts.values())
         needed = {p: _slices_for(total * count / rows, per_partition) for p, count in counts.items()}
         usual = sorted(needed.values())[len(needed) // 2] if needed else 1
-        return cls(grain, usual, tuple(sorted((p, n) for p, n in needed.items() if n != usual)))
+        return cls(grain, usual, tuple(sorted((p, n) for p, n in needed.items() if n != usual)), per_partition)
 
     @classmethod
     def from_properties(cls, properties: Mapping[str, str]) -> Layout:
         prefix = "layout.slices."
         hot = sorted((int(k.removeprefix(prefix)), int(v)) for k, v in properties.items() if k.startswith(prefix))
-        return cls(properties["layout.grain"], int(properties["layout.slices"]), tuple(hot))
+        size = int(properties.get("layout.partition_bytes", PARTITION_BYTES))
+        return cls(properties["layout.grain"], int(properties["layout.slices"]), tuple(hot), size)
 
     def properties(self) -> dict[str, str]:
         hot = {f"layout.slices.{period}": str(slices) for period, slices in self.hot}
-        return {"layout.grain": self.grain, "layout.slices": str(self.slices), **hot}
+        sizes = {"layout.slices": str(self.slices), "layout.partition_bytes": str(self.partition_bytes)}
+        return {"layout.grain": self.grain, **sizes, **hot}
+
+    def slices_of(self, period: int) -> int:
+        return dict(self.hot).get(period, self.slices)
+
+    def grown(self, sizes: Mapping[int, int]) -> Layout:
+        """This layout with more slices for periods whose bytes outgrow theirs.
+
+        They get room for twice their bytes, so that a growing period is sliced anew a few times only.
+        """
+        own = dict(self.hot)
+        for period, size in sizes.items():
+            slices = own.get(period, self.slices)
+            if size > slices * self.partition_bytes:
+                own[period] = _slices_for(2 * size, self.partition_bytes)
+        return replace(self, hot=tuple(sorted(own.items())))
 
     def period(self, created: Column) -> Column:
         """The period as an integer such as 201612; 0 for a row without creation time."""
@@ -150,9 +172,13 @@ def _within(partitions: Iterable[Partition]) -> Column:
     )
 
 
+def _partition_rows(rows: DataFrame) -> dict[Partition, int]:
+    """Number of ``rows`` in each partition; at most one entry per partition of the fact."""
+    return {(row[PERIOD], row[SLICE]): row["count"] for row in rows.groupBy(*PARTITION).count().collect()}
+
+
 def _distinct_partitions(rows: DataFrame) -> set[Partition]:
-    """Partition values present in ``rows``; at most one per partition of the fact."""
-    return {(row[PERIOD], row[SLICE]) for row in rows.select(*PARTITION).distinct().collect()}
+    return set(_partition_rows(rows))
 
 
 def _quoted(text: str) -> str:
@@ -221,7 +247,7 @@ class Warehouse:
 
     @property
     def layout(self) -> Layout:
-        """The layout that the fact was created with."""
+        """The layout that the fact was created with, and the slices of periods that grew since."""
         return Layout.from_properties(self._properties(S.FACT))
 
     def ensure_table(
@@ -302,6 +328,12 @@ class Warehouse:
 
     def refresh_authors(self, as_of: datetime) -> None:
         self.replace_table(S.AUTHORS, author_dimension(self.table(S.FACT), as_of))
+        self._set_properties({_AUTHORS_BEHIND: ""})
+
+    def catch_up_authors(self, as_of: datetime) -> None:
+        """Refresh the author dimension if the fact changed since, also in a run that did not come so far."""
+        if self._properties(S.FACT).get(_AUTHORS_BEHIND):
+            self.refresh_authors(as_of)
 
     @contextmanager
     def staged(self, batch: DataFrame, on_duplicate: str = "error") -> Iterator[StagedBatch]:
@@ -354,30 +386,60 @@ class Warehouse:
         """Upsert a stored batch.
 
         Partitions that the fact does not have yet take the stored files as they are. The others
-        that hold a key of the batch, or will, are rewritten.
+        that hold a key of the batch, or will, are rewritten, and so are all of a period that
+        outgrows its slices; its new number of slices is committed with the publication.
         """
         if not staged.row_count:
             return
-        fact, existing = self.spark.table(self.name(S.FACT)), self.partitions()
+        fact, existing, layout = self.spark.table(self.name(S.FACT)), self.partitions(), self.layout
         keys = sized_keys(staged.rows.select(S.ARTICLE_KEY), staged.row_count)
-        current = _distinct_partitions(fact.join(keys, S.ARTICLE_KEY, "left_semi")) if existing else set()
-        incoming = _distinct_partitions(staged.rows)
+        replaced = _partition_rows(fact.join(keys, S.ARTICLE_KEY, "left_semi")) if existing else {}
+        added = _partition_rows(staged.rows)
+        current, incoming = set(replaced), set(added)
+        wider = layout.grown(self._period_bytes(staged, added, replaced))
+        resliced = {period for period, slices in wider.hot if slices != layout.slices_of(period)}
         # Columns that only the table has keep their value, which the stored files do not hold.
         complete = set(fact.columns) == set(staged.rows.columns)
         fresh = incoming - existing if complete or not existing else set()
-        rewritten = (current | incoming) - fresh
+        fresh = {partition for partition in fresh if partition[0] not in resliced}
+        outgrown = {partition for partition in existing if partition[0] in resliced}
+        rewritten = (current | incoming | outgrown) - fresh
         published = {partition: _folder(staged.location_of(partition), partition) for partition in fresh}
         dropped: set[Partition] = set()
         if rewritten:
             location = self._new_folder(S.FACT)
             merged = merge_upsert(fact.where(_within(rewritten)), staged.rows, batch_rows=staged.row_count)
-            self._write_fact(merged.where(_within(rewritten)), location)
+            merged = merged.where(_within(rewritten))
+            self._write_fact(wider.place(merged.drop(*PARTITION)) if resliced else merged, location)
             written = _distinct_partitions(self._fact_files(location, fact.columns))
             published |= {partition: _folder(location, partition) for partition in written}
             dropped = (rewritten & existing) - written
         staged.taken_over = bool(fresh)
         self._cover_days(staged.rows)
-        self._publish(published, dropped)
+        self._publish(published, dropped, wider.properties() if resliced else {})
+
+    def _period_bytes(
+        self, staged: StagedBatch, added: Mapping[Partition, int], replaced: Mapping[Partition, int]
+    ) -> dict[int, float]:
+        """Bytes that each period of a batch will have: its files in the fact and those of the batch, less replaced
+        rows, which are taken to be as long as those of the batch."""
+        rows, old = Counter(), Counter()
+        for counts, by_partition in ((rows, added), (old, replaced)):
+            for (period, _), count in by_partition.items():
+                counts[period] += count
+        locations = partition_locations(self.spark, self.database, S.FACT)
+        stored = [(int(location.rsplit(f"/{PERIOD}=", 1)[1].split("/")[0]), location) for location in locations]
+        batch = self._folder_bytes([(period, _folder(staged.location_of((period, part)), (period, part))) for period, part in added])
+        fact = self._folder_bytes([(period, location) for period, location in stored if period in rows])
+        return {period: fact[period] + batch[period] * max(0.0, 1 - old[period] / rows[period]) for period in rows}
+
+    def _folder_bytes(self, folders: list[tuple[int, str]]) -> Counter[int]:
+        sizes: Counter[int] = Counter()
+        with ThreadPoolExecutor(CATALOG_THREADS) as threads:
+            measured = threads.map(lambda folder: stored_bytes(self.spark, folder[1]), folders)
+            for (period, _), size in zip(folders, measured, strict=True):
+                sizes[period] += size
+        return sizes
 
     def mark_missing(
         self, ids: DataFrame, as_of: datetime, max_delete_fraction: float | None = None
@@ -446,20 +508,23 @@ class Warehouse:
         listed = self.spark.sql(f"SHOW PARTITIONS {self.name(S.FACT)}").collect()
         return {tuple(int(part.split("=")[1]) for part in row["partition"].split("/")) for row in listed}
 
-    def _publish(self, published: dict[Partition, str], dropped: set[Partition]) -> None:
+    def _publish(
+        self, published: dict[Partition, str], dropped: set[Partition], properties: Mapping[str, str] = {}
+    ) -> None:
         """Point the catalog at new partition folders and remove partitions left empty.
 
         Each statement is atomic, their sequence is not. The list is stored first, and setting the
         table property commits it: from then on it is carried out, by a later run if need be.
+        ``properties`` are set in the statement that commits.
         """
         entries = [(*partition, location) for partition, location in published.items()]
         entries += [(*partition, None) for partition in dropped]
         plan = self._new_folder("publication")
         schema = T.StructType([*PARTITION_SCHEMA, T.StructField("location", T.StringType())])
         self._write(self.spark.createDataFrame(entries, schema).coalesce(1), plan)
-        self._set_property(_PENDING, plan)
+        self._set_properties({**properties, _PENDING: plan, _AUTHORS_BEHIND: "yes"})
         self._carry_out(entries)
-        self._set_property(_PENDING, "")
+        self._set_properties({_PENDING: ""})
         delete_folder(self.spark, plan)
 
     def finish_publication(self) -> None:
@@ -467,7 +532,7 @@ class Warehouse:
         plan = self._properties(S.FACT).get(_PENDING)
         if plan:
             self._carry_out([tuple(row) for row in self.spark.read.parquet(plan).collect()])
-            self._set_property(_PENDING, "")
+            self._set_properties({_PENDING: ""})
             delete_folder(self.spark, plan)
 
     def _carry_out(self, entries: list[tuple[int, int, str | None]]) -> None:
@@ -496,8 +561,9 @@ class Warehouse:
         rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)}").collect()
         return {row["key"]: row["value"] for row in rows}
 
-    def _set_property(self, key: str, value: str) -> None:
-        self._alter_fact(f"SET TBLPROPERTIES ({_quoted(key)} = {_quoted(value)})")
+    def _set_properties(self, properties: Mapping[str, str]) -> None:
+        listed = ", ".join(f"{_quoted(key)} = {_quoted(value)}" for key, value in properties.items())
+        self._alter_fact(f"SET TBLPROPERTIES ({listed})")
 
     # Folders
 

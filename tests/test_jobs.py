@@ -5,7 +5,7 @@ import pytest
 from conftest import AS_OF, article, clone, frame, local, new_warehouse, seed_rows, sorted_rows
 
 from article_warehouse import plans, schemas as S
-from article_warehouse.operators import DuplicateKeyError, date_dimension
+from article_warehouse.operators import DuplicateKeyError, author_dimension, date_dimension
 from article_warehouse.plans.control import details_text
 from article_warehouse.sources import FrameSource
 
@@ -206,6 +206,33 @@ def test_a_failure_stops_the_hourly_run(spark, warehouse, monkeypatch):
     assert done == []
 
 
+def test_the_hourly_run_refreshes_authors_once(spark, warehouse, monkeypatch):
+    refreshed, real = [], plans.Warehouse.refresh_authors
+    monkeypatch.setattr(plans.Warehouse, "refresh_authors", lambda self, at: (refreshed.append(at), real(self, at)))
+    hourly(spark, warehouse, seed_rows(), AS_OF)
+    assert refreshed == [AS_OF]
+    rows = revised(seed_rows(), 1, title="new", updated_at=AS_OF + HOUR / 2)[:-2]
+    at = AS_OF + HOUR
+    found = plans.run_hourly(source(spark, rows), warehouse, AS_OF, at, at)
+    assert found == {"backfilled": 0, "changed": 1, "marked_deleted": 1} and refreshed == [AS_OF, at]
+    assert plans.run_hourly(source(spark, rows), warehouse, at, at + HOUR, at + HOUR)["marked_deleted"] == 0
+    assert refreshed == [AS_OF, at]
+    expected = author_dimension(warehouse.table(S.FACT), at)
+    assert sorted_rows(warehouse.table(S.AUTHORS)) == sorted_rows(expected.select(warehouse.table(S.AUTHORS).columns))
+
+
+def test_authors_catch_up_after_a_failed_sync(spark, seeded, monkeypatch):
+    gone = source(spark, seed_rows()[1:])
+    with monkeypatch.context() as patched:
+        patched.setattr(plans.Warehouse, "refresh_authors", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            plans.run_delete_sync(gone, seeded, AS_OF + HOUR)
+    # The row is marked already, so the next sync changes none, and has the authors to catch up.
+    assert plans.run_delete_sync(gone, seeded, AS_OF + 2 * HOUR) == 0
+    authors = seeded.table(S.AUTHORS).where("author_id = 101").first()
+    assert (authors["total_article_count"], authors["active_article_count"]) == (3, 2)
+
+
 def test_repeated_source_rows(spark, warehouse):
     rows = seed_rows() + [article(1, local("2016-04-12 09:30"), title="later", updated=AS_OF - HOUR)]
     with pytest.raises(DuplicateKeyError):

@@ -1,3 +1,4 @@
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -235,6 +236,61 @@ def test_an_empty_source_marks_everything_unless_guarded(spark, stocked):
     assert stocked.table(S.FACT).where("is_deleted").count() == 4
 
 
+def _large(first, last, day=DAY):
+    return [article(i, day, title=f"t{i}", content=random.Random(i).randbytes(400).hex()) for i in range(first, last)]
+
+
+def test_a_period_that_turns_hot_gets_more_slices(spark, tmp_path):
+    warehouse = new_warehouse(spark, tmp_path, plans.Layout("year", 1, partition_bytes=30_000))
+    warehouse.bootstrap()
+    other = DAY + timedelta(days=500)
+    warehouse.merge_fact(_fact(spark, *_large(1, 4), *_large(900, 903, other)))
+    assert warehouse.partitions() == {(2020, 0), (2021, 0)} and warehouse.layout.hot == ()
+    batch = _fact(spark, *_large(2, 300)).cache()
+    expected = sorted_rows(op.merge_upsert(warehouse.table(S.FACT).cache(), batch))
+    files = set(warehouse.fact(other, other + timedelta(days=1)).inputFiles())
+    warehouse.merge_fact(batch)
+    assert sorted_rows(warehouse.table(S.FACT)) == expected
+    ((period, slices),) = warehouse.layout.hot
+    assert period == 2020 and slices > 1 and warehouse.layout.slices == 1
+    assert {part for found, part in warehouse.partitions() if found == 2020} == set(range(slices))
+    # The other period stays as it is, and each row is found in its slice.
+    assert files == set(warehouse.fact(other, other + timedelta(days=1)).inputFiles())
+    assert [warehouse.article(str(i)).first().title for i in (1, 2, 299, 900)] == ["t1", "t2", "t299", "t900"]
+    warehouse.merge_fact(batch)
+    assert sorted_rows(warehouse.table(S.FACT)) == expected and warehouse.layout.hot == ((2020, slices),)
+    assert warehouse.mark_missing(spark.createDataFrame([("1",)], "article_id string"), NOW) == 301
+
+
+@pytest.mark.parametrize("call", [1, 2, 3])
+def test_a_crash_while_a_period_is_sliced_anew_loses_nothing(spark, tmp_path, monkeypatch, call):
+    warehouse = new_warehouse(spark, tmp_path, plans.Layout("year", 1, partition_bytes=30_000))
+    warehouse.bootstrap()
+    warehouse.merge_fact(_fact(spark, *_large(1, 4)))
+    batch = _fact(spark, *_large(2, 300)).cache()
+    expected = sorted_rows(op.merge_upsert(warehouse.table(S.FACT).cache(), batch))
+    with monkeypatch.context() as patched:
+        _crash_at(patched, call)
+        with pytest.raises(Crash):
+            warehouse.merge_fact(batch)
+    # The number of slices is committed with the publication.
+    assert (warehouse.layout.hot == ()) == (call == 1)
+    warehouse.bootstrap()
+    warehouse.merge_fact(batch)
+    assert sorted_rows(warehouse.table(S.FACT)) == expected
+    assert warehouse.article("299").first().title == "t299"
+
+
+def test_a_batch_for_a_new_period_gets_the_slices_it_needs(spark, stocked, tmp_path):
+    warehouse = new_warehouse(spark, tmp_path, plans.Layout("month", 1, partition_bytes=30_000))
+    warehouse.bootstrap()
+    repeated = article(7, DAY, title="t7", updated=DAY + timedelta(days=1))
+    assert warehouse.merge_fact(_fact(spark, *_large(1, 300), repeated), on_duplicate="latest") == 299
+    ((period, slices),) = warehouse.layout.hot
+    assert period == 202001 and len(warehouse.partitions()) == slices > 1
+    assert warehouse.table(S.FACT).count() == 299
+
+
 class Crash(Exception):
     pass
 
