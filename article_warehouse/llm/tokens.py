@@ -81,7 +81,7 @@ class Lengths(dict):
 
 
 def frequent_chunks(docs: DataFrame, path: str) -> dict[str, int]:
-    """Token counts of the most frequent chunks in about ``TABLE_ROWS`` documents, chosen by the hash of their id."""
+    """Token counts of the most frequent chunks in about ``TABLE_ROWS`` documents, sampled whatever their ids are."""
 
     def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[str] = Counter()
@@ -93,8 +93,8 @@ def frequent_chunks(docs: DataFrame, path: str) -> dict[str, int]:
         table.encode(frequent)
         yield pa.RecordBatch.from_arrays([pa.array(list(table), pa.string()), pa.array(list(table.values()), pa.int64())], ["chunk", "n"])
 
-    one_in = max(1, docs.count() // TABLE_ROWS)
-    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(one_in)) == 0).select(text_of().alias("text")).repartition(1)
+    share = min(1.0, TABLE_ROWS / max(1, docs.count()))
+    sample = docs.select(text_of().alias("text")).sample(share, seed=3).repartition(1)
     return {row.chunk: row.n for row in sample.mapInArrow(lengths, "chunk string, n long").collect()}
 
 
