@@ -302,7 +302,8 @@ def fit_network(docs: DataFrame, vocabulary: Vocabulary) -> Weights:
     """Weights of the network, from a share of ``docs`` that grows with them.
 
     In each round every task trains a copy on its part of a slice of the documents, and the copies are averaged by
-    their tokens, in chunks of the weights, so that a chunk's group has one short row per task.
+    their tokens, in chunks of the weights. The averages are taken in two levels, so that with n tasks no group has
+    many more than the square root of n short rows.
     """
     weights = first_weights(vocabulary)
     if not len(vocabulary.tokens):
@@ -316,24 +317,31 @@ def fit_network(docs: DataFrame, vocabulary: Vocabulary) -> Weights:
             weights, vocabulary = shared.value
             places = Places(vocabulary.tokens)
             end = int(vocabulary.numbers(np.array([END]), places)[0][0])
-            parts = [vocabulary.numbers(tokens_of(p)[0], places)[0] for batch in batches for p in pieces(batch.column(0))]
+            parts, task = [], 0
+            for batch in batches:
+                parts += [vocabulary.numbers(tokens_of(p)[0], places)[0] for p in pieces(batch.column(0))]
+                task = batch.column(1)[0].as_py() if len(batch) else task
             stream = np.concatenate(parts) if parts else np.zeros(0, np.int32)
             if len(stream) < WINDOW:
                 return
             after = trained(weights, stream, end)
             flat = np.array_split(np.concatenate([v.ravel() for v in after.values()]), CHUNKS)
-            columns = [pa.array(range(CHUNKS), pa.int32()), pa.array([len(stream)] * CHUNKS, pa.int64()), pa.array([c.tolist() for c in flat], pa.list_(pa.float32()))]
-            yield pa.RecordBatch.from_arrays(columns, ["chunk", "tokens", "part"])
+            numbers = [pa.array([task] * CHUNKS, pa.int32()), pa.array(range(CHUNKS), pa.int32()), pa.array([len(stream)] * CHUNKS, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*numbers, pa.array([c.tolist() for c in flat], pa.list_(pa.float32()))], ["task", "chunk", "tokens", "part"])
 
         def average(table: pa.Table) -> pa.Table:
             tokens = np.asarray(table["tokens"]).astype(np.float64)
             parts = np.asarray(table["part"].combine_chunks().flatten()).reshape(len(tokens), -1)
             mean = (parts * (tokens / tokens.sum())[:, None]).sum(axis=0).astype(np.float32)
-            return pa.table({"chunk": table["chunk"][:1], "part": pa.array([mean.tolist()], pa.list_(pa.float32()))})
+            total = pa.array([int(tokens.sum())], pa.int64())
+            return pa.table({"chunk": table["chunk"][:1], "tokens": total, "part": pa.array([mean.tolist()], pa.list_(pa.float32()))})
 
         chosen = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(SLICES)) == number).select(text_of().alias("text"))
-        averaged = chosen.mapInArrow(train, "chunk int, tokens long, part array<float>").groupBy("chunk").applyInArrow(average, "chunk int, part array<float>")
-        rows = averaged.toArrow()
+        schema = "chunk int, tokens long, part array<float>"
+        copies = chosen.withColumn("task", F.spark_partition_id()).mapInArrow(train, f"task int, {schema}")
+        groups = max(1, math.isqrt(chosen.rdd.getNumPartitions()))
+        some = copies.groupBy("chunk", F.pmod("task", F.lit(groups))).applyInArrow(average, schema)
+        rows = some.groupBy("chunk").applyInArrow(average, schema).toArrow()
         if not rows.num_rows:
             continue
         order = np.argsort(np.asarray(rows["chunk"]))
