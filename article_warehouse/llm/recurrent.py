@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from article_warehouse.llm.common import flat_bytes, id_remainder, pieces, stored, text_of
+from article_warehouse.llm.common import flat_bytes, id_remainder, new_folder, pieces, stored, text_of
 from article_warehouse.llm.words import LOWER, NOT_BLANK, Places, hashed_words, mixed
 
 # Classes of frequent words, words in each, and classes that all other words are in by how they end.
@@ -18,9 +18,8 @@ CLASSES, WORDS, TAILS, HIDDEN = 32, 32, 32, 16
 KNOWN = CLASSES * WORDS
 # Tokens whose counts each task has at hand, at most; the counts of the rest are joined.
 FREQUENT = 1 << 16
-# Training: a share of 1 / SLICES of the training documents in each round, windows and lanes of a step.
-SLICES, ROUNDS, WINDOW, LANES, RATE = 16, 2, 32, 64, 0.01
-CHUNKS = 16
+# Training: tokens that a copy learns from in a round, about, windows and lanes of a step.
+STREAM_TOKENS, WINDOW, LANES, RATE = 1 << 19, 32, 64, 0.01
 # Tokens that a task holds counts of before it passes them on.
 HELD_COUNTS = 1 << 20
 # Bytes of text whose documents go forward together, steps of a window, rows of the output layer at a time.
@@ -170,6 +169,13 @@ def _log_softmax(logits: np.ndarray) -> np.ndarray:
     return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
 
 
+def _softmax(logits: np.ndarray) -> np.ndarray:
+    logits -= logits.max(axis=1, keepdims=True)
+    np.exp(logits, out=logits)
+    logits /= logits.sum(axis=1, keepdims=True)
+    return logits
+
+
 def class_of(numbers: np.ndarray) -> np.ndarray:
     return np.where(numbers < KNOWN, numbers // WORDS, numbers - KNOWN + CLASSES)
 
@@ -207,16 +213,22 @@ def trained(weights: Weights, stream: np.ndarray, end: int) -> Weights:
     """
     weights = {name: values.copy() for name, values in weights.items()}
     lanes = max(1, min(LANES, len(stream) // WINDOW))
-    length = len(stream) // lanes
-    targets = stream[: lanes * length].reshape(lanes, length).T
+    length = -(-len(stream) // lanes)
+    # The last lanes are filled up; what fills them has no slope.
+    filled = np.concatenate([stream, np.full(lanes * length - len(stream), end, stream.dtype)])
+    targets = filled.reshape(lanes, length).T
+    real = (np.arange(len(filled)) < len(stream)).reshape(lanes, length).T
     inputs = np.concatenate([np.full((1, lanes), end, stream.dtype), targets[:-1]])
     mean = {name: np.zeros_like(v) for name, v in weights.items()}
     square = {name: np.zeros_like(v) for name, v in weights.items()}
     state, done = np.zeros((lanes, HIDDEN), np.float32), 0
     for at in range(0, length, WINDOW):
-        grads, state = _window_gradients(weights, inputs[at : at + WINDOW], targets[at : at + WINDOW], state, end)
+        window = slice(at, at + WINDOW)
+        if not real[window].any():
+            break
+        grads, state = _window_gradients(weights, inputs[window], targets[window], state, end, real[window])
         done += 1
-        size = math.sqrt(sum(float((g * g).sum()) for g in grads.values()))
+        size = math.sqrt(sum(float(np.vdot(g, g)) for g in grads.values()))
         scale = np.float32(min(1.0, 1.0 / max(size, 1e-9)))
         for name, grad in grads.items():
             grad *= scale
@@ -227,43 +239,79 @@ def trained(weights: Weights, stream: np.ndarray, end: int) -> Weights:
     return weights
 
 
-def _window_gradients(weights: Weights, inputs: np.ndarray, targets: np.ndarray, state: np.ndarray, end: int) -> tuple[Weights, np.ndarray]:
+def _window_gradients(
+    weights: Weights, inputs: np.ndarray, targets: np.ndarray, state: np.ndarray, end: int, real: np.ndarray | None = None
+) -> tuple[Weights, np.ndarray]:
+    """Gradients of the mean loss over the targets (those that are ``real``), and the state after the window."""
     steps, lanes = inputs.shape
-    states, before, kept = [], [], []
+    kind = state.dtype
+    alive = (inputs != end)[:, :, None].astype(kind)
+    given = weights["input"][inputs]
+    states, before = np.empty((steps, lanes, HIDDEN), kind), np.empty((steps, lanes, HIDDEN), kind)
+    gates, candidates, owns = np.empty((steps, lanes, 2 * HIDDEN), kind), np.empty_like(states), np.empty_like(states)
     for t in range(steps):
-        state = state * (inputs[t] != end)[:, None].astype(np.float32)
-        before.append(state)
-        state, parts = _step(weights, inputs[t], state)
-        states.append(state)
-        kept.append(parts)
-    flat, wanted = np.concatenate(states), targets.ravel()
+        state = np.multiply(state, alive[t], out=before[t])
+        own = state @ weights["state"]
+        owns[t] = own[:, 2 * HIDDEN :]
+        both = np.add(given[t, :, : 2 * HIDDEN], own[:, : 2 * HIDDEN], out=gates[t])
+        np.negative(both, out=both)
+        np.exp(both, out=both)
+        both += 1
+        np.reciprocal(both, out=both)
+        candidate = np.multiply(both[:, HIDDEN:], owns[t], out=candidates[t])
+        candidate += given[t, :, 2 * HIDDEN :]
+        np.tanh(candidate, out=candidate)
+        moved = np.subtract(state, candidate, out=states[t])
+        moved *= both[:, :HIDDEN]
+        moved += candidate
+        state = moved
+    flat, wanted = states.reshape(-1, HIDDEN), targets.ravel()
+    counted = None if real is None or real.all() else real.ravel()
+    part = kind.type(1 / (len(wanted) if counted is None else counted.sum()))
     grads = {name: np.zeros_like(v) for name, v in weights.items()}
     # Output layer: the slope of the mean loss.
-    slope = np.exp(_log_softmax(flat @ weights["class"] + weights["class_bias"]))
+    slope = _softmax(flat @ weights["class"] + weights["class_bias"])
     slope[np.arange(len(wanted)), class_of(wanted)] -= 1
-    slope /= np.float32(len(wanted))
+    slope *= part
+    if counted is not None:
+        slope *= counted[:, None]
     grads["class"], grads["class_bias"] = flat.T @ slope, slope.sum(axis=0)
     back = slope @ weights["class"].T
     for c, rows in _by_class(wanted):
-        inner = np.exp(_log_softmax(flat[rows] @ weights["word"][c] + weights["word_bias"][c]))
+        some = flat[rows]
+        inner = _softmax(some @ weights["word"][c] + weights["word_bias"][c])
         inner[np.arange(len(rows)), wanted[rows] % WORDS] -= 1
-        inner /= np.float32(len(wanted))
-        grads["word"][c], grads["word_bias"][c] = flat[rows].T @ inner, inner.sum(axis=0)
+        inner *= part
+        if counted is not None:
+            inner *= counted[rows, None]
+        grads["word"][c], grads["word_bias"][c] = some.T @ inner, inner.sum(axis=0)
         back[rows] += inner @ weights["word"][c].T
     back = back.reshape(steps, lanes, HIDDEN)
     # Through time, within the window.
-    gate_slopes, later = np.empty((steps, lanes, 3 * HIDDEN), np.float32), np.zeros((lanes, HIDDEN), np.float32)
+    keep, reset = gates[:, :, :HIDDEN], gates[:, :, HIDDEN:]
+    to_candidate = (1 - keep) * (1 - candidates * candidates)
+    to_keep = (before - candidates) * keep * (1 - keep)
+    to_reset = owns * reset * (1 - reset)
+    kept, stay, turned = keep * alive, np.ascontiguousarray(reset), np.ascontiguousarray(weights["state"].T)
+    gate_slopes, through = np.empty((steps, lanes, 3 * HIDDEN), kind), np.empty((steps, lanes, 3 * HIDDEN), kind)
+    later = np.zeros((lanes, HIDDEN), kind)
     for t in range(steps - 1, -1, -1):
-        keep, reset, candidate, own = kept[t]
-        total = back[t] + later
-        of_candidate = total * (1 - keep) * (1 - candidate * candidate)
-        of_keep = total * (before[t] - candidate) * keep * (1 - keep)
-        of_reset = of_candidate * own * reset * (1 - reset)
-        through = np.concatenate([of_keep, of_reset, of_candidate * reset], axis=1)
-        gate_slopes[t] = np.concatenate([of_keep, of_reset, of_candidate], axis=1)
-        grads["state"] += before[t].T @ through
-        later = (total * keep + through @ weights["state"].T) * (inputs[t] != end)[:, None].astype(np.float32)
-    np.add.at(grads["input"], inputs.ravel(), gate_slopes.reshape(-1, 3 * HIDDEN))
+        total, slopes, onward = back[t] + later, gate_slopes[t], through[t]
+        of_candidate = np.multiply(total, to_candidate[t], out=slopes[:, 2 * HIDDEN :])
+        np.multiply(total, to_keep[t], out=slopes[:, :HIDDEN])
+        np.multiply(of_candidate, to_reset[t], out=slopes[:, HIDDEN : 2 * HIDDEN])
+        onward[:, : 2 * HIDDEN] = slopes[:, : 2 * HIDDEN]
+        np.multiply(of_candidate, stay[t], out=onward[:, 2 * HIDDEN :])
+        later = onward @ turned
+        later *= alive[t]
+        total *= kept[t]
+        later += total
+    grads["state"] = before.reshape(-1, HIDDEN).T @ through.reshape(-1, 3 * HIDDEN)
+    # The slopes of each input number, added up.
+    numbers = inputs.ravel()
+    order = np.argsort(numbers, kind="stable")
+    found, starts = np.unique(numbers[order], return_index=True)
+    grads["input"][found] = np.add.reduceat(gate_slopes.reshape(-1, 3 * HIDDEN)[order], starts, axis=0)
     return grads, state
 
 
@@ -298,58 +346,94 @@ def document_logs(weights: Weights, numbers: np.ndarray, begins: np.ndarray, end
     return result
 
 
+def end_number(vocabulary: Vocabulary, places: Places) -> int:
+    return int(vocabulary.numbers(np.array([END]), places)[0][0])
+
+
+def training_streams(docs: DataFrame, vocabulary: Vocabulary) -> tuple[DataFrame, int, int]:
+    """Streams of token numbers with every text of ``docs`` in one of them, the rounds, and the streams of a round.
+
+    Columns: copy, stream (numbers of two bytes), round. The number of streams follows from the tokens, the rounds are
+    its square root. A text goes by the hash of its numbers, and stands in its stream in that order. Texts with the same
+    numbers are counted, and dealt out evenly from there on.
+    """
+    streams = max(1, round(vocabulary.total / STREAM_TOKENS))
+    rounds = math.isqrt(streams)
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = shared.value
+        places = Places(vocabulary.tokens)
+        for batch in batches:
+            for piece in pieces(batch.column(0)):
+                tokens, begins = tokens_of(piece)
+                data = vocabulary.numbers(tokens, places)[0].astype(np.int16).tobytes()
+                offsets = pa.py_buffer((begins * 2).astype(np.int64).tobytes())
+                texts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(piece), [None, offsets, pa.py_buffer(data)])
+                yield pa.RecordBatch.from_arrays([texts.cast(pa.binary())], ["numbers"])
+
+    def joined(table: pa.Table) -> pa.Table:
+        texts, times = table["numbers"].to_pylist(), table["times"].to_pylist()
+        order = sorted(range(len(texts)), key=list(zip(table["hash"].to_pylist(), texts, strict=True)).__getitem__)
+        stream = b"".join(texts[i] * times[i] for i in order)
+        return pa.table({"unit": table["unit"][:1], "stream": pa.array([stream], pa.binary())})
+
+    alike = docs.select(text_of().alias("text")).mapInArrow(numbered, "numbers binary").groupBy("numbers").agg(F.count(F.lit(1)).alias("n"))
+    # The k-th of n texts goes to the k-th stream from where the hash points.
+    step = F.explode(F.sequence(F.lit(0).cast("long"), F.least("n", F.lit(streams)) - 1)).alias("step")
+    each = alike.select("numbers", "n", F.xxhash64("numbers").alias("hash"), step)
+    times = F.expr(f"n div {streams}") + F.when(F.col("step") < F.col("n") % streams, 1).otherwise(0)
+    unit = F.pmod(F.pmod("hash", F.lit(streams)) + F.col("step"), F.lit(streams))
+    dealt = each.select("numbers", "hash", unit.alias("unit"), times.alias("times"))
+    whole = dealt.groupBy("unit").applyInArrow(joined, "unit long, stream binary")
+    kept = whole.select(F.expr(f"int(unit div {rounds})").alias("copy"), "stream", F.expr(f"int(unit % {rounds})").alias("round"))
+    return kept.repartition("round"), rounds, -(-streams // rounds)
+
+
 def fit_network(docs: DataFrame, vocabulary: Vocabulary) -> Weights:
-    """Weights of the network, from a share of ``docs`` that grows with them.
+    """Weights of the network, from every text of ``docs`` once.
 
-    In each round every task trains a copy on its part of a slice of the documents, and the copies are averaged by
-    their tokens, in chunks of the weights. The averages are taken in two levels, so that with n tasks no group has
-    many more than the square root of n short rows.
+    In each round copies of the network are trained on a stream each, and averaged by their tokens. Both the rounds and
+    the copies of a round grow with the tokens; neither the copies nor their texts depend on the partitions of ``docs``.
+    The averages are taken in two levels, so that with n copies no group has many more than the square root of n.
     """
     weights = first_weights(vocabulary)
     if not len(vocabulary.tokens):
         return weights
-    context = docs.sparkSession.sparkContext
+    spark, end = docs.sparkSession, end_number(vocabulary, Places(vocabulary.tokens))
     shapes = {name: values.shape for name, values in weights.items()}
-    for number in range(ROUNDS):
-        shared = context.broadcast((weights, vocabulary))
+    streams, rounds, copies = training_streams(docs, vocabulary)
+    path = new_folder(spark)
+    streams.write.partitionBy("round").parquet(path)
+    groups, schema = math.isqrt(copies), "part int, tokens long, weights binary"
+
+    def row(part: int, tokens: int, weights: bytes) -> dict[str, pa.Array]:
+        return {"part": pa.array([part], pa.int32()), "tokens": pa.array([tokens], pa.int64()), "weights": pa.array([weights], pa.binary())}
+
+    def average(table: pa.Table) -> pa.Table:
+        order = np.argsort(np.asarray(table["part"]))
+        tokens, parts = np.asarray(table["tokens"]), table["weights"].to_pylist()
+        mean = sum(np.frombuffer(parts[i], np.float32) * (float(tokens[i]) / tokens.sum()) for i in order).astype(np.float32)
+        return pa.table(row(int(table["part"][int(order[0])].as_py()), int(tokens.sum()), mean.tobytes()))
+
+    for number in range(rounds):
+        shared = spark.sparkContext.broadcast(weights)
 
         def train(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            weights, vocabulary = shared.value
-            places = Places(vocabulary.tokens)
-            end = int(vocabulary.numbers(np.array([END]), places)[0][0])
-            parts, task = [], 0
             for batch in batches:
-                parts += [vocabulary.numbers(tokens_of(p)[0], places)[0] for p in pieces(batch.column(0))]
-                task = batch.column(1)[0].as_py() if len(batch) else task
-            stream = np.concatenate(parts) if parts else np.zeros(0, np.int32)
-            if len(stream) < WINDOW:
-                return
-            after = trained(weights, stream, end)
-            flat = np.array_split(np.concatenate([v.ravel() for v in after.values()]), CHUNKS)
-            numbers = [pa.array([task] * CHUNKS, pa.int32()), pa.array(range(CHUNKS), pa.int32()), pa.array([len(stream)] * CHUNKS, pa.int64())]
-            yield pa.RecordBatch.from_arrays([*numbers, pa.array([c.tolist() for c in flat], pa.list_(pa.float32()))], ["task", "chunk", "tokens", "part"])
-
-        def average(table: pa.Table) -> pa.Table:
-            tokens = np.asarray(table["tokens"]).astype(np.float64)
-            parts = np.asarray(table["part"].combine_chunks().flatten()).reshape(len(tokens), -1)
-            mean = (parts * (tokens / tokens.sum())[:, None]).sum(axis=0).astype(np.float32)
-            total = pa.array([int(tokens.sum())], pa.int64())
-            return pa.table({"chunk": table["chunk"][:1], "tokens": total, "part": pa.array([mean.tolist()], pa.list_(pa.float32()))})
-
-        chosen = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(SLICES)) == number).select(text_of().alias("text"))
-        schema = "chunk int, tokens long, part array<float>"
-        copies = chosen.withColumn("task", F.spark_partition_id()).mapInArrow(train, f"task int, {schema}")
-        groups = max(1, math.isqrt(chosen.rdd.getNumPartitions()))
-        some = copies.groupBy("chunk", F.pmod("task", F.lit(groups))).applyInArrow(average, schema)
-        rows = some.groupBy("chunk").applyInArrow(average, schema).toArrow()
-        if not rows.num_rows:
-            continue
-        order = np.argsort(np.asarray(rows["chunk"]))
-        parts = rows["part"].to_pylist()
-        flat, start = np.concatenate([np.asarray(parts[i], np.float32) for i in order]), 0
+                for copy, stream in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                    numbers = np.frombuffer(stream.as_buffer(), np.int16).astype(np.int32)
+                    after = trained(shared.value, numbers, end)
+                    yield pa.RecordBatch.from_pydict(row(copy, len(numbers), np.concatenate([v.ravel() for v in after.values()]).tobytes()))
+
+        own = spark.read.schema("copy int, stream binary").parquet(f"{path}/round={number}")
+        after = own.repartitionById(copies, F.col("copy")).mapInArrow(train, schema)
+        some = after.groupBy(F.pmod("part", F.lit(groups))).applyInArrow(average, schema).toArrow()
+        flat, start = np.frombuffer(average(some)["weights"][0].as_py(), np.float32), 0
         for name, shape in shapes.items():
             weights[name] = flat[start : start + math.prod(shape)].reshape(shape)
             start += math.prod(shape)
+        shared.unpersist()
     return weights
 
 
@@ -363,7 +447,7 @@ def scored_texts(texts: pa.Array, weights: Weights, vocabulary: Vocabulary, plac
     lengths = np.concatenate([np.diff(b) for _, b in parts]) if parts else np.zeros(0, np.int64)
     begins = np.concatenate(([0], np.cumsum(lengths)))
     numbers, place = vocabulary.numbers(tokens, places)
-    end = int(vocabulary.numbers(np.array([END]), places)[0][0])
+    end = end_number(vocabulary, places)
     owner = np.repeat(np.arange(len(texts)), lengths)
     frequent = place >= 0
     count_logs = np.zeros(len(tokens))
@@ -384,7 +468,7 @@ def language_model_scores(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Learns from documents that are not held out (``id_remainder(5)`` is 1 for those): counts of tokens from all of
-    them, the network from a fixed share of them. ``base_score`` is the log10 probability by smoothed
+    them, the network from each of them once. ``base_score`` is the log10 probability by smoothed
     frequencies, ``score`` that of the whole text by the network: P(class) P(word | class) for frequent words, and
     P(class) times the smoothed share of the word in its class for all others. Null and empty texts are a
     single end. Tokens are told apart by 59-bit hashes and their last bytes, so texts of a corpus with a

@@ -297,6 +297,43 @@ def test_language_model_counts_and_scores(documents, texts):
     assert sum(r.score for r in unseen) > sum(r.base_score for r in unseen)
 
 
+def test_every_text_is_in_one_stream(spark, texts, monkeypatch):
+    monkeypatch.setattr(recurrent, "STREAM_TOKENS", 1000)
+    listed = [*list(texts.values())[:60], *["the same text"] * 900, "", None]
+    docs = spark.createDataFrame([(None, text) for text in listed], "doc_id long, text string").repartition(7)
+    vocabulary, _ = recurrent.learned_vocabulary(recurrent.token_counts(docs))
+    places = Places(vocabulary.tokens)
+    end = recurrent.end_number(vocabulary, places)
+    streams, rounds, copies = recurrent.training_streams(docs, vocabulary)
+    rows = streams.collect()
+    assert rounds > 2 and len({(r.round, r.copy) for r in rows}) == len(rows) <= rounds * copies
+    found = collections.Counter()
+    for row in rows:
+        numbers = np.frombuffer(row.stream, np.int16)
+        assert numbers[-1] == end
+        found.update(part.tobytes() for part in np.split(numbers, np.flatnonzero(numbers == end) + 1)[:-1])
+    plain = [vocabulary.numbers(recurrent.tokens_of(pa.array([t or ""]))[0], places)[0].astype(np.int16).tobytes() for t in listed]
+    assert found == collections.Counter(plain)
+    # All ids are null: these were never trained on.
+    after, before = recurrent.fit_network(docs, vocabulary), recurrent.first_weights(vocabulary)
+    assert not np.allclose(after["state"], before["state"])
+
+
+def test_scores_do_not_depend_on_partitions(documents, monkeypatch):
+    monkeypatch.setattr(recurrent, "STREAM_TOKENS", 8000)
+    docs = documents.where("doc_id < 200")
+    few, many = ({r.doc_id: r.score for r in recurrent.language_model_scores(docs.repartition(n)).collect()} for n in (1, 40))
+    assert few == pytest.approx(many, rel=1e-6)
+
+
+def test_every_token_of_a_stream_counts():
+    _, weights = small_network()
+    stream = np.array([3, 900, 40, 1030] * 40, np.int32)
+    for size in (1, 20, 159):
+        after, less = recurrent.trained(weights, stream[:size], 0), recurrent.trained(weights, stream[: size - 1], 0)
+        assert not all(np.array_equal(after[name], less[name]) for name in weights)
+
+
 def small_network(seed=1):
     counts = np.sort(np.random.default_rng(seed).integers(1, 50, recurrent.KNOWN + 40))[::-1].copy()
     made = np.arange(len(counts), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
