@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -47,8 +49,8 @@ def _texts(words: list[str]) -> Column:
     return F.array(*map(F.lit, words))
 
 
-def template_index(docs: DataFrame, templates: dict[str, str], threshold: float) -> list[tuple[str, list[str], int]]:
-    """Of each template its label, its words from the rarest to the most frequent, and the words that a match shares.
+def template_index(docs: DataFrame, templates: dict[str, str], threshold: float) -> list[tuple[str, list[str], int, int]]:
+    """Of each template its label, its words from the rarest to the most frequent, the words that a match shares, its length.
 
     The order is that of the number of documents that have the word, over all of ``docs``.
     """
@@ -60,35 +62,54 @@ def template_index(docs: DataFrame, templates: dict[str, str], threshold: float)
     index = []
     for text, label in templates.items():
         words = sorted(set(text.split()), key=lambda w: (frequency.get(w, 0), w))
-        index.append((label, words, math.ceil(threshold * len(words) - 1e-9)))
+        index.append((label, words, math.ceil(threshold * len(words) - 1e-9), len(text.split())))
     return index
 
 
-def template_matches(lines: DataFrame, index: list[tuple[str, list[str], int]]) -> DataFrame:
-    """Every pair of a line and a template of which the line has the words that a match needs.
+def text_blocks(lines: Column, most: int) -> Column:
+    """Of each line its words (own) and the words that follow up to a line without any, ``most`` at most (next).
 
-    ``lines`` has row_id and line. Columns: row_id, label, containment (share of the template's distinct words).
-    The join is on words: a line that matches shares a word with the template's prefix, its rarest words, as
-    those that may be missing are one fewer. Lines with too few distinct words are left out (length filter), and so
+    ``lines`` is a stored column with the words of each line.
+    """
+
+    def block(own: Column, i: Column) -> Column:
+        after = F.slice(lines, i + 2, most)
+        stop = F.array_position(F.transform(after, lambda w: F.size(w) == 0), True).cast("int")
+        after = F.when(stop > 0, F.slice(after, 1, F.greatest(stop - 1, F.lit(0)))).otherwise(after)
+        following = F.slice(F.flatten(F.transform(after, lambda w: F.slice(w, 1, most))), 1, most)
+        return F.struct(own.alias("own"), following.alias("next"))
+
+    return F.transform(lines, block)
+
+
+def template_matches(blocks: DataFrame, index: list[tuple[str, list[str], int, int]]) -> DataFrame:
+    """Every pair of a text block and a template of which the block has the words that a match needs.
+
+    ``blocks`` has row_id, own and next: a line's words, and those of the lines after it. A block of a template is a line
+    with the words after it that a sentence of the template's length can have there, so that wrapped ones are found.
+    Columns: row_id, label, containment (share of the template's distinct words).
+    The join is on words: a block that matches shares a word with the template's prefix, its rarest words, as
+    those that may be missing are one fewer. Blocks with too few distinct words are left out (length filter), and so
     are pairs whose shared word stands so late in the template that too few follow (positional filter). The pairs
     that are left are compared word by word.
     """
-    spark, prefixes = lines.sparkSession, _prefixes(index)
+    spark, prefixes = blocks.sparkSession, _prefixes(index)
     inverted = spark.createDataFrame(prefixes, "word string, template int, place int")
     sets = spark.createDataFrame(
-        [(i, *template) for i, template in enumerate(index)], "template int, label string, wanted array<string>, need int"
+        [(i, *template) for i, template in enumerate(index)], "template int, label string, wanted array<string>, need int, span int"
     )
     # Both are as large as the given templates.
     probes = inverted.join(sets, "template").where("size(wanted) - place >= need")
-    words = lines.select("row_id", F.array_distinct(words_of(F.col("line"))).alias("words"))
-    pairs = words.select("*", F.explode("words").alias("word")).join(F.broadcast(probes), "word").where("size(words) >= need")
+    some = blocks.select("*", F.explode(F.array_distinct(F.concat("own", "next"))).alias("word")).join(F.broadcast(probes), "word")
+    words = F.array_distinct(F.concat("own", F.slice("next", F.lit(1), F.col("span") - 1)))
+    pairs = some.select("row_id", "label", "wanted", "need", words.alias("words")).where("size(words) >= need")
     shared = F.size(F.array_intersect("words", "wanted"))
     compared = pairs.where(shared >= F.col("need"))
     return compared.select("row_id", "label", (shared / F.size("wanted")).alias("containment")).distinct()
 
 
-def _prefixes(index: list[tuple[str, list[str], int]]) -> list[tuple[str, int, int]]:
-    return [(w, i, at) for i, (_, words, need) in enumerate(index) for at, w in enumerate(words[: len(words) - need + 1])]
+def _prefixes(index: list[tuple[str, list[str], int, int]]) -> list[tuple[str, int, int]]:
+    return [(w, i, at) for i, (_, words, need, _) in enumerate(index) for at, w in enumerate(words[: len(words) - need + 1])]
 
 
 def _places(words: Column, phrase: str) -> Column:
@@ -112,18 +133,20 @@ def license_scan(
 
     Columns: doc_id, n_words, n_base (places of phrases), first_word and last_word (where the first and the last
     place begin, null without any), base_labels, labels (with those of the templates; distinct, sorted, comma-joined),
-    score (1 with a phrase, else the highest containment of a template in a line, else 0). A template matches a line
-    that has ``threshold`` of its distinct words. Null and empty texts have no words and no labels.
+    score (1 with a phrase, else the highest containment of a template in a text block, else 0). A template matches a
+    block (a line, with what follows it up to the template's length) that has ``threshold`` of its distinct words. Null and empty texts have no words and no labels.
     """
     index = template_index(docs, templates, threshold)
     starts = sorted({word for word, *_ in _prefixes(index)})
     in_phrases = [word for phrase in phrases for word in phrase.split()]
-    nothing = F.array().cast("array<string>")
+    nothing, no_lines = F.array().cast("array<string>"), F.array().cast("array<array<string>>")
+    wanted = {word for _, words, *_ in index for word in words}
     taken_apart = docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", text_of().alias("text"), words_of(text_of()).alias("words"))
-    parts = taken_apart.select("*", F.array_intersect("words", _texts(sorted({*starts, *in_phrases}))).alias("hits"))
-    # Only texts that have all words of a phrase are searched for it, and only lines that have a word of a template's
-    # prefix are kept.
-    lines = F.filter(F.split("text", "\n"), lambda line: F.arrays_overlap(words_of(line), _texts(starts)))
+    parts = taken_apart.select("*", F.array_intersect("words", _texts(sorted({*wanted, *in_phrases}))).alias("hits"))
+    # Only texts that have all words of a phrase are searched for it, and only texts that have the words which a match
+    # of some template needs are cut into lines.
+    enough = [F.size(F.array_intersect("hits", _texts(words))) >= need for _, words, need, _ in index]
+    lines = F.transform(F.split("text", "\n"), words_of)
     places = {
         f"places_{i}": F.when(F.size(F.array_except(_texts(phrase.split()), F.col("hits"))) == 0, _places(F.col("words"), phrase)).otherwise(
             F.array().cast("array<int>")
@@ -135,11 +158,14 @@ def license_scan(
             "row_id",
             "doc_id",
             F.size("words").cast("long").alias("n_words"),
-            F.when(F.arrays_overlap("hits", _texts(starts)), lines).otherwise(nothing).alias("lines"),
+            F.when(reduce(or_, enough, F.lit(False)), lines).otherwise(no_lines).alias("lines"),
             *[column.alias(name) for name, column in places.items()],
         )
     )
-    matches = template_matches(rows.select("row_id", F.explode("lines").alias("line")), index)
+    most = max((span for *_, span in index), default=1)
+    blocks = rows.select("row_id", F.explode(text_blocks(F.col("lines"), most)).alias("block")).select("row_id", "block.*")
+    blocks = blocks.where(F.arrays_overlap(F.concat("own", "next"), _texts(starts)))
+    matches = template_matches(blocks, index)
     matched = matches.groupBy("row_id").agg(F.collect_set("label").alias("matched"), F.max("containment").alias("containment"))
     found = rows.join(matched, "row_id", "left")
     every = F.concat(*places)

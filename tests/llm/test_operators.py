@@ -222,6 +222,17 @@ def test_license_phrases_and_templates(spark):
     assert rows[3].labels == "apache-2.0" and rows[3].score == pytest.approx(7 / 8)
 
 
+def test_wrapped_license_sentences(spark):
+    mit = "Permission is hereby granted, free of charge, to any person\nobtaining a copy of this\r\nsoftware"
+    bsd = "# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided"
+    apache = "Text before. Licensed\nunder the Apache\nLicense, Version\n2.0 (the License)"
+    apart = "Redistribution and use in source and binary forms\n\nwith or without modification are permitted"
+    one = "x\n" + bsd.replace("\n", " ") + "\ny"
+    rows = license_scan(docs_of(spark, [mit, bsd, apache, apart, one])).orderBy("doc_id").collect()
+    assert [r.labels for r in rows] == ["mit", "bsd", "apache-2.0", "", "bsd"]
+    assert [r.score for r in rows] == [1, 1, 1, 0, 1]
+
+
 def test_short_items_and_blocks_of_the_benchmark(spark, monkeypatch):
     docs = docs_of(spark, ["One two; THREE four five six seven", "nothing here", "say Hello World now", None, "", "three four five six seven eight nine ten eleven"])
     items = [(1, "hello world"), (2, "two three four five six seven"), (3, None), (4, ""), (5, "four five six seven eight nine ten eleven twelve"), (1, "hello world")]
