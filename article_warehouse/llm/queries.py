@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from article_warehouse.llm.clustering import CENTROIDS, LENGTH, ROUNDS, SEED, STEPS, clustered
 from article_warehouse.llm.common import table
 from article_warehouse.llm.decontaminate import SHINGLE, THRESHOLD, contaminated
 from article_warehouse.llm.exact import exact_groups
@@ -17,6 +18,7 @@ from article_warehouse.llm.recurrent import language_model_scores
 from article_warehouse.llm.secrets import secret_digest
 from article_warehouse.llm.simhash import near_duplicates
 from article_warehouse.llm.tokens import token_counts
+from article_warehouse.llm.whitening import whitened
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +67,14 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op12_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustered(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": op1_mixing,
@@ -77,6 +87,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontamination": op8_decontamination,
         "op9_language_model": op9_language_model,
         "op10_language": op10_language,
+        "op11_whitening": op11_whitening,
+        "op12_clustering": op12_clustering,
     }
 
 
@@ -146,5 +158,50 @@ select doc_id, item_id, cast(i.n as integer) as n_shingles, cast(s.n as integer)
 from shared s join items i on i.id = item_id where s.n >= ceil({THRESHOLD} * i.n - 1e-9)"""
 
 
+def _clusters() -> str:
+    """Every vector is compared with every centroid, entry by entry, in each round."""
+
+    def assigned(round_: int) -> str:
+        return f"""
+assigned{round_} as (
+  select vec_id, arg_min(cluster, (distance, cluster)) as cluster, min(distance) as distance
+  from (
+    select p.vec_id, c.cluster, sum((p.x - c.x) * (p.x - c.x)) as distance
+    from entries p join centroids{round_} c using (i) group by p.vec_id, c.cluster
+  ) group by vec_id
+)"""
+
+    def moved(round_: int) -> str:
+        return f"""
+centroids{round_ + 1} as (
+  select cluster, i, coalesce((total - ((total % n) + n) % n) // n, x) as x
+  from centroids{round_} left join (
+    select cluster, i, sum(x) as total, count(*) as n from entries join assigned{round_} using (vec_id) group by cluster, i
+  ) using (cluster, i)
+)"""
+
+    steps = ",".join(f"{assigned(k)},{moved(k)}" for k in range(ROUNDS))
+    valid = f"len(embedding) = {LENGTH} and len([c for c in embedding if isfinite(c)]) = {LENGTH}"
+    return f"""
+with kept as (
+  select vec_id, [cast(floor({STEPS} * cast(c as double)) as bigint) for c in embedding] as point
+  from embeddings where {valid}
+),
+entries as materialized (select vec_id, unnest(range(1, {LENGTH + 1})) as i, cast(unnest(point) as hugeint) as x from kept),
+first as (
+  select row_number() over (order by sha256('{SEED}:' || vec_id)) - 1 as cluster, point from kept
+  order by sha256('{SEED}:' || vec_id) limit {CENTROIDS}
+),
+centroids0 as (select cluster, unnest(range(1, {LENGTH + 1})) as i, cast(unnest(point) as hugeint) as x from first),
+{steps},{assigned(ROUNDS)},
+digests as (
+  select cluster, sha256(string_agg(cast(x as varchar), ',' order by i)) as centroid_sha256 from centroids{ROUNDS} group by cluster
+)
+select vec_id, cast(cluster as integer) as cluster, cast(distance as bigint) as distance,
+  cast(sum(distance) over (partition by cluster) as bigint) as cluster_inertia, cast(sum(distance) over () as bigint) as inertia,
+  centroid_sha256
+from assigned{ROUNDS} join digests using (cluster)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_dedup": _EXACT, "op7_licenses": _licenses(), "op8_decontamination": _CONTAMINATED}
+    return {"op5_exact_dedup": _EXACT, "op7_licenses": _licenses(), "op8_decontamination": _CONTAMINATED, "op12_clustering": _clusters()}
