@@ -13,6 +13,7 @@ from article_warehouse.llm.exact import exact_groups
 from article_warehouse.llm.language import identify
 from article_warehouse.llm.licenses import PHRASES, TEMPLATES, WORD, license_scan
 from article_warehouse.llm.mixing import mix
+from article_warehouse.llm.pages import main_text
 from article_warehouse.llm.quality import quality_scores
 from article_warehouse.llm.recurrent import language_model_scores
 from article_warehouse.llm.secrets import secret_digest
@@ -75,6 +76,10 @@ def op12_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustered(table(spark, sf_dir, "embeddings"))
 
 
+def op13_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": op1_mixing,
@@ -89,6 +94,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_language": op10_language,
         "op11_whitening": op11_whitening,
         "op12_clustering": op12_clustering,
+        "op13_main_text": op13_main_text,
     }
 
 
