@@ -202,6 +202,58 @@ def authors_after_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _hourly(spark, sf_dir).table(S.AUTHORS)
 
 
+def key_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the key bitmaps of a backfilled fact say that labelled articles are, without a look at the fact."""
+    warehouse = _backfilled(spark, sf_dir)
+    labelled = _table(spark, sf_dir, "labels").select((F.col("doc_id") + 1).cast("string").alias(S.ARTICLE_KEY)).distinct()
+    return warehouse.locate(labelled, labelled.count()).select(S.ARTICLE_KEY, "created_period")
+
+
+def replayed_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the last window of the hourly run does when it is loaded again: all its rows are there, nothing is published."""
+    rows = remaining_articles(spark, sf_dir)
+    batch = op.transform_articles(op.changed_between(rows, CHANGED_UNTIL, END))
+    warehouse = _hourly(spark, sf_dir)
+    with warehouse.staged(batch) as staged:
+        warehouse.merge_staged(staged)
+        counts = [("reported", staged.row_count), ("unchanged", staged.unchanged), ("published", len(staged.published))]
+    return spark.createDataFrame(counts, "measure string, value long")
+
+
+def differing_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges of ids in which active articles and those left in the source differ, from digests of both sides."""
+    mine = op.key_digests(fact(spark, sf_dir).where("is_deleted = false"))
+    return op.differing_ranges(mine, FrameSource(remaining_articles(spark, sf_dir)).id_digests())
+
+
+def stored_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.merged_rollup(_hourly(spark, sf_dir).table(S.ROLLUP))
+
+
+def _stored_star(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    warehouse = _hourly(spark, sf_dir)
+    return warehouse.table(S.ROLLUP), warehouse.table(S.DATES), warehouse.table(S.AUTHORS)
+
+
+def stored_year_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rollup, dates, _ = _stored_star(spark, sf_dir)
+    return plans.quarters_of_rollup(rollup, dates)
+
+
+def stored_author_active(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rollup, _, authors_ = _stored_star(spark, sf_dir)
+    return plans.active_authors_of_rollup(rollup, authors_)
+
+
+def stored_author_weekend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rollup, dates, _ = _stored_star(spark, sf_dir)
+    return plans.weekends_of_rollup(rollup, dates)
+
+
+def stored_author_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plans.author_years_of_rollup(*_stored_star(spark, sf_dir))
+
+
 def affected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each step of the hourly run reports."""
     counts = _hourly_run(spark, sf_dir)[1]
@@ -310,6 +362,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "authors_after_run": authors_after_run,
         "control_after_run": control_after_run,
         "affected_rows": affected_rows,
+        "key_locations": key_locations,
+        "replayed_window": replayed_window,
+        "differing_ranges": differing_ranges,
+        "stored_rollup": stored_rollup,
+        "stored_year_quarter": stored_year_quarter,
+        "stored_author_active": stored_author_active,
+        "stored_author_weekend": stored_author_weekend,
+        "stored_author_year": stored_author_year,
         "added_column_load": added_column_load,
         "article_source_rows": article_source_rows,
         "audit_counts": audit_counts,
@@ -458,6 +518,30 @@ both_reads as (
 )"""
 
 
+# From ``fact``, ``published`` and ``authors``.
+_STAR = {
+        "star_year_quarter": """
+select cast(year(day) as bigint) as year, cast(quarter(day) as bigint) as quarter, count(*) as articles,
+  cast(sum(word_count) as bigint) as words, cast(sum(word_count) as double) / count(*) as mean_words
+from published group by 1, 2""",
+        "star_author_active": """
+select author_id, author_name, first_article_created_at, count(*) as active_articles,
+  cast(sum(word_count) as bigint) as active_words
+from fact join authors using (author_id) where is_deleted = false
+group by author_id, author_name, first_article_created_at""",
+        "star_author_weekend": """
+select author_id, count(*) as articles, count(*) filter (where isodow(day) > 5) as weekend_articles,
+  cast(count(*) filter (where isodow(day) > 5) as double) / count(*) as weekend_share
+from published where author_id is not null group by author_id""",
+        "star_author_year": """
+select author_id, author_name, cast(year(day) as bigint) as year, count(*) as articles,
+  count(*) filter (where is_deleted = false) as active_articles, cast(sum(word_count) as bigint) as words
+from published join authors using (author_id) group by 1, 2, 3 order by 1, 3""",
+}
+# The same names over the stored fact after the hourly run.
+_STORED = f"fact as (with {_LOADED} select * from final), {_AUTHORS}, {_PUBLISHED}"
+
+
 def _control_sql() -> str:
     batches = f"""
   select coalesce(sum(cast(ceil(n / {BATCH_SIZE}.0) as bigint)), 0) as batches
@@ -527,6 +611,30 @@ select 'backfilled' as step, 0 as affected
 union all select 'changed', (select count(*) from rest)
 union all select 'marked_deleted', (
   select count(*) from all_rows where not is_deleted and article_id not in (select article_id from remaining))""",
+        "key_locations": f"""with {_LOADED}
+select article_id, cast(year(created_at) as integer) as created_period from history
+where article_id in (select cast(doc_id + 1 as varchar) from labels)""",
+        "replayed_window": f"""with {_LOADED}
+select 'reported' as measure, count(*) as value from rest
+union all select 'unchanged', count(*) from rest union all select 'published', 0""",
+        "differing_ranges": f"""with {_FACT}, {_REMAINING},
+mine as (
+  select (cast(article_id as bigint) - 1) // 32768 as key_range, count(*) as keys, list(article_id order by article_id) as ids
+  from fact where is_deleted = false group by 1
+),
+theirs as (
+  select (cast(article_id as bigint) - 1) // 32768 as key_range, count(*) as keys, list(article_id order by article_id) as ids
+  from fact where is_deleted = false and article_id in (select article_id from remaining) group by 1
+)
+select key_range, mine.keys + coalesce(theirs.keys, 0) as keys from mine left join theirs using (key_range)
+where mine.ids is distinct from theirs.ids""",
+        "stored_rollup": f"""with {_LOADED}
+select author_id, published_date_key, count(*) as articles, count(*) filter (where is_deleted = false) as active_articles,
+  cast(sum(word_count) as bigint) as words,
+  cast(coalesce(sum(word_count) filter (where is_deleted = false), 0) as bigint) as active_words,
+  min(created_at) as first_created_at, max(updated_at) as last_updated_at
+from final group by author_id, published_date_key""",
+        **{name.replace("star", "stored", 1): f"with {_STORED} {sql}" for name, sql in _STAR.items()},
         "added_column_load": f"""with {_LOADED}
 select loaded.*, case when article_id in (select article_id from history) then 'n' || article_id end as note from loaded""",
         "article_source_rows": f"with {_ARTICLES} select * from articles",
@@ -552,22 +660,6 @@ where date_key not between {usual} group by date_key""",
         "source_id_count": f"with {_ARTICLES}, {_REMAINING} select count(*) as source_ids from remaining",
         "article_state": f"""with {_FACT}, {_REMAINING}, final as ({_reconciled_sql("fact")})
 select article_id, is_deleted, deleted_at from final where article_id = '2'""",
-        "star_year_quarter": f"""{star}
-select cast(year(day) as bigint) as year, cast(quarter(day) as bigint) as quarter, count(*) as articles,
-  cast(sum(word_count) as bigint) as words, cast(sum(word_count) as double) / count(*) as mean_words
-from published group by 1, 2""",
-        "star_author_active": f"""{star}
-select author_id, author_name, first_article_created_at, count(*) as active_articles,
-  cast(sum(word_count) as bigint) as active_words
-from fact join authors using (author_id) where is_deleted = false
-group by author_id, author_name, first_article_created_at""",
-        "star_author_weekend": f"""{star}
-select author_id, count(*) as articles, count(*) filter (where isodow(day) > 5) as weekend_articles,
-  cast(count(*) filter (where isodow(day) > 5) as double) / count(*) as weekend_share
-from published where author_id is not null group by author_id""",
-        "star_author_year": f"""{star}
-select author_id, author_name, cast(year(day) as bigint) as year, count(*) as articles,
-  count(*) filter (where is_deleted = false) as active_articles, cast(sum(word_count) as bigint) as words
-from published join authors using (author_id) group by 1, 2, 3 order by 1, 3""",
+        **{name: f"{star} {sql}" for name, sql in _STAR.items()},
         **(llm.oracle_sql() if llm else {}),
     }

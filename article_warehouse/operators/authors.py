@@ -16,8 +16,7 @@ def author_dimension(fact: DataFrame, as_of: datetime | str) -> DataFrame:
     so a missing flag counts as neither. Every aggregate has a partial form, so an author
     with a large share of all rows reaches the shuffle as one row per map task.
     """
-    key = F.col("author_id").cast("string")
-    return (
+    counted = (
         fact.where(F.col("author_id").isNotNull())
         .groupBy("author_id")
         .agg(
@@ -26,14 +25,20 @@ def author_dimension(fact: DataFrame, as_of: datetime | str) -> DataFrame:
             F.count(F.lit(1)).alias("total_article_count"),
             F.count_if(F.col("is_deleted") == F.lit(False)).alias("active_article_count"),
         )
-        .select(
-            "author_id",
-            key.alias("author_key"),
-            F.concat(F.lit("author_"), key).alias("author_name"),
-            "first_article_created_at",
-            "last_article_updated_at",
-            "total_article_count",
-            "active_article_count",
-            instant(as_of).alias("updated_at"),
-        )
+    )
+    return author_columns(counted, as_of)
+
+
+def author_columns(counted: DataFrame, as_of: datetime | str) -> DataFrame:
+    """The columns of the dimension from counts per ``author_id``."""
+    key = F.col("author_id").cast("string")
+    return counted.select(
+        "author_id",
+        key.alias("author_key"),
+        F.concat(F.lit("author_"), key).alias("author_name"),
+        "first_article_created_at",
+        "last_article_updated_at",
+        "total_article_count",
+        "active_article_count",
+        instant(as_of).alias("updated_at"),
     )

@@ -101,6 +101,12 @@ def _active() -> Column:
     return F.col("is_deleted") == F.lit(False)
 
 
+def row_fingerprint(columns: Sequence[str]) -> Column:
+    """A 64-bit hash of a row's values and the names they stand under; a column that is null counts as absent."""
+    named = [value for name in sorted(columns) for value in (F.when(F.col(f"`{name}`").isNotNull(), F.lit(name)), F.col(f"`{name}`"))]
+    return F.xxhash64(*named)
+
+
 def duplicate_keys(batch: DataFrame, key: str = ARTICLE_KEY) -> DataFrame:
     """Keys that occur more than once, with their number of rows."""
     return batch.groupBy(key).agg(F.count(F.lit(1)).alias("row_count")).where(F.col("row_count") > 1)

@@ -3,9 +3,13 @@ from article_warehouse.plans.control import control_mark, control_record, upsert
 from article_warehouse.plans.jobs import run_backfill, run_delete_sync, run_hourly, run_incremental
 from article_warehouse.plans.star import (
     active_articles_per_author,
+    active_authors_of_rollup,
     articles_per_author_year,
     articles_per_quarter,
+    author_years_of_rollup,
+    quarters_of_rollup,
     weekend_share_per_author,
+    weekends_of_rollup,
 )
 from article_warehouse.plans.warehouse import DeleteGuardError, Layout, Warehouse
 
@@ -14,14 +18,17 @@ __all__ = [
     "Layout",
     "Warehouse",
     "active_articles_per_author",
+    "active_authors_of_rollup",
     "article_state",
     "articles_per_author_year",
     "articles_per_quarter",
     "audit_counts",
+    "author_years_of_rollup",
     "control_mark",
     "control_record",
     "control_records",
     "facts_without_day",
+    "quarters_of_rollup",
     "run_backfill",
     "run_delete_sync",
     "run_hourly",
@@ -29,4 +36,5 @@ __all__ = [
     "source_id_count",
     "upsert_control",
     "weekend_share_per_author",
+    "weekends_of_rollup",
 ]

@@ -135,11 +135,12 @@ def run_delete_sync(
     """Mark rows that are gone from the source as deleted; returns their number.
 
     An empty source marks every active row. ``max_delete_fraction`` stops the job instead when
-    more than that share of the active rows would be marked.
+    more than that share of the active rows would be marked. The source is asked for digests of its ids
+    by range, then for the ids of ranges that differ.
     """
     warehouse.bootstrap()
     now = utc_naive(as_of) if as_of else utc_now()
-    marked = warehouse.mark_missing(source.ids(), now, max_delete_fraction)
+    marked = warehouse.mark_missing(source.ids(), now, max_delete_fraction, source.id_digests(), source.ids_within)
     if with_authors:
         warehouse.catch_up_authors(as_of or utc_now())
     return marked

@@ -1,4 +1,5 @@
-"""Analytical queries over the star schema.
+"""Analytical queries over the star schema, from the fact or, with names ending in ``_of_rollup``, from the parts of an
+``article_rollup``, which hold a row for each author and day instead of one for each article.
 
 The calendar covers the fact, see ``covering_calendar``; with a row per day of years with four digits it
 has 3.7 million rows at most, of which two narrow columns are broadcast. The author dimension grows with
@@ -67,3 +68,46 @@ def articles_per_author_year(fact: DataFrame, dates: DataFrame, authors: DataFra
         .select("author_id", "author_name", "year", "articles", "active_articles", "words")
         .orderBy("author_id", "year")
     )
+
+
+def quarters_of_rollup(rollup: DataFrame, dates: DataFrame) -> DataFrame:
+    return (
+        _published(rollup, dates, "year", "quarter")
+        .groupBy("year", "quarter")
+        .agg(F.sum("articles").alias("articles"), F.sum("words").alias("words"))
+        .withColumn("mean_words", F.col("words").cast("double") / F.col("articles"))
+    )
+
+
+def active_authors_of_rollup(rollup: DataFrame, authors: DataFrame) -> DataFrame:
+    per_author = (
+        rollup.where("active_articles > 0")
+        .groupBy("author_id")
+        .agg(F.sum("active_articles").alias("active_articles"), F.sum("active_words").alias("active_words"))
+    )
+    return per_author.join(authors, "author_id").select(
+        "author_id", "author_name", "first_article_created_at", "active_articles", "active_words"
+    )
+
+
+def weekends_of_rollup(rollup: DataFrame, dates: DataFrame) -> DataFrame:
+    of_weekend = F.when(F.col("is_weekend"), F.col("articles")).otherwise(0)
+    return (
+        _published(rollup.where(F.col("author_id").isNotNull()), dates, "is_weekend")
+        .groupBy("author_id")
+        .agg(F.sum("articles").alias("articles"), F.sum(of_weekend).alias("weekend_articles"))
+        .withColumn("weekend_share", F.col("weekend_articles").cast("double") / F.col("articles"))
+    )
+
+
+def author_years_of_rollup(rollup: DataFrame, dates: DataFrame, authors: DataFrame) -> DataFrame:
+    per_year = (
+        _published(rollup.where(F.col("author_id").isNotNull()), dates, "year")
+        .groupBy("author_id", "year")
+        .agg(*[F.sum(name).alias(name) for name in ("articles", "active_articles", "words")])
+    )
+    return (
+        per_year.join(authors.select("author_id", "author_name"), "author_id")
+        .select("author_id", "author_name", "year", "articles", "active_articles", "words")
+        .orderBy("author_id", "year")
+    )

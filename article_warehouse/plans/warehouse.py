@@ -10,10 +10,10 @@ from __future__ import annotations
 import math
 import uuid
 from collections import Counter
-from collections.abc import Iterable, Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -21,8 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from article_warehouse import schemas as S
 from article_warehouse.files import delete_folder, partition_locations, stored_bytes, subfolders
 from article_warehouse.functions import instant, to_utc, utc_naive, utc_now
-from article_warehouse.operators.authors import author_dimension
 from article_warehouse.operators.calendar import FIRST_DATE, LAST_DATE, covering_calendar, date_dimension
+from article_warehouse.operators.keys import differing_ranges, id_spans, key_bitmaps, key_digests, key_range, located
 from article_warehouse.operators.merge import (
     duplicate_keys,
     keep_latest,
@@ -31,13 +31,18 @@ from article_warehouse.operators.merge import (
     merge_upsert,
     missing_from_source,
     require_unique,
+    row_fingerprint,
     sized_keys,
 )
+from article_warehouse.operators.rollup import article_rollup, authors_of_rollup
 
 PERIOD, SLICE = "created_period", "key_slice"
 PARTITION = [PERIOD, SLICE]
 PARTITION_SCHEMA = T.StructType([T.StructField(name, T.IntegerType()) for name in PARTITION])
 CLUSTERING = ["author_id", S.ARTICLE_KEY]
+# A column of the stored fact that readers don't see.
+FINGERPRINT = "row_fingerprint"
+HIDDEN = [FINGERPRINT, *PARTITION]
 
 _PENDING = "pending_publication"
 # Set with each publication, cleared once the author dimension is computed from what was published.
@@ -46,6 +51,42 @@ _AUTHORS_BEHIND = "authors_behind"
 Partition = tuple[int, int]
 
 
+@dataclass(frozen=True)
+class Companion:
+    """A table with a partition for each one of the fact, made from its rows and published with it.
+
+    The files lie in a folder of their own beside the partitions they were made of.
+    """
+
+    table: str
+    description: str
+    schema: T.StructType
+    columns: tuple[str, ...]
+    make: Callable[..., DataFrame]
+    order: tuple[str, ...]
+
+    def folder(self, location: str) -> str:
+        # Readers of the fact's files pass over names that begin so.
+        return f"{location}/_{self.table}"
+
+    def beside(self, partition_folder: str) -> str:
+        location, period, part = partition_folder.rsplit("/", 2)
+        return f"{self.folder(location)}/{period}/{part}"
+
+
+COMPANIONS = (
+    Companion(
+        S.KEYS, "Article keys of each partition of the fact", S.KEYS_SCHEMA,
+        (S.ARTICLE_KEY, "is_deleted"), key_bitmaps, ("key_range",),
+    ),
+    Companion(
+        S.ROLLUP, "Articles by author and publication day in each partition of the fact", S.ROLLUP_SCHEMA,
+        ("author_id", "published_date_key", "is_deleted", "word_count", "created_at", "updated_at"),
+        article_rollup, ("author_id", "published_date_key"),
+    ),
+)
+
+
 class DeleteGuardError(RuntimeError):
     """A delete reconciliation would mark more rows than allowed."""
 
@@ -53,8 +94,18 @@ class DeleteGuardError(RuntimeError):
 PARTITION_BYTES = 4 << 30
 # Size that the tasks which write the fact aim at, as shuffled.
 FILE_BYTES = 512 << 20
+# Lookups by key skip row groups. The filter of a row group is the smallest of eight lengths that its keys fit, 128 KB at
+# most, which is about one false hit in a hundred for 100,000 keys.
+BLOOM = {
+    f"parquet.bloom.filter.enabled#{S.ARTICLE_KEY}": "true",
+    "parquet.bloom.filter.adaptive.enabled": "true",
+    "parquet.bloom.filter.candidates.number": "8",
+    "parquet.bloom.filter.max.bytes": str(1 << 17),
+}
 # Catalog statements of a publication, or folders being measured, that are under way at a time.
 CATALOG_THREADS = 8
+# Ranges of ids that are read from the source one by one; beyond that all ids are read.
+RANGE_READS = 10_000
 
 
 def _slices_for(size: float, per_partition: int) -> int:
@@ -197,6 +248,9 @@ class StagedBatch:
     # Partitions that held repeated keys, and where they stand without them.
     cleared: frozenset[Partition] = frozenset()
     cleared_location: str = ""
+    # Set by the merge: rows that the fact has already, and partitions that were written or dropped.
+    unchanged: int = 0
+    published: set[Partition] = field(default_factory=set)
 
     def location_of(self, partition: Partition) -> str:
         return self.cleared_location if partition in self.cleared else self.location
@@ -222,8 +276,7 @@ class Warehouse:
 
     def table(self, table: str) -> DataFrame:
         """A table without its physical partition columns."""
-        frame = self.spark.table(self.name(table))
-        return frame.drop(*PARTITION) if table == S.FACT else frame
+        return self.spark.table(self.name(table)).drop(*HIDDEN)
 
     def fact(self, created_from: datetime | None = None, created_until: datetime | None = None) -> DataFrame:
         """The fact, or its rows created in ``[created_from, created_until)`` from matching partitions only."""
@@ -235,15 +288,23 @@ class Warehouse:
         if created_until is not None:
             frame = frame.where(F.col(PERIOD) <= layout.period_number(utc_naive(created_until)))
             frame = frame.where(F.col("created_at") < instant(created_until))
-        return frame.drop(*PARTITION)
+        return frame.drop(*HIDDEN)
 
     def article(self, article_id: str) -> DataFrame:
-        """One fact row, looked up in its slice of the keys."""
+        """One fact row, looked up in the partition that the key bitmaps name, where bloom filters skip row groups."""
+        key = self.spark.createDataFrame([(article_id,)], f"{S.ARTICLE_KEY} string")
+        # Without a publication under way one partition, or a few for keys that are no numbers.
+        partitions = _distinct_partitions(self.locate(key, 1))
         frame = self.spark.table(self.name(S.FACT))
-        key = F.lit(article_id)
-        own_slice = F.col(SLICE) == self.layout.slice(key, F.col(PERIOD))
-        rows = frame.where(own_slice).where(F.col(S.ARTICLE_KEY) == key)
-        return rows.drop(*PARTITION)
+        rows = frame.where(_within(partitions) if partitions else F.lit(False))
+        return rows.where(F.col(S.ARTICLE_KEY) == article_id).drop(*HIDDEN)
+
+    def locate(self, keys: DataFrame, count: int) -> DataFrame:
+        """The partitions that have each of ``count`` keys, by bitmaps: ``article_id`` and the partition.
+
+        Exact for keys that are whole numbers. The fact itself is not read.
+        """
+        return located(self.spark.table(self.name(S.KEYS)), keys, count, *PARTITION)
 
     @property
     def layout(self) -> Layout:
@@ -292,7 +353,7 @@ class Warehouse:
         )
         self.ensure_table(
             S.FACT,
-            S.FACT_SCHEMA,
+            T.StructType([*S.FACT_SCHEMA, T.StructField(FINGERPRINT, T.LongType())]),
             "Articles, one row per article_id",
             PARTITION_SCHEMA,
             self._wanted_layout.properties(),
@@ -300,7 +361,7 @@ class Warehouse:
         self.ensure_table(S.DATES, S.DATES_SCHEMA, "Calendar days, one row per date_key")
         self.ensure_table(S.AUTHORS, S.AUTHORS_SCHEMA, "Authors seen in the articles, one row per author_id")
         self.ensure_table(S.CONTROL, S.CONTROL_SCHEMA, "State and high-water mark of each process")
-        self.finish_publication()
+        self.make_ready()
         if self.table(S.DATES).isEmpty():
             self.replace_table(S.DATES, date_dimension(self.spark, first_date, last_date).coalesce(1))
 
@@ -327,7 +388,8 @@ class Warehouse:
             self.replace_table(S.DATES, wider.coalesce(1))
 
     def refresh_authors(self, as_of: datetime) -> None:
-        self.replace_table(S.AUTHORS, author_dimension(self.table(S.FACT), as_of))
+        """Compute the author dimension from the rollup, whose parts were renewed with the partitions of the fact."""
+        self.replace_table(S.AUTHORS, authors_of_rollup(self.table(S.ROLLUP), as_of))
         self._set_properties({_AUTHORS_BEHIND: ""})
 
     def catch_up_authors(self, as_of: datetime) -> None:
@@ -344,7 +406,7 @@ class Warehouse:
         """
         if on_duplicate not in ("error", "latest"):
             raise ValueError(f"unknown handling of repeated keys: {on_duplicate}")
-        self.finish_publication()
+        self.make_ready()
         staged = StagedBatch(self._new_folder(S.FACT))
         try:
             self._fill(staged, batch, on_duplicate)
@@ -356,7 +418,8 @@ class Warehouse:
     def _fill(self, staged: StagedBatch, batch: DataFrame, on_duplicate: str) -> None:
         staged.location = f"{staged.folder}/batch"
         self._write_fact(self.layout.place(batch), staged.location)
-        staged.rows = self._fact_files(staged.location, batch.columns)
+        columns = [*batch.columns, FINGERPRINT]
+        staged.rows = self._fact_files(staged.location, columns)
         # Counted in the stored files: metrics of a running job count repeated tasks twice.
         profile = key_profile(staged.rows)
         if profile["without_key"]:
@@ -372,7 +435,7 @@ class Warehouse:
             latest = keep_latest(staged.rows.where(within), repeated=(repeated, profile["repeated_keys"]))
             staged.cleared_location = f"{staged.folder}/latest"
             self._write_fact(latest, staged.cleared_location)
-            cleared = self._fact_files(staged.cleared_location, batch.columns)
+            cleared = self._fact_files(staged.cleared_location, columns)
             staged.rows = staged.rows.where(~within).unionByName(cleared)
         staged.row_count = profile["key_count"]
 
@@ -385,21 +448,24 @@ class Warehouse:
     def merge_staged(self, staged: StagedBatch) -> None:
         """Upsert a stored batch.
 
-        Partitions that the fact does not have yet take the stored files as they are. The others
-        that hold a key of the batch, or will, are rewritten, and so are all of a period that
-        outgrows its slices; its new number of slices is committed with the publication.
+        The key bitmaps say where its keys are, and only keys and fingerprints of these partitions are read. Rows that
+        the fact has already, as a repeated window brings them, change nothing. Partitions that the fact does not have
+        yet take the stored files as they are. The others that hold a key of a changed row, or will, are rewritten, and so
+        are all of a period that outgrows its slices; its new number of slices is committed with the publication.
         """
         if not staged.row_count:
             return
         fact, existing, layout = self.spark.table(self.name(S.FACT)), self.partitions(), self.layout
-        keys = sized_keys(staged.rows.select(S.ARTICLE_KEY), staged.row_count)
-        replaced = _partition_rows(fact.join(keys, S.ARTICLE_KEY, "left_semi")) if existing else {}
-        added = _partition_rows(staged.rows)
+        complete = set(fact.columns) == set(staged.rows.columns)
+        replaced, rows = self._changes(staged, complete) if existing else ({}, staged.rows)
+        if staged.unchanged == staged.row_count:
+            return
+        changed_rows = staged.row_count - staged.unchanged
+        added = _partition_rows(rows)
         current, incoming = set(replaced), set(added)
         wider = layout.grown(self._period_bytes(staged, added, replaced))
         resliced = {period for period, slices in wider.hot if slices != layout.slices_of(period)}
         # Columns that only the table has keep their value, which the stored files do not hold.
-        complete = set(fact.columns) == set(staged.rows.columns)
         fresh = incoming - existing if complete or not existing else set()
         fresh = {partition for partition in fresh if partition[0] not in resliced}
         outgrown = {partition for partition in existing if partition[0] in resliced}
@@ -408,16 +474,71 @@ class Warehouse:
         dropped: set[Partition] = set()
         if rewritten:
             location = self._new_folder(S.FACT)
-            merged = merge_upsert(fact.where(_within(rewritten)), staged.rows, batch_rows=staged.row_count)
+            merged = merge_upsert(fact.where(_within(rewritten)), rows, batch_rows=changed_rows)
             merged = merged.where(_within(rewritten))
             self._write_fact(wider.place(merged.drop(*PARTITION)) if resliced else merged, location)
             written = _distinct_partitions(self._fact_files(location, fact.columns))
+            self._write_companions(location, written)
             published |= {partition: _folder(location, partition) for partition in written}
             dropped = (rewritten & existing) - written
-        staged.taken_over = bool(fresh)
-        self._cover_days(staged.rows)
+        for location, taken in ((staged.location, fresh - staged.cleared), (staged.cleared_location, fresh & staged.cleared)):
+            self._write_companions(location, taken)
+        staged.taken_over, staged.published = bool(fresh), set(published) | dropped
+        self._cover_days(rows)
         self._publish(published, dropped, wider.properties() if resliced else {})
 
+    def _changes(self, staged: StagedBatch, complete: bool) -> tuple[dict[Partition, int], DataFrame]:
+        """Rows that a batch replaces, counted by partition, and the rows of the batch that the fact does not have.
+
+        A row is the same if its partition and its fingerprint are. A batch that lacks columns has no fingerprints.
+        """
+        keys = staged.rows.select(S.ARTICLE_KEY, *PARTITION, FINGERPRINT)
+        holding = _distinct_partitions(self.locate(keys.select(S.ARTICLE_KEY), staged.row_count))
+        if not holding:
+            return {}, staged.rows
+        own = keys.select(S.ARTICLE_KEY, *[F.col(name).alias(f"new_{name}") for name in HIDDEN])
+        held = self.spark.table(self.name(S.FACT)).where(_within(holding)).select(S.ARTICLE_KEY, *HIDDEN)
+        same = [F.col(name) == F.col(f"new_{name}") for name in HIDDEN]
+        alike = F.coalesce(same[0] & same[1] & same[2], F.lit(False)) if complete else F.lit(False)
+        found = held.join(sized_keys(own, staged.row_count), S.ARTICLE_KEY).select(S.ARTICLE_KEY, *PARTITION, alike.alias("alike"))
+        folder = f"{staged.folder}/held"
+        self._write(found, folder)
+        found = self.spark.read.schema(found.schema).parquet(folder)
+        staged.unchanged = found.where("alike").count()
+        replaced = _partition_rows(found.where("not alike"))
+        if not staged.unchanged:
+            return replaced, staged.rows
+        equal = sized_keys(found.where("alike").select(S.ARTICLE_KEY), staged.unchanged)
+        return replaced, staged.rows.join(equal, S.ARTICLE_KEY, "left_anti").select(staged.rows.columns)
+
+    def _write_companions(self, location: str, partitions: Iterable[Partition]) -> None:
+        """Write what the companion tables hold of fact partitions whose files are at ``location``."""
+        partitions = set(partitions)
+        if not partitions:
+            return
+
+        def write(companion: Companion) -> None:
+            rows = self._fact_files(location, [*companion.columns]).where(_within(partitions))
+            self._write_in_partitions(companion.make(rows, *PARTITION), companion.folder(location), companion.order)
+
+        with ThreadPoolExecutor(len(COMPANIONS)) as threads:
+            list(threads.map(write, COMPANIONS))
+
+    def _complete_companions(self) -> None:
+        """Make what the companion tables lack, as in a warehouse that was loaded before there were any."""
+        partitions = self.partitions()
+        for companion in COMPANIONS:
+            self.ensure_table(companion.table, companion.schema, companion.description, PARTITION_SCHEMA)
+            present = self.partitions(companion.table)
+            missing = partitions - present
+            if missing:
+                location = self._new_folder(S.FACT)
+                rows = self.spark.table(self.name(S.FACT)).where(_within(missing)).select(*companion.columns, *PARTITION)
+                self._write_in_partitions(companion.make(rows, *PARTITION), location, companion.order)
+                self._set_locations(companion.table, [(*partition, _folder(location, partition)) for partition in missing])
+            if present - partitions:
+                self._set_locations(companion.table, [(*partition, None) for partition in present - partitions])
+
     def _period_bytes(
         self, staged: StagedBatch, added: Mapping[Partition, int], replaced: Mapping[Partition, int]
     ) -> dict[int, float]:
@@ -442,25 +563,47 @@ class Warehouse:
         return sizes
 
     def mark_missing(
-        self, ids: DataFrame, as_of: datetime, max_delete_fraction: float | None = None
+        self,
+        ids: DataFrame,
+        as_of: datetime,
+        max_delete_fraction: float | None = None,
+        digests: DataFrame | None = None,
+        ids_within: Callable[[list[tuple[int, int]]], DataFrame] | None = None,
     ) -> int:
         """Mark active fact rows whose id the source no longer has; returns their number.
 
-        The comparison reads keys and flags only. Full rows are read where a key is missing.
+        Digests by range of the ids that the source holds as not deleted, which it may compute itself (``digests``), are
+        compared with those of active rows, which are stored with the fact. Ranges that differ, also for changes not loaded
+        yet, are compared by key: of the fact, keys and flags of partitions with keys in these ranges are read, and with
+        ``ids_within`` only ids of these ranges from the source. Full rows are read where a key is missing.
         """
-        self.finish_publication()
-        fact = self.spark.table(self.name(S.FACT))
-        slim = fact.select(S.ARTICLE_KEY, "is_deleted", *PARTITION)
-        found = missing_from_source(slim, ids).select(S.ARTICLE_KEY, *PARTITION)
+        self.make_ready()
+        fact, bitmaps = self.spark.table(self.name(S.FACT)), self.table(S.KEYS)
         folder = self._new_folder(S.FACT)
         try:
-            self._write(found, folder)
-            missing = self.spark.read.schema(found.schema).parquet(folder)
+            held = bitmaps.groupBy("key_range").agg(*[F.sum(name).alias(name) for name in ("keys", "digest_a", "digest_b")])
+            differing = differing_ranges(held, digests if digests is not None else key_digests(ids))
+            self._write(differing, f"{folder}/ranges")
+            ranges = self.spark.read.schema(differing.schema).parquet(f"{folder}/ranges")
+            size = ranges.agg(F.count(F.lit(1)).alias("ranges"), F.sum("keys").alias("keys")).first()
+            if not size["ranges"]:
+                return 0
+            wanted = sized_keys(ranges.select("key_range"), size["ranges"])
+            if ids_within and size["ranges"] <= RANGE_READS:
+                ids = ids_within(id_spans(row["key_range"] for row in ranges.select("key_range").collect()))
+            near = F.col("key_range"), key_range(F.col(S.ARTICLE_KEY))
+            ids = ids.withColumn("key_range", near[1]).join(wanted, "key_range", "left_semi").drop("key_range")
+            touched = _distinct_partitions(self.spark.table(self.name(S.KEYS)).join(wanted, "key_range", "left_semi"))
+            slim = fact.where(_within(touched)).select(S.ARTICLE_KEY, "is_deleted", *PARTITION)
+            slim = slim.withColumn("key_range", near[1]).join(wanted, "key_range", "left_semi").drop("key_range")
+            found = missing_from_source(slim, ids).select(S.ARTICLE_KEY, *PARTITION)
+            self._write(found, f"{folder}/missing")
+            missing = self.spark.read.schema(found.schema).parquet(f"{folder}/missing")
             count = missing.count()
             if not count:
                 return 0
             if max_delete_fraction is not None:
-                active = slim.where(F.col("is_deleted") == F.lit(False)).count()
+                active = held.agg(F.sum("keys").alias("keys")).first()["keys"]
                 if count > max_delete_fraction * active:
                     raise DeleteGuardError(f"{count} of {active} active rows are missing from the source")
             touched = _distinct_partitions(missing)
@@ -469,6 +612,7 @@ class Warehouse:
             gone = F.col("missing") & (F.col("is_deleted") == F.lit(False))
             location = self._new_folder(S.FACT)
             self._write_fact(mark_deleted(rows, gone, as_of).select(*fact.columns), location)
+            self._write_companions(location, touched)
             self._publish({partition: _folder(location, partition) for partition in touched}, set())
             return count
         finally:
@@ -478,23 +622,27 @@ class Warehouse:
         rows.write.mode("errorifexists").parquet(location)
 
     def _write_fact(self, placed: DataFrame, location: str) -> None:
-        # Rebalancing splits a partition with many rows over several tasks and joins small ones,
-        # which a repartition by the same columns would not.
+        """Write fact rows with a fingerprint of what they hold now."""
         size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
         before = self.spark.conf.get(size)
         self.spark.conf.set(size, str(self.file_bytes))
+        data = [name for name in placed.columns if name not in HIDDEN]
+        printed = placed.select(*data, row_fingerprint(data).alias(FINGERPRINT), *PARTITION)
         try:
-            (
-                placed.hint("rebalance", *PARTITION)
-                .sortWithinPartitions(*PARTITION, *CLUSTERING)
-                .write.mode("errorifexists")
-                .partitionBy(*PARTITION)
-                .parquet(location)
-            )
+            self._write_in_partitions(printed, location, CLUSTERING, BLOOM)
         finally:
             self.spark.conf.set(size, before)
 
+    def _write_in_partitions(
+        self, placed: DataFrame, location: str, order: Iterable[str], options: Mapping[str, str] = {}
+    ) -> None:
+        # Rebalancing splits a partition with many rows over several tasks and joins small ones,
+        # which a repartition by the same columns would not.
+        rows = placed.hint("rebalance", *PARTITION).sortWithinPartitions(*PARTITION, *order)
+        rows.write.mode("errorifexists").options(**options).partitionBy(*PARTITION).parquet(location)
+
     def _fact_files(self, location: str, columns: list[str]) -> DataFrame:
+        """Stored fact rows, without hidden columns that are not asked for."""
         fields = {field.name: field for field in self.spark.table(self.name(S.FACT)).schema}
         schema = T.StructType([fields[name] for name in columns if name not in PARTITION])
         for field in PARTITION_SCHEMA:
@@ -503,9 +651,9 @@ class Warehouse:
 
     # Publication
 
-    def partitions(self) -> set[Partition]:
-        """Partitions of the fact, from the catalog."""
-        listed = self.spark.sql(f"SHOW PARTITIONS {self.name(S.FACT)}").collect()
+    def partitions(self, table: str = S.FACT) -> set[Partition]:
+        """Partitions of the fact or of a table beside it, from the catalog."""
+        listed = self.spark.sql(f"SHOW PARTITIONS {self.name(table)}").collect()
         return {tuple(int(part.split("=")[1]) for part in row["partition"].split("/")) for row in listed}
 
     def _publish(
@@ -527,6 +675,11 @@ class Warehouse:
         self._set_properties({_PENDING: ""})
         delete_folder(self.spark, plan)
 
+    def make_ready(self) -> None:
+        """Finish an interrupted publication, and make what the tables beside the fact lack."""
+        self.finish_publication()
+        self._complete_companions()
+
     def finish_publication(self) -> None:
         """Carry out a committed publication that was interrupted."""
         plan = self._properties(S.FACT).get(_PENDING)
@@ -536,7 +689,15 @@ class Warehouse:
             delete_folder(self.spark, plan)
 
     def _carry_out(self, entries: list[tuple[int, int, str | None]]) -> None:
-        existing = self.partitions()
+        for companion in COMPANIONS:
+            beside = [(period, part, location and companion.beside(location)) for period, part, location in entries]
+            self._set_locations(companion.table, beside)
+        self._set_locations(S.FACT, entries)
+
+    def _set_locations(self, table: str, entries: list[tuple[int, int, str | None]]) -> None:
+        """Point the catalog at partition folders, and drop partitions without one."""
+        existing = self.partitions(table)
+        alter = self._alter_fact if table == S.FACT else lambda change: self._alter(table, change)
         moved, added, dropped = [], [], []
         for period, part, location in entries:
             spec = f"PARTITION ({PERIOD} = {period}, {SLICE} = {part})"
@@ -547,15 +708,18 @@ class Warehouse:
             else:
                 added.append(f"{spec} LOCATION {_quoted(location)}")
         for start in range(0, len(added), 500):
-            self._alter_fact("ADD IF NOT EXISTS " + " ".join(added[start : start + 500]))
+            alter("ADD IF NOT EXISTS " + " ".join(added[start : start + 500]))
         # Statements of their own, which a remote catalog answers one by one.
         with ThreadPoolExecutor(CATALOG_THREADS) as threads:
-            list(threads.map(self._alter_fact, moved))
+            list(threads.map(alter, moved))
         if dropped:
-            self._alter_fact("DROP IF EXISTS " + ", ".join(dropped))
+            alter("DROP IF EXISTS " + ", ".join(dropped))
 
     def _alter_fact(self, change: str) -> None:
-        self.spark.sql(f"ALTER TABLE {self.name(S.FACT)} {change}")
+        self._alter(S.FACT, change)
+
+    def _alter(self, table: str, change: str) -> None:
+        self.spark.sql(f"ALTER TABLE {self.name(table)} {change}")
 
     def _properties(self, table: str) -> dict[str, str]:
         rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)}").collect()
@@ -589,7 +753,9 @@ class Warehouse:
         described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(table)}")
         locations = [described.where(F.col("col_name") == "Location").first()["data_type"]]
         if table == S.FACT:
-            locations += partition_locations(self.spark, self.database, table)
+            beside = [c.table for c in COMPANIONS if self.spark.catalog.tableExists(self.name(c.table))]
+            for name in (table, *beside):
+                locations += partition_locations(self.spark, self.database, name)
         return {location.rstrip("/").split(f"/{table}/")[-1].split("/")[0] for location in locations}
 
 

@@ -13,6 +13,9 @@ FACT = "fact_articles"
 DATES = "dim_dates"
 AUTHORS = "dim_authors"
 CONTROL = "etl_control"
+# Kept with the fact, one partition for each of its partitions.
+KEYS = "fact_article_keys"
+ROLLUP = "fact_article_rollup"
 
 # Process names and states stored in the control table.
 BACKFILL_PROCESS = "articles_historical_backfill"
@@ -64,6 +67,25 @@ FACT_SCHEMA = _struct(
     ("is_deleted", T.BooleanType()),
 )
 
+KEYS_SCHEMA = _struct(
+    ("key_range", _LONG),
+    ("bitmap", T.BinaryType()),
+    ("keys", _LONG),
+    ("digest_a", _LONG),
+    ("digest_b", _LONG),
+)
+
+ROLLUP_SCHEMA = _struct(
+    ("author_id", _LONG),
+    ("published_date_key", _LONG),
+    ("articles", _LONG),
+    ("active_articles", _LONG),
+    ("words", _LONG),
+    ("active_words", _LONG),
+    ("first_created_at", _TIME),
+    ("last_updated_at", _TIME),
+)
+
 DATES_SCHEMA = _struct(
     ("date_key", _LONG),
     ("date_actual", T.DateType()),

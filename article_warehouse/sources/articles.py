@@ -7,6 +7,8 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
+from article_warehouse.functions import to_utc
+from article_warehouse.operators.keys import key_digests
 from article_warehouse.operators.scans import changed_between, created_between, source_ids
 from article_warehouse.schemas import ARTICLES_SCHEMA
 from article_warehouse.sources.jdbc import JdbcSource
@@ -34,6 +36,14 @@ class FrameSource:
     def ids(self) -> DataFrame:
         return source_ids(self.articles)
 
+    def id_digests(self) -> DataFrame:
+        """Digests per range of the ids of rows that are not deleted, from one aggregate."""
+        return key_digests(source_ids(self.articles.where(to_utc(self.articles, "deleted_at").isNull())))
+
+    def ids_within(self, spans: list[tuple[int, int]]) -> DataFrame:
+        """The ids; a scan of one column, of which the caller takes what it wants."""
+        return self.ids()
+
 
 def article_source(spark: SparkSession, location: str | None, **options: Any) -> FrameSource | JdbcSource:
     """The articles at a ``jdbc:`` address or at a Parquet path, as exactly the eight source columns."""

@@ -12,6 +12,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 
 from article_warehouse.functions import utc_naive
+from article_warehouse.operators.keys import digest_query
 from article_warehouse.operators.scans import source_ids
 from article_warehouse.schemas import ARTICLES, ARTICLES_SCHEMA
 
@@ -55,6 +56,22 @@ def range_predicates(
     return predicates or ["1 = 0"]
 
 
+def span_predicates(spans: Sequence[tuple[int, int]], max_rows: int) -> list[str]:
+    """Reads of about ``max_rows`` ids at most that cover spans ``[first, end)``; neighbouring short spans share one."""
+    predicates, held, rows = [], [], 0
+    for first, end in spans:
+        while first < end:
+            stop = min(end, first + max_rows - rows)
+            held.append(f"(id >= {first} AND id < {stop})")
+            rows, first = rows + stop - first, stop
+            if rows >= max_rows:
+                predicates.append(" OR ".join(held))
+                held, rows = [], 0
+    if held:
+        predicates.append(" OR ".join(held))
+    return predicates or ["1 = 0"]
+
+
 class JdbcSource:
     """Articles in a database, read in parallel by ranges that the database's indexes serve.
 
@@ -106,6 +123,14 @@ class JdbcSource:
     def ids(self) -> DataFrame:
         return source_ids(self.rows())
 
+    def id_digests(self) -> DataFrame:
+        """Digests per range of the ids of rows that are not deleted, which the database computes."""
+        return self._query(digest_query(self.table))
+
+    def ids_within(self, spans: list[tuple[int, int]]) -> DataFrame:
+        """Ids of the given spans only, which an index on the id serves."""
+        return source_ids(self._read(span_predicates(spans, self.max_rows)))
+
     def _in_ranges(self, column: str, start: datetime, end: datetime, step: timedelta) -> DataFrame:
         # The database counts; one row per range comes back.
         counts = {
