@@ -21,6 +21,7 @@ from article_warehouse.operators.transform import transform_articles
 from article_warehouse.operators.windows import (
     batch_plan,
     time_windows,
+    window_groups,
     window_index,
     window_totals,
 )
@@ -50,6 +51,7 @@ __all__ = [
     "source_ids",
     "time_windows",
     "transform_articles",
+    "window_groups",
     "window_index",
     "window_totals",
 ]

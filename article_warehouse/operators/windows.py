@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -56,6 +57,24 @@ def window_totals(
     )
 
 
+def window_groups(
+    rows: Mapping[int, int], start: datetime | str, end: datetime | str, days: int, most: int
+) -> list[tuple[datetime, datetime]]:
+    """``[start, end)`` cut at window borders into adjoining spans of about ``most`` rows, or of a window that has more.
+
+    ``rows`` has the number of rows of each window that has any.
+    """
+    start, end = utc_naive(start), utc_naive(end)
+    cuts, held = [start], 0
+    for index in sorted(rows):
+        opens = start + timedelta(days=days * index)
+        if held and held + rows[index] > most and cuts[-1] < opens < end:
+            cuts.append(opens)
+            held = 0
+        held += rows[index]
+    return list(zip(cuts, [*cuts[1:], end], strict=True)) if start < end else []
+
+
 def batch_plan(
     articles: DataFrame, start: datetime | str, end: datetime | str, days: int, batch_size: int
 ) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from article_warehouse.functions import utc_naive, utc_now
 from article_warehouse.functions.times import BUSINESS_ZONE
 from article_warehouse.operators.transform import transform_articles
-from article_warehouse.operators.windows import window_totals
+from article_warehouse.operators.windows import window_groups, window_totals
 from article_warehouse.plans.control import control_mark, control_record, upsert_control
 from article_warehouse.plans.warehouse import Warehouse
 from article_warehouse.schemas import (
@@ -30,9 +30,13 @@ from article_warehouse.sources import FrameSource, JdbcSource
 HISTORY_START = datetime(2016, 1, 1)
 CHUNK_DAYS = 31
 BATCH_SIZE = 5000
+# Rows that a backfill publishes at a time; a failure costs no more than that.
+GROUP_ROWS = 1_000_000_000
 
 Source = FrameSource | JdbcSource
 
+_LEDGER = "backfill"
+
 
 def run_backfill(
     source: Source,
@@ -44,12 +48,15 @@ def run_backfill(
     on_duplicate: str | None = None,
     zone: str = BUSINESS_ZONE,
     with_authors: bool = True,
+    group_rows: int = GROUP_ROWS,
 ) -> int:
     """Load all history from ``start`` to now once; returns the number of rows loaded.
 
     The mark left for incremental loads is the time at which the backfill began, so rows that
     change while it runs are read again. ``batch_size`` sizes the reported batches; the load
-    itself is one job over all windows. ``on_duplicate`` handles repeated keys; by default it is
+    itself is one job for each group of windows with about ``group_rows`` rows. The statement that commits a group
+    notes how far the backfill has come, so a run after a failure goes on behind the last one, with the time and the
+    counts of the run that failed, unless it is given other windows or batches. ``on_duplicate`` handles repeated keys; by default it is
     what the source recommends. ``with_authors`` is off where a later job refreshes the author dimension.
     """
     warehouse.bootstrap()
@@ -68,17 +75,26 @@ def run_backfill(
 
     began, start = utc_naive(as_of) if as_of else utc_now(), utc_naive(start)
     sizes = {"chunk_days": chunk_days, "batch_size": batch_size}
+    loaded, batches, come = 0, 0, start
+    terms = {**sizes, "start": start.isoformat(), "zone": zone}
+    ledger = warehouse.note(_LEDGER) if done and done["state"] == RUNNING else None
+    if ledger and ledger["terms"] == terms:
+        began, come = (datetime.fromisoformat(ledger[name]) for name in ("began", "until"))
+        loaded, batches = ledger["rows"], ledger["batches"]
     upsert_control(warehouse, BACKFILL_PROCESS, RUNNING, began, sizes, as_of)
 
-    batch = transform_articles(source.created(start, began, chunk_days), zone)
-    with warehouse.staged(batch, on_duplicate or source.on_duplicate) as staged:
-        warehouse.merge_staged(staged)
-        totals = (
-            window_totals(staged.rows, start, began, chunk_days, batch_size)
-            .agg(F.sum("row_count").alias("rows"), F.sum("batch_count").alias("batches"))
-            .first()
-        )
-        loaded, batches = totals["rows"] or 0, totals["batches"] or 0
+    rows = source.window_rows(come, began, chunk_days) if come < began else {}
+    for first, until in window_groups(rows, come, began, chunk_days, group_rows):
+        batch = transform_articles(source.created(first, until, chunk_days), zone)
+        with warehouse.staged(batch, on_duplicate or source.on_duplicate) as staged:
+            totals = (
+                window_totals(staged.rows, start, began, chunk_days, batch_size)
+                .agg(F.sum("row_count").alias("rows"), F.sum("batch_count").alias("batches"))
+                .first()
+            )
+            loaded, batches = loaded + (totals["rows"] or 0), batches + (totals["batches"] or 0)
+            entry = {"terms": terms, "began": began.isoformat(), "until": until.isoformat(), "rows": loaded, "batches": batches}
+            warehouse.merge_staged(staged, warehouse.noted(_LEDGER, entry))
     if with_authors:
         warehouse.catch_up_authors(as_of or utc_now())
 
@@ -91,6 +107,7 @@ def run_backfill(
     upsert_control(warehouse, BACKFILL_PROCESS, COMPLETED, began, summary, as_of)
     seed = {"source": AFTER_BACKFILL}
     upsert_control(warehouse, INCREMENTAL_PROCESS, COMPLETED, began, seed, as_of)
+    warehouse.forget(_LEDGER)
     return loaded
 
 
@@ -160,6 +177,7 @@ def run_hourly(
     zone: str = BUSINESS_ZONE,
     lookback: timedelta = timedelta(0),
     max_delete_fraction: float | None = None,
+    group_rows: int = GROUP_ROWS,
 ) -> dict[str, int | None]:
     """Bootstrap, backfill, incremental load and delete sync in this order; a failure stops the rest.
 
@@ -170,7 +188,7 @@ def run_hourly(
     try:
         return {
             "backfilled": run_backfill(
-                source, warehouse, as_of, start, chunk_days, batch_size, on_duplicate, zone, False
+                source, warehouse, as_of, start, chunk_days, batch_size, on_duplicate, zone, False, group_rows
             ),
             "changed": run_incremental(
                 source, warehouse, interval_start, interval_end, as_of, lookback, on_duplicate, zone, False

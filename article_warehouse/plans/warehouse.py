@@ -7,6 +7,7 @@ job leaves every table as it was. There is one writer at a time.
 
 from __future__ import annotations
 
+import json
 import math
 import uuid
 from collections import Counter
@@ -445,8 +446,8 @@ class Warehouse:
             self.merge_staged(staged)
             return staged.row_count
 
-    def merge_staged(self, staged: StagedBatch) -> None:
-        """Upsert a stored batch.
+    def merge_staged(self, staged: StagedBatch, properties: Mapping[str, str] = {}) -> None:
+        """Upsert a stored batch; table properties given are set by the statement that commits it.
 
         The key bitmaps say where its keys are, and only keys and fingerprints of these partitions are read. Rows that
         the fact has already, as a repeated window brings them, change nothing. Partitions that the fact does not have
@@ -454,11 +455,13 @@ class Warehouse:
         are all of a period that outgrows its slices; its new number of slices is committed with the publication.
         """
         if not staged.row_count:
+            self._set_properties(properties)
             return
         fact, existing, layout = self.spark.table(self.name(S.FACT)), self.partitions(), self.layout
         complete = set(fact.columns) == set(staged.rows.columns)
         replaced, rows = self._changes(staged, complete) if existing else ({}, staged.rows)
         if staged.unchanged == staged.row_count:
+            self._set_properties(properties)
             return
         changed_rows = staged.row_count - staged.unchanged
         added = _partition_rows(rows)
@@ -485,7 +488,7 @@ class Warehouse:
             self._write_companions(location, taken)
         staged.taken_over, staged.published = bool(fresh), set(published) | dropped
         self._cover_days(rows)
-        self._publish(published, dropped, wider.properties() if resliced else {})
+        self._publish(published, dropped, {**properties, **(wider.properties() if resliced else {})})
 
     def _changes(self, staged: StagedBatch, complete: bool) -> tuple[dict[Partition, int], DataFrame]:
         """Rows that a batch replaces, counted by partition, and the rows of the batch that the fact does not have.
@@ -504,8 +507,9 @@ class Warehouse:
         folder = f"{staged.folder}/held"
         self._write(found, folder)
         found = self.spark.read.schema(found.schema).parquet(folder)
-        staged.unchanged = found.where("alike").count()
-        replaced = _partition_rows(found.where("not alike"))
+        counts = found.groupBy("alike", *PARTITION).count().collect()
+        staged.unchanged = sum(row["count"] for row in counts if row["alike"])
+        replaced = {(row[PERIOD], row[SLICE]): row["count"] for row in counts if not row["alike"]}
         if not staged.unchanged:
             return replaced, staged.rows
         equal = sized_keys(found.where("alike").select(S.ARTICLE_KEY), staged.unchanged)
@@ -721,11 +725,26 @@ class Warehouse:
     def _alter(self, table: str, change: str) -> None:
         self.spark.sql(f"ALTER TABLE {self.name(table)} {change}")
 
+    def note(self, name: str) -> dict | None:
+        """What is noted with the fact under ``name``, or None."""
+        text = self._properties(S.FACT).get(f"note.{name}")
+        return json.loads(text) if text else None
+
+    @staticmethod
+    def noted(name: str, value: dict | None) -> dict[str, str]:
+        """Table properties that note ``value`` under ``name``; None removes it."""
+        return {f"note.{name}": json.dumps(value) if value else ""}
+
+    def forget(self, name: str) -> None:
+        self._set_properties(self.noted(name, None))
+
     def _properties(self, table: str) -> dict[str, str]:
         rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)}").collect()
         return {row["key"]: row["value"] for row in rows}
 
     def _set_properties(self, properties: Mapping[str, str]) -> None:
+        if not properties:
+            return
         listed = ", ".join(f"{_quoted(key)} = {_quoted(value)}" for key, value in properties.items())
         self._alter_fact(f"SET TBLPROPERTIES ({listed})")
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from article_warehouse.functions import to_utc
 from article_warehouse.operators.keys import key_digests
 from article_warehouse.operators.scans import changed_between, created_between, source_ids
+from article_warehouse.operators.windows import window_index
 from article_warehouse.schemas import ARTICLES_SCHEMA
 from article_warehouse.sources.jdbc import JdbcSource
 
@@ -33,6 +34,12 @@ class FrameSource:
         """All history of the range in one read; file splits bound it, so ``days`` has no effect."""
         return created_between(self.articles, start, end)
 
+    def window_rows(self, start: datetime, end: datetime, days: int) -> dict[int, int]:
+        """Number of rows created in each window of ``days`` days that has any."""
+        index = window_index(to_utc(self.articles, "created_at"), start, days).alias("window_index")
+        counts = created_between(self.articles, start, end).groupBy(index).count()
+        return {row["window_index"]: row["count"] for row in counts.collect()}
+
     def ids(self) -> DataFrame:
         return source_ids(self.articles)
 

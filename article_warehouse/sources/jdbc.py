@@ -120,6 +120,11 @@ class JdbcSource:
     def created(self, start: datetime, end: datetime, days: int) -> DataFrame:
         return self._in_ranges("created_at", start, end, timedelta(days=days))
 
+    def window_rows(self, start: datetime, end: datetime, days: int) -> dict[int, int]:
+        """Number of rows created in each window of ``days`` days that has any, which the database counts."""
+        counts = self._query(self.count_query("created_at", start, end, timedelta(days=days))).collect()
+        return {int(row["range_index"]): int(row["row_count"]) for row in counts}
+
     def ids(self) -> DataFrame:
         return source_ids(self.rows())
 

@@ -4,7 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from conftest import AS_OF, article, clone, frame, local, new_warehouse, seed_rows, sorted_rows
 
-from article_warehouse import plans, schemas as S
+from article_warehouse import operators as op, plans, schemas as S
 from article_warehouse.operators import DuplicateKeyError, author_dimension, date_dimension
 from article_warehouse.plans.control import details_text
 from article_warehouse.sources import FrameSource
@@ -186,6 +186,53 @@ def test_a_failed_backfill_starts_again(spark, warehouse, monkeypatch):
     assert warehouse.table(S.FACT).count() == 8
 
 
+def test_a_failed_backfill_goes_on_where_it_stopped(spark, tmp_path, monkeypatch):
+    rows = [article(i, datetime(2016, 1, 1) + timedelta(days=40 * i), author=i % 4) for i in range(60)]
+    whole, broken = new_warehouse(spark, tmp_path), new_warehouse(spark, tmp_path)
+    plans.run_backfill(source(spark, rows), whole, AS_OF, batch_size=2)
+    read, real = [], plans.Warehouse.merge_staged
+
+    class Source(type(source(spark, rows))):
+        def created(self, start, end, days):
+            read.append((start, end))
+            return super().created(start, end, days)
+
+    def merge(self, staged, properties):
+        if len(read) == 3:
+            raise RuntimeError("lost")
+        real(self, staged, properties)
+
+    articles = Source(frame(spark, rows))
+    with monkeypatch.context() as patched:
+        patched.setattr(plans.Warehouse, "merge_staged", merge)
+        with pytest.raises(RuntimeError, match="lost"):
+            plans.run_backfill(articles, broken, AS_OF, batch_size=2, group_rows=20)
+    assert broken.table(S.FACT).count() == 40 and [start for start, _ in read[1:]] == [end for _, end in read[:-1]]
+    # Other terms start anew, the same go on; the mark stays that of the first run.
+    terms = broken.note("backfill")["terms"]
+    assert (terms["batch_size"], terms["chunk_days"]) == (2, 31)
+    later = rows[5][:1] + ("changed later", *rows[5][2:6], AS_OF + HOUR / 2, None)
+    again = Source(frame(spark, [later if row[0] == 5 else row for row in rows]))
+    assert plans.run_backfill(again, broken, AS_OF + HOUR, batch_size=2, group_rows=20) == 60
+    assert read[3:] == [(read[2][0], AS_OF)] and broken.note("backfill") is None
+    assert sorted_rows(broken.table(S.FACT)) == sorted_rows(whole.table(S.FACT))
+    for process in (S.BACKFILL_PROCESS, S.INCREMENTAL_PROCESS):
+        ours, theirs = plans.control_record(broken, process), plans.control_record(whole, process)
+        assert (ours["details"], ours["watermark"], ours["state"]) == (theirs["details"], theirs["watermark"], theirs["state"])
+    # What changed meanwhile comes with the next load.
+    assert plans.run_incremental(again, broken, AS_OF, AS_OF + HOUR, AS_OF + HOUR) == 1
+    assert broken.article("5").first()["title"] == "changed later"
+
+
+def test_groups_of_windows():
+    day = datetime(2020, 1, 1)
+    ends = [day + timedelta(days=10 * i) for i in range(6)]
+    assert op.window_groups({}, day, ends[5], 10, 3) == [(day, ends[5])]
+    assert op.window_groups({0: 2, 1: 1, 2: 1, 4: 9}, day, ends[5], 10, 3) == [(day, ends[2]), (ends[2], ends[4]), (ends[4], ends[5])]
+    assert op.window_groups({3: 50}, day, ends[5], 10, 3) == [(day, ends[5])]
+    assert op.window_groups({}, day, day, 10, 3) == []
+
+
 def test_the_mark_stays_if_a_load_fails(spark, seeded, monkeypatch):
     changed = source(spark, revised(seed_rows(), 1, title="new", updated_at=AS_OF))
     with monkeypatch.context() as patched:
