@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +18,21 @@ from article_warehouse.scratch import scratch_folder
 PIECE_BYTES = 1 << 20
 
 
+def kept_in_worker(name: str, make: Callable[[], object], most: int = 16):
+    """What ``make`` gives, made once in a Python process and found by ``name`` in later tasks too.
+
+    Functions that go to the executors by value don't keep anything from task to task, and those with a cache of their own
+    go by name, which needs the package there.
+    """
+    holder = sys.modules.setdefault("article_warehouse_worker", types.ModuleType("article_warehouse_worker"))
+    held = holder.__dict__.setdefault("held", {})
+    if name not in held:
+        while len(held) >= most:
+            held.pop(next(iter(held)))
+        held[name] = make()
+    return held[name]
+
+
 def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

@@ -5,12 +5,11 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from article_warehouse.llm.common import pieces, text_of
+from article_warehouse.llm.common import kept_in_worker, pieces, text_of
 
 # Rows that the table of frequent chunks is made from, entries that it holds at most, and their length. The table only
 # decides which tier answers, never the answer.
@@ -39,14 +38,16 @@ def chunks(text: str) -> list[str]:
     return text.split()
 
 
-@lru_cache(maxsize=2)
 def _tokenizer(path: str):
     from tokenizers import Tokenizer
 
-    found = Tokenizer.from_file(path)
-    found.no_truncation()
-    found.no_padding()
-    return found
+    def made() -> Tokenizer:
+        found = Tokenizer.from_file(path)
+        found.no_truncation()
+        found.no_padding()
+        return found
+
+    return kept_in_worker(f"tokenizer {path}", made)
 
 
 class Lengths(dict):
@@ -67,8 +68,9 @@ class Lengths(dict):
             self.clear()
             self.update(self.frequent)
         missed = set().union(*found).difference(self)
-        # Marks behind a word are tokens of their own, so only the word is encoded.
-        words = {chunk: word for chunk in missed if (word := chunk.rstrip(_MARKS)) != chunk and word.isalpha()}
+        # Marks behind a word are tokens of their own, so only the word is encoded. The word is lowered before it is cut,
+        # which may leave a mark of its own at its end.
+        words = {chunk: word for chunk in missed if (word := chunk.rstrip(_MARKS)) != chunk and word.isalpha() and word.lower().isalpha()}
         self.encode(set(words.values()).union(missed.difference(words)).difference(self))
         self.encode({chunk[len(word) :] for chunk, word in words.items()}.difference(self))
         self.update((chunk, self[word] + self[chunk[len(word) :]]) for chunk, word in words.items())

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 
+from article_warehouse.llm.common import kept_in_worker
+
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
@@ -27,12 +27,18 @@ def mixed(values: np.ndarray) -> np.ndarray:
 _BYTE_BITS = mixed((LOWER.astype(np.uint64) + np.uint64(1)) * np.uint64(_MULTIPLIER))
 
 
-@lru_cache(maxsize=2)
+# Powers up to this number are kept for later tasks.
+_KEPT_POWERS = 1 << 21
+
+
 def _powers(size: int, base: int) -> np.ndarray:
-    powers = np.full(size, base, np.uint64)
-    powers[0] = 1
-    with np.errstate(over="ignore"):
-        return np.cumprod(powers)
+    def made() -> np.ndarray:
+        powers = np.full(size, base, np.uint64)
+        powers[0] = 1
+        with np.errstate(over="ignore"):
+            return np.cumprod(powers)
+
+    return kept_in_worker(f"powers {size} {base}", made) if size <= _KEPT_POWERS else made()
 
 
 def hashed_words(flat: np.ndarray, offsets: np.ndarray, in_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
