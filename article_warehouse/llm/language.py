@@ -2,29 +2,51 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from article_warehouse.llm.common import id_remainder, pieces, text_of
+from article_warehouse.llm.common import id_remainder, kept_in_worker, pieces, text_of
 
 # N-grams of a profile, and their longest length.
 PROFILE, LONGEST = 300, 3
 UNKNOWN = "und"
-# Counters that a table of all n-grams over the characters of a piece may have.
-TABLE_SIZE = 1 << 24
+# Counters that a table of all n-grams over the characters of a run may have.
+TABLE_SIZE = 1 << 20
+# Bytes of text in arrays at a time, some 50 bytes for each; a longer text is cut between words into runs of so many characters.
+RUN_BYTES = 1 << 18
+# N-grams that a task holds counts of before it passes them on.
+HELD_GRAMS = 1 << 19
+
+_BLANK = re.compile(r"\s")
 
 
-@lru_cache(maxsize=1)
 def _letters() -> np.ndarray:
     """Whether each code point is a letter."""
-    points = np.arange(0x110000, dtype=np.uint32)
-    points[0xD800:0xE000] = 32
-    return np.char.isalpha(points.view("U1"))
+
+    def made() -> np.ndarray:
+        points = np.arange(0x110000, dtype=np.uint32)
+        points[0xD800:0xE000] = 32
+        return np.char.isalpha(points.view("U1"))
+
+    return kept_in_worker("letters", made)
+
+
+def runs(text: str) -> list[str]:
+    """``text`` cut at blanks into runs of about ``RUN_BYTES`` characters. The n-grams of the runs are those of the text,
+    since none spans a blank."""
+    found, start = [], 0
+    while len(text) - start > RUN_BYTES:
+        blank = _BLANK.search(text, start + RUN_BYTES)
+        if not blank:
+            break
+        found.append(text[start : blank.start()])
+        start = blank.end()
+    return [*found, text[start:]]
 
 
 def letter_stream(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -62,8 +84,18 @@ def gram_keys(stream: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
 
 def ranked(keys: np.ndarray) -> np.ndarray:
     """The most frequent of ``keys``, ties by their number."""
-    found, counts = np.unique(keys, return_counts=True)
-    return found[np.argsort(-counts, kind="stable")[:PROFILE]]
+    return most_frequent(*np.unique(keys, return_counts=True))
+
+
+def most_frequent(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The keys with the highest counts, ties by their number; ``keys`` rise."""
+    return keys[np.argsort(-counts, kind="stable")[:PROFILE]]
+
+
+def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Counts by key added up, keys rising."""
+    keys, place = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    return keys, np.bincount(place, np.concatenate([c for _, c in parts])).astype(np.int64)
 
 
 def counted(stream: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -89,20 +121,25 @@ def counted(stream: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of n-grams per language (text, lang), summed up over a task."""
+    """Counts of n-grams per language (text, lang), added up over a task up to ``HELD_GRAMS`` at a time."""
     total: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
-    def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-        keys, place = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-        return keys, np.bincount(place, np.concatenate([c for _, c in parts])).astype(np.int64)
+    def results() -> Iterator[pa.RecordBatch]:
+        for lang, (keys, counts) in total.items():
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(keys), pa.array(counts)], ["lang", "gram", "n"])
+        total.clear()
 
     for batch in batches:
         for lang in pc.unique(batch.column(1)).to_pylist():
-            for piece in pieces(batch.column(0).filter(pc.equal(batch.column(1), lang))):
-                found = counted(letter_stream(piece)[0])
-                total[lang] = merged([total[lang], found]) if lang in total else found
-    for lang, (keys, counts) in total.items():
-        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(keys), pa.array(counts)], ["lang", "gram", "n"])
+            for piece in pieces(batch.column(0).filter(pc.equal(batch.column(1), lang)), RUN_BYTES):
+                # A piece of more than one text is short.
+                cut = [pa.array([run]) for run in runs(piece[0].as_py())] if len(piece) == 1 else [piece]
+                for part in cut:
+                    found = counted(letter_stream(part)[0])
+                    total[lang] = merged([total[lang], found]) if lang in total else merged([found])
+                    if sum(len(keys) for keys, _ in total.values()) > HELD_GRAMS:
+                        yield from results()
+    yield from results()
 
 
 def language_profiles(docs: DataFrame) -> dict[str, list[int]]:
@@ -141,12 +178,9 @@ def identify(docs: DataFrame) -> DataFrame:
         names, known, places = shared.value
         for texts in batches:
             langs, scores = [], []
-            for piece in pieces(texts):
-                stream, begins = letter_stream(piece)
-                grams = gram_keys(stream)
-                for start, end in zip(begins[:-1].tolist(), begins[1:].tolist(), strict=True):
-                    keys = np.concatenate([k[start : end + 2 - n][r[start : end + 2 - n]] for n, (k, r) in enumerate(grams, 1)])
-                    name, score = nearest(keys, names, known, places)
+            for piece in pieces(texts, RUN_BYTES):
+                for own in own_ranks(piece):
+                    name, score = nearest(own, names, known, places)
                     langs.append(name)
                     scores.append(score)
             yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
@@ -155,11 +189,24 @@ def identify(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "held_out", "found.lang_pred", "found.score")
 
 
-def nearest(keys: np.ndarray, names: list[str], known: np.ndarray, places: np.ndarray) -> tuple[str, float]:
-    """Nearest language to the n-grams of a text, by out-of-place distance."""
-    if not len(keys) or not names:
+def own_ranks(piece: pa.Array) -> Iterator[np.ndarray]:
+    """The most frequent n-grams of each text of a piece."""
+    if len(piece) == 1 and len(cut := runs(piece[0].as_py() or "")) > 1:
+        total = merged([counted(letter_stream(pa.array(cut[:1]))[0])])
+        for run in cut[1:]:
+            total = merged([total, counted(letter_stream(pa.array([run]))[0])])
+        yield most_frequent(*total)
+        return
+    stream, begins = letter_stream(piece)
+    grams = gram_keys(stream)
+    for start, end in zip(begins[:-1].tolist(), begins[1:].tolist(), strict=True):
+        yield ranked(np.concatenate([k[start : end + 2 - n][r[start : end + 2 - n]] for n, (k, r) in enumerate(grams, 1)]))
+
+
+def nearest(own: np.ndarray, names: list[str], known: np.ndarray, places: np.ndarray) -> tuple[str, float]:
+    """Nearest language to the most frequent n-grams of a text, by out-of-place distance."""
+    if not len(own) or not names:
         return UNKNOWN, 0.0
-    own = ranked(keys)
     row = np.minimum(np.searchsorted(known, own), len(known) - 1)
     at = np.where((known[row] == own)[:, None], places[row], -1)
     apart = np.where(at >= 0, np.abs(at - np.arange(len(own))[:, None]), PROFILE)
