@@ -115,9 +115,11 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.
     Columns: doc_id, size (words), source_size, target (both of its source), taken (words, repeats
     counted), copies (0 to ``MOST_COPIES``). A document without words is taken once. A null source is
     a source of its own. Only whole documents are taken, so a source's words differ from its target
-    by about one document. The same rows give the same mix; a row that repeats gets the same draw.
+    by about one document. The same rows give the same mix. Rows with one id, or without any, get the same draw; where
+    that is the last one needed, as many of them are taken as the target has room for.
     """
-    rows = stored(docs.select("doc_id", F.col("source").cast("string").alias("source"), word_count(text_of()).alias("size")))
+    source, row_id = F.col("source").cast("string").alias("source"), F.monotonically_increasing_id().alias("row_id")
+    rows = stored(docs.select("doc_id", source, word_count(text_of()).alias("size"), row_id))
     sizes = stored(rows.groupBy("source", "size").agg(F.count(F.lit(1)).alias("documents")))
     words = F.sum(F.col("size") * F.col("documents")).alias("source_size")
     sources = sizes.groupBy("source").agg(words, F.greatest(F.sum(F.when(F.col("size") > 0, F.col("documents"))), F.lit(1)).alias("sized"))
@@ -138,7 +140,8 @@ def _rounded(rated: DataFrame) -> DataFrame:
     """Whole copies: the floor of each rate, and one more for the first documents in the order of
     draw / fraction (sequential Poisson sampling) until the source's target is met.
 
-    Where the order ends is found digit by digit of the order key, by sums per source and digit.
+    Where the order ends is found digit by digit of the order key, by sums per source and digit. Rows that share the
+    last key are taken in the order of ids and sizes, and among equal ones in the order of partitions.
     """
     draw = (F.pmod(F.xxhash64("doc_id", F.lit("mix")), F.lit(1 << 40)) + 0.5) / float(1 << 40)
     whole = F.floor(F.col("rate"))
@@ -146,7 +149,7 @@ def _rounded(rated: DataFrame) -> DataFrame:
     order = draw / F.greatest(part, F.lit(1e-12))
     key = F.least(F.floor(order / (1 + order) * float(BASE**DIGITS)), F.lit(BASE**DIGITS - 1))
     drawn = rated.select(
-        "doc_id", "source", "size", "source_size", "target",
+        "doc_id", "source", "size", "source_size", "target", "row_id",
         whole.cast("long").alias("whole"),
         F.when((part > 0) & (F.col("size") > 0), key.cast("long")).alias("key"),
     )
@@ -174,12 +177,19 @@ def _rounded(rated: DataFrame) -> DataFrame:
                 "c.of", F.coalesce("r.left", "c.left").alias("left"), F.coalesce("r.bucket", F.lit(-1)).cast("long").alias("lead")
             )
         )
-    # The documents at the last key are taken if that comes nearer to the target.
-    last = drawn.join(small(cut), F.col("source").eqNullSafe(F.col("of"))).where("key = lead").groupBy("of").agg(F.sum("size").alias("words"))
-    cut = stored(
-        cut.alias("c").join(last.alias("l"), F.col("c.of").eqNullSafe(F.col("l.of")), "left").select(
-            "c.of", F.when(2 * F.col("c.left") >= F.col("l.words"), F.col("lead")).otherwise(F.col("lead") - 1).alias("until")
-        )
-    )
-    extra = F.coalesce((F.col("key") <= F.col("until")).cast("long"), F.lit(0))
-    return drawn.join(small(cut), F.col("source").eqNullSafe(F.col("of"))).withColumn("copies", F.col("whole") + extra)
+    # At the last key: how many of the equal rows of each partition the rest of the target has room for.
+    ends = drawn.withColumn("part", F.shiftright("row_id", 33)).join(small(cut), F.col("source").eqNullSafe(F.col("of")))
+    at_end = F.coalesce(F.col("key") == F.col("lead"), F.lit(False))
+    same = ["of", "doc_id", "size", "part"]
+    tied = ends.where(at_end).groupBy(*same).agg(F.count(F.lit(1)).alias("rows"), F.first("left").alias("left"))
+    # A few keys at most are alike by chance, so a source has a row for each partition here.
+    earlier = Window.partitionBy("of").orderBy("doc_id", "size", "part").rowsBetween(Window.unboundedPreceding, -1)
+    room = F.col("left") - F.coalesce(F.sum(F.col("size") * F.col("rows")).over(earlier), F.lit(0))
+    taken = F.greatest(F.lit(0), F.least(F.col("rows"), F.floor(room / F.col("size") + 0.5)))
+    quotas = stored(tied.select(*[F.col(name).alias(f"q_{name}") for name in same], taken.alias("quota")))
+    place = F.row_number().over(Window.partitionBy(*same).orderBy("row_id")).alias("place")
+    alike = [F.col(name).eqNullSafe(F.col(f"q_{name}")) for name in same]
+    last = ends.where(at_end).select("*", place).join(small(quotas), alike).withColumn("extra", (F.col("place") <= F.col("quota")).cast("long"))
+    others = ends.where(~at_end).withColumn("extra", F.coalesce((F.col("key") <= F.col("lead")).cast("long"), F.lit(0)))
+    columns = ["doc_id", "size", "source_size", "target", (F.col("whole") + F.col("extra")).alias("copies")]
+    return others.select(*columns).unionByName(last.select(*columns))
