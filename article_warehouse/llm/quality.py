@@ -149,14 +149,17 @@ def fit_quality(docs: DataFrame, labels: DataFrame) -> Model:
     """The model for ``labels.quality``, fitted on up to ``FIT_ROWS`` labelled documents.
 
     Only ids whose remainder by ``id_remainder(4)`` is not 2 are used. The rows are those with the
-    smallest hashes of their ids. One task fits the model, on the rows in a fixed order, so that reruns agree; both
+    smallest hashes of their ids, one for each id. One task fits the model, on the rows in a fixed order, so that reruns agree; both
     its rows and the result are bounded.
     """
     usable = labels.where("quality in (0, 1)").where(id_remainder(4) != 2).select("doc_id", F.col("quality").cast("int").alias("quality"))
     chosen = usable.groupBy("doc_id").agg(F.max("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS)
     size = recorded_size(docs)
     rows = docs.select("doc_id", text_of().alias("text"), size.alias("size")).join(F.broadcast(chosen), "doc_id")
-    rows = rows.limit(2 * FIT_ROWS).coalesce(1).sortWithinPartitions("doc_id", "size", F.xxhash64("text"))
+    # An id may have several rows; the one whose text has the smallest hash is used.
+    rank = F.struct(F.xxhash64("text"), "text", "size")
+    rows = rows.groupBy("doc_id").agg(*[F.min_by(name, rank).alias(name) for name in ("text", "size", "quality")])
+    rows = rows.coalesce(1).sortWithinPartitions("doc_id")
     rows = rows.select("text", "size", "quality")
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
