@@ -29,6 +29,10 @@ TEMPLATES = {
 }
 # A character that is not in a word.
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
+# Two line ends without a word in between.
+BREAKS = rf"\n{_GAP}*\n"
+# Stands for a line without words among the words of a text. No text is meant to hold this code point.
+BREAK = "\ufdd0"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -63,49 +67,73 @@ def template_index(docs: DataFrame, templates: dict[str, str], threshold: float)
     for text, label in templates.items():
         words = sorted(set(text.split()), key=lambda w: (frequency.get(w, 0), w))
         index.append((label, words, math.ceil(threshold * len(words) - 1e-9), len(text.split())))
-    return index
+    every = {word for text in templates for word in text.split()}
+    return index, sorted(every, key=lambda w: (frequency.get(w, 0), w))
 
 
-def text_blocks(lines: Column, most: int) -> Column:
-    """Of each line its words (own) and the words that follow up to a line without any, ``most`` at most (next).
+def window_length(span: int, threshold: float) -> int:
+    """Words of a text block that is compared with a template of ``span`` words: room for what a share of ``threshold`` leaves."""
+    return math.ceil(span / threshold - 1e-9)
 
-    ``lines`` is a stored column with the words of each line.
-    """
 
-    def block(own: Column, i: Column) -> Column:
-        after = F.slice(lines, i + 2, most)
-        stop = F.array_position(F.transform(after, lambda w: F.size(w) == 0), True).cast("int")
-        after = F.when(stop > 0, F.slice(after, 1, F.greatest(stop - 1, F.lit(0)))).otherwise(after)
-        following = F.slice(F.flatten(F.transform(after, lambda w: F.slice(w, 1, most))), 1, most)
-        return F.struct(own.alias("own"), following.alias("next"))
+def text_blocks(words: Column, starts: list[str], most: int) -> Column:
+    """Of each place in ``words`` with one of the words ``starts``: the word, up to ``most`` - 1 words before it and up to
+    ``most`` from there on, all within lines that follow each other without a ``BREAK``."""
+
+    def until_break(listed: Column) -> Column:
+        stop = F.array_position(listed, BREAK).cast("int")
+        return F.when(stop > 0, F.slice(listed, F.lit(1), F.greatest(stop - 1, F.lit(0)))).otherwise(listed)
+
+    def block(i: Column) -> Column:
+        first = F.greatest(i - most + 1, F.lit(0))
+        return F.struct(
+            F.get(words, i).alias("word"),
+            F.reverse(until_break(F.reverse(F.slice(words, first + 1, i - first)))).alias("before"),
+            until_break(F.slice(words, i + 1, F.lit(most))).alias("after"),
+        )
 
-    return F.transform(lines, block)
+    known = _texts(starts)
+    every = F.transform(words, lambda word, i: F.when(F.array_contains(known, word), i))
+    return F.transform(F.array_compact(every), block)
 
 
-def template_matches(blocks: DataFrame, index: list[tuple[str, list[str], int, int]]) -> DataFrame:
-    """Every pair of a text block and a template of which the block has the words that a match needs.
+def template_matches(blocks: DataFrame, index: list[tuple[str, list[str], int, int]], order: list[str], threshold: float) -> DataFrame:
+    """Every pair of a text and a template of which some block of the text has the words that a match needs.
 
-    ``blocks`` has row_id, own and next: a line's words, and those of the lines after it. A block of a template is a line
-    with the words after it that a sentence of the template's length can have there, so that wrapped ones are found.
-    Columns: row_id, label, containment (share of the template's distinct words).
+    A block is any ``window_length`` words in a row. ``blocks`` has row_id, word, before and after: a place of a
+    template's rare word, with the words around it that blocks with this place can have. ``order`` has all words of the
+    templates, the rarest first.
+    Columns: row_id, label, containment (largest share of the template's distinct words in a block).
     The join is on words: a block that matches shares a word with the template's prefix, its rarest words, as
-    those that may be missing are one fewer. Blocks with too few distinct words are left out (length filter), and so
-    are pairs whose shared word stands so late in the template that too few follow (positional filter). The pairs
-    that are left are compared word by word.
+    those that may be missing are one fewer. Each pair need only be found at the rarest word that both share. Pairs are left out if there are too few distinct words around the place (length
+    filter), or if fewer words that are more frequent than the shared one are in the template, or around the place, than a
+    match still needs (positional filter). The pairs that are left are compared block by block.
     """
-    spark, prefixes = blocks.sparkSession, _prefixes(index)
-    inverted = spark.createDataFrame(prefixes, "word string, template int, place int")
+    spark = blocks.sparkSession
+    ranked = spark.createDataFrame(_prefixes(index), "word string, template int, place int")
     sets = spark.createDataFrame(
-        [(i, *template) for i, template in enumerate(index)], "template int, label string, wanted array<string>, need int, span int"
+        [(i, label, words, need, window_length(span, threshold)) for i, (label, words, need, span) in enumerate(index)],
+        "template int, label string, wanted array<string>, need int, width int",
     )
     # Both are as large as the given templates.
-    probes = inverted.join(sets, "template").where("size(wanted) - place >= need")
-    some = blocks.select("*", F.explode(F.array_distinct(F.concat("own", "next"))).alias("word")).join(F.broadcast(probes), "word")
-    words = F.array_distinct(F.concat("own", F.slice("next", F.lit(1), F.col("span") - 1)))
-    pairs = some.select("row_id", "label", "wanted", "need", words.alias("words")).where("size(words) >= need")
-    shared = F.size(F.array_intersect("words", "wanted"))
-    compared = pairs.where(shared >= F.col("need"))
-    return compared.select("row_id", "label", (shared / F.size("wanted")).alias("containment")).distinct()
+    probes = ranked.join(sets, "template")
+    known = _texts(order)
+    some = blocks.join(F.broadcast(probes), "word")
+    before = F.reverse(F.slice(F.reverse("before"), F.lit(1), F.col("width") - 1))
+    near = some.select("row_id", "label", "word", "wanted", "need", "width", "place", F.concat(before, F.slice("after", F.lit(1), F.col("width"))).alias("words"))
+    long_enough = near.where(F.size(F.array_distinct("words")) >= F.col("need"))
+    # Words of any template around the place, by their ranks, and the place's own among them.
+    ranks = F.transform(F.array_intersect("words", known), lambda word: F.array_position(known, word))
+    own = F.array_position(known, F.col("word"))
+    behind = F.least(F.size("wanted") - F.col("place") - 1, F.size(F.filter(ranks, lambda rank: rank > own)))
+    possible = long_enough.where(behind + 1 >= F.col("need"))
+
+    def shared(i: Column) -> Column:
+        return F.size(F.array_intersect(F.slice("words", i + 1, F.col("width")), F.col("wanted")))
+
+    best = F.array_max(F.transform(F.sequence(F.lit(0), F.greatest(F.size("words") - F.col("width"), F.lit(0))), shared))
+    compared = possible.select("row_id", "label", "wanted", "need", best.alias("shared")).where("shared >= need")
+    return compared.select("row_id", "label", (F.col("shared") / F.size("wanted")).alias("containment"))
 
 
 def _prefixes(index: list[tuple[str, list[str], int, int]]) -> list[tuple[str, int, int]]:
@@ -133,20 +161,20 @@ def license_scan(
 
     Columns: doc_id, n_words, n_base (places of phrases), first_word and last_word (where the first and the last
     place begin, null without any), base_labels, labels (with those of the templates; distinct, sorted, comma-joined),
-    score (1 with a phrase, else the highest containment of a template in a text block, else 0). A template matches a
-    block (a line, with what follows it up to the template's length) that has ``threshold`` of its distinct words. Null and empty texts have no words and no labels.
+    score (1 with a phrase, else the highest containment of a template that matches, else 0). A template matches a text
+    if ``threshold`` of its distinct words are in one block of the text, that is ``window_length`` words in a row, on one line
+    or on lines without an empty one between them. Null and empty texts have no words and no labels.
     """
-    index = template_index(docs, templates, threshold)
+    index, order = template_index(docs, templates, threshold)
     starts = sorted({word for word, *_ in _prefixes(index)})
     in_phrases = [word for phrase in phrases for word in phrase.split()]
-    nothing, no_lines = F.array().cast("array<string>"), F.array().cast("array<array<string>>")
+    nothing = F.array().cast("array<string>")
     wanted = {word for _, words, *_ in index for word in words}
     taken_apart = docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", text_of().alias("text"), words_of(text_of()).alias("words"))
     parts = taken_apart.select("*", F.array_intersect("words", _texts(sorted({*wanted, *in_phrases}))).alias("hits"))
     # Only texts that have all words of a phrase are searched for it, and only texts that have the words which a match
-    # of some template needs are cut into lines.
+    # of some template needs are searched for blocks.
     enough = [F.size(F.array_intersect("hits", _texts(words))) >= need for _, words, need, _ in index]
-    lines = F.transform(F.split("text", "\n"), words_of)
     places = {
         f"places_{i}": F.when(F.size(F.array_except(_texts(phrase.split()), F.col("hits"))) == 0, _places(F.col("words"), phrase)).otherwise(
             F.array().cast("array<int>")
@@ -158,14 +186,13 @@ def license_scan(
             "row_id",
             "doc_id",
             F.size("words").cast("long").alias("n_words"),
-            F.when(reduce(or_, enough, F.lit(False)), lines).otherwise(no_lines).alias("lines"),
+            F.when(reduce(or_, enough, F.lit(False)), words_of(F.regexp_replace("text", BREAKS, f" {BREAK} "))).otherwise(nothing).alias("marked"),
             *[column.alias(name) for name, column in places.items()],
         )
     )
-    most = max((span for *_, span in index), default=1)
-    blocks = rows.select("row_id", F.explode(text_blocks(F.col("lines"), most)).alias("block")).select("row_id", "block.*")
-    blocks = blocks.where(F.arrays_overlap(F.concat("own", "next"), _texts(starts)))
-    matches = template_matches(blocks, index)
+    most = max((window_length(span, threshold) for *_, span in index), default=1)
+    blocks = rows.select("row_id", F.explode(text_blocks(F.col("marked"), starts, most)).alias("block")).select("row_id", "block.*")
+    matches = template_matches(blocks, index, order, threshold)
     matched = matches.groupBy("row_id").agg(F.collect_set("label").alias("matched"), F.max("containment").alias("containment"))
     found = rows.join(matched, "row_id", "left")
     every = F.concat(*places)

@@ -11,7 +11,7 @@ from article_warehouse.llm.common import table
 from article_warehouse.llm.decontaminate import SHINGLE, THRESHOLD, contaminated
 from article_warehouse.llm.exact import exact_groups
 from article_warehouse.llm.language import identify
-from article_warehouse.llm.licenses import PHRASES, TEMPLATES, WORD, license_scan
+from article_warehouse.llm.licenses import BREAK, BREAKS, PHRASES, TEMPLATES, WORD, license_scan, window_length
 from article_warehouse.llm.mixing import mix
 from article_warehouse.llm.pages import main_text
 from article_warehouse.llm.quality import quality_scores
@@ -111,7 +111,7 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 
 
 def _licenses(threshold: float = 0.8) -> str:
-    """Every line is compared with every template."""
+    """Every block of a text is compared with every template of which the text has enough words."""
 
     def places(phrase: str) -> str:
         parts = phrase.split()
@@ -120,23 +120,32 @@ def _licenses(threshold: float = 0.8) -> str:
 
     every = " || ".join(places(phrase) for phrase in PHRASES)
     base = " || ".join(f"(case when len({places(phrase)}) > 0 then ['{label}'] else [] end)" for phrase, label in PHRASES.items())
-    wanted = ", ".join(f"('{text}', '{label}')" for text, label in TEMPLATES.items())
+    wanted = ", ".join(f"('{text}', '{label}', {window_length(len(text.split()), threshold)})" for text, label in TEMPLATES.items())
     return f"""
-with words as (select doc_id, regexp_extract_all({_LOWER}, '{WORD}') as w from documents),
-based as (select doc_id, cast(len(w) as bigint) as n_words, {every} as places, {base} as base from words),
-lines as (
-  select doc_id, list_distinct(regexp_extract_all(line, '{WORD}')) as w
-  from (select doc_id, unnest(string_split({_LOWER}, chr(10))) as line from documents)
+with words as (
+  select doc_id, regexp_extract_all({_LOWER}, '{WORD}') as w,
+    regexp_extract_all(regexp_replace({_LOWER}, '{BREAKS}', ' {BREAK} ', 'g'), '{WORD}') as parted
+  from documents
 ),
+based as (select doc_id, cast(len(w) as bigint) as n_words, {every} as places, {base} as base from words),
 templates as (
-  select label, list_distinct(string_split(template, ' ')) as wanted from (values {wanted}) as t(template, label)
+  select label, list_distinct(string_split(template, ' ')) as wanted, width from (values {wanted}) as t(template, label, width)
+),
+possible as (
+  select doc_id, parted, label, wanted, width, ceil({threshold} * len(wanted) - 1e-9) as need from words cross join templates
+  where len(list_intersect(w, wanted)) >= need
 ),
 shared as (
-  select doc_id, label, len(wanted) as size, len(list_intersect(w, wanted)) as shared from lines cross join templates
+  select doc_id, label, len(wanted) as size, need,
+    list_max([
+      len(list_intersect(case when list_position(b, '{BREAK}') > 0 then b[:list_position(b, '{BREAK}') - 1] else b end, wanted))
+      for b in [parted[i:i + width - 1] for i in range(1, len(parted) + 1)]
+    ]) as shared
+  from possible
 ),
 matched as (
   select doc_id, list(distinct label) as labels, max(cast(shared as double) / size) as containment
-  from shared where shared >= ceil({threshold} * size - 1e-9) group by doc_id
+  from shared where shared >= need group by doc_id
 )
 select doc_id, n_words, cast(len(places) as bigint) as n_base,
   cast(list_min(places) as bigint) as first_word, cast(list_max(places) as bigint) as last_word,
