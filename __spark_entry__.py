@@ -145,11 +145,11 @@ def reconcile_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Load jobs, each in a warehouse of its own
 
 
-def _warehouse(spark: SparkSession, sf_dir: str) -> plans.Warehouse:
+def _warehouse(spark: SparkSession, sf_dir: str, years: tuple[int, int] = op.calendar.PLAUSIBLE_YEARS) -> plans.Warehouse:
     name = f"article_warehouse_{uuid.uuid4().hex[:12]}"
     size = stored_bytes(spark, f"{sf_dir}/documents.parquet")
     layout = plans.Layout.for_articles(articles(spark, sf_dir), size)
-    return plans.Warehouse(spark, f"{scratch_folder(spark)}/{name}", name, layout)
+    return plans.Warehouse(spark, f"{scratch_folder(spark)}/{name}", name, layout, years=years)
 
 
 def _backfilled(spark: SparkSession, sf_dir: str) -> plans.Warehouse:
@@ -254,6 +254,22 @@ def stored_author_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.author_years_of_rollup(*_stored_star(spark, sf_dir))
 
 
+KNOWN_YEARS = (2016, 2030)
+
+
+def quarantined_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days beyond the calendar's years, from the table beside a stored fact that lists their articles."""
+    warehouse = _warehouse(spark, sf_dir, KNOWN_YEARS)
+    plans.run_backfill(FrameSource(articles(spark, sf_dir)), warehouse, END)
+    return plans.outlier_days(warehouse.table(S.OUTLIERS), warehouse.years)
+
+
+def star_unknown_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles per quarter where the calendar lacks the last years: those are counted as well."""
+    rows = fact(spark, sf_dir)
+    return plans.articles_per_quarter(rows, op.covering_calendar(rows, years=KNOWN_YEARS))
+
+
 def affected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each step of the hourly run reports."""
     counts = _hourly_run(spark, sf_dir)[1]
@@ -370,6 +386,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stored_author_active": stored_author_active,
         "stored_author_weekend": stored_author_weekend,
         "stored_author_year": stored_author_year,
+        "quarantined_days": quarantined_days,
+        "star_unknown_day": star_unknown_day,
         "added_column_load": added_column_load,
         "article_source_rows": article_source_rows,
         "audit_counts": audit_counts,
@@ -635,6 +653,15 @@ select author_id, published_date_key, count(*) as articles, count(*) filter (whe
   min(created_at) as first_created_at, max(updated_at) as last_updated_at
 from final group by author_id, published_date_key""",
         **{name.replace("star", "stored", 1): f"with {_STORED} {sql}" for name, sql in _STAR.items()},
+        "quarantined_days": f"""with {_FACT}
+select 'published_date_key' as date_column, published_date_key as date_key, count(*) as row_count from fact
+where published_date_key not between {KNOWN_YEARS[0]}0000 and {KNOWN_YEARS[1]}1231
+  and created_at >= {_at(START)} and created_at < {_at(END)} group by published_date_key""",
+        "star_unknown_day": f"""{star}
+select cast(year(known) as bigint) as year, cast(quarter(known) as bigint) as quarter, count(*) as articles,
+  cast(sum(word_count) as bigint) as words, cast(sum(word_count) as double) / count(*) as mean_words
+from (select word_count, case when day < timestamp '{KNOWN_YEARS[1] + 1}-01-01' then day end as known from published)
+group by 1, 2""",
         "added_column_load": f"""with {_LOADED}
 select loaded.*, case when article_id in (select article_id from history) then 'n' || article_id end as note from loaded""",
         "article_source_rows": f"with {_ARTICLES} select * from articles",

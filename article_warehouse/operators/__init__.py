@@ -1,5 +1,5 @@
 from article_warehouse.operators.authors import author_dimension
-from article_warehouse.operators.calendar import covering_calendar, date_dimension
+from article_warehouse.operators.calendar import covering_calendar, date_dimension, key_outliers
 from article_warehouse.operators.keys import differing_ranges, key_bitmaps, key_digests, located
 from article_warehouse.operators.merge import (
     DuplicateKeyError,
@@ -41,6 +41,7 @@ __all__ = [
     "keep_latest",
     "key_bitmaps",
     "key_digests",
+    "key_outliers",
     "keyset_page",
     "located",
     "merge_upsert",

@@ -1,4 +1,4 @@
-from article_warehouse.plans.audits import article_state, audit_counts, control_records, facts_without_day, source_id_count
+from article_warehouse.plans.audits import article_state, audit_counts, control_records, facts_without_day, outlier_days, source_id_count
 from article_warehouse.plans.control import control_mark, control_record, upsert_control
 from article_warehouse.plans.jobs import run_backfill, run_delete_sync, run_hourly, run_incremental
 from article_warehouse.plans.star import (
@@ -28,6 +28,7 @@ __all__ = [
     "control_record",
     "control_records",
     "facts_without_day",
+    "outlier_days",
     "quarters_of_rollup",
     "run_backfill",
     "run_delete_sync",

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from article_warehouse.operators.calendar import DATE_KEYS, PLAUSIBLE_YEARS, plausible
 from article_warehouse.schemas import ARTICLE_KEY
 
 
@@ -33,6 +34,12 @@ def facts_without_day(fact: DataFrame, dates: DataFrame) -> DataFrame:
     return counts.join(dates, "date_key", "left_anti")
 
 
+def outlier_days(outliers: DataFrame, years: tuple[int, int] = PLAUSIBLE_YEARS) -> DataFrame:
+    """Number of articles for each date key of an implausible year, from the table that holds such articles."""
+    keys = outliers.unpivot([ARTICLE_KEY], DATE_KEYS, "date_column", "date_key").where(~plausible(F.col("date_key"), years))
+    return keys.groupBy("date_column", "date_key").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 def source_id_count(ids: DataFrame) -> DataFrame:
     """Number of source ids that a delete reconciliation compares with."""
     return ids.agg(F.count(F.lit(1)).alias("source_ids"))

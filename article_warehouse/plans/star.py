@@ -12,9 +12,11 @@ from pyspark.sql import DataFrame, functions as F
 
 
 def _published(fact: DataFrame, dates: DataFrame, *attributes: str) -> DataFrame:
-    """Published articles with calendar attributes; articles without a publication date drop out."""
+    """Published articles with calendar attributes, null for days that the calendar lacks; articles without a publication
+    date drop out."""
     days = dates.select("date_key", *attributes)
-    return fact.join(F.broadcast(days), fact["published_date_key"] == days["date_key"])
+    published = fact.where(F.col("published_date_key").isNotNull())
+    return published.join(F.broadcast(days), published["published_date_key"] == days["date_key"], "left")
 
 
 _ACTIVE = "count_if(is_deleted = false)"

@@ -16,13 +16,22 @@ from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timedelta
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from article_warehouse import schemas as S
 from article_warehouse.files import delete_folder, partition_locations, stored_bytes, subfolders
 from article_warehouse.functions import instant, to_utc, utc_naive, utc_now
-from article_warehouse.operators.calendar import FIRST_DATE, LAST_DATE, covering_calendar, date_dimension
+from article_warehouse.operators.calendar import (
+    DATE_KEYS,
+    FIRST_DATE,
+    LAST_DATE,
+    PLAUSIBLE_YEARS,
+    covering_calendar,
+    date_dimension,
+    key_outliers,
+)
 from article_warehouse.operators.keys import differing_ranges, id_spans, key_bitmaps, key_digests, key_range, located
 from article_warehouse.operators.merge import (
     duplicate_keys,
@@ -45,6 +54,7 @@ CLUSTERING = ["author_id", S.ARTICLE_KEY]
 FINGERPRINT = "row_fingerprint"
 HIDDEN = [FINGERPRINT, *PARTITION]
 
+_YEARS = "calendar.years"
 _PENDING = "pending_publication"
 # Set with each publication, cleared once the author dimension is computed from what was published.
 _AUTHORS_BEHIND = "authors_behind"
@@ -265,9 +275,11 @@ class Warehouse:
         database: str = "article_warehouse",
         layout: Layout = Layout(),
         file_bytes: int = FILE_BYTES,
+        years: tuple[int, int] = PLAUSIBLE_YEARS,
     ):
         self.spark, self.root, self.database = spark, root.rstrip("/"), database
         self.file_bytes = file_bytes
+        self._wanted_years = years
         self._wanted_layout = layout
 
     # Tables
@@ -312,6 +324,20 @@ class Warehouse:
         """The layout that the fact was created with, and the slices of periods that grew since."""
         return Layout.from_properties(self._properties(S.FACT))
 
+    @property
+    def years(self) -> tuple[int, int]:
+        """First and last year of days that the calendar may have; articles of others are listed in a table of their own."""
+        stored = self._properties(S.FACT).get(_YEARS)
+        return tuple(int(year) for year in stored.split("-")) if stored else PLAUSIBLE_YEARS
+
+    @property
+    def companions(self) -> tuple[Companion, ...]:
+        outliers = Companion(
+            S.OUTLIERS, "Articles with a date of an implausible year in each partition of the fact", S.OUTLIERS_SCHEMA,
+            (S.ARTICLE_KEY, *DATE_KEYS), partial(key_outliers, years=self.years), (S.ARTICLE_KEY,),
+        )
+        return (*COMPANIONS, outliers)
+
     def ensure_table(
         self,
         table: str,
@@ -357,7 +383,7 @@ class Warehouse:
             T.StructType([*S.FACT_SCHEMA, T.StructField(FINGERPRINT, T.LongType())]),
             "Articles, one row per article_id",
             PARTITION_SCHEMA,
-            self._wanted_layout.properties(),
+            {**self._wanted_layout.properties(), _YEARS: "-".join(map(str, self._wanted_years))},
         )
         self.ensure_table(S.DATES, S.DATES_SCHEMA, "Calendar days, one row per date_key")
         self.ensure_table(S.AUTHORS, S.AUTHORS_SCHEMA, "Authors seen in the articles, one row per author_id")
@@ -383,7 +409,7 @@ class Warehouse:
         held = dates.agg(F.min("date_actual").alias("first"), F.max("date_actual").alias("last")).first()
         if held["first"] is None:
             return
-        wider = covering_calendar(rows, str(held["first"]), str(held["last"]))
+        wider = covering_calendar(rows, str(held["first"]), str(held["last"]), self.years)
         ends = wider.agg(F.min("date_actual").alias("first"), F.max("date_actual").alias("last")).first()
         if ends != held:
             self.replace_table(S.DATES, wider.coalesce(1))
@@ -475,19 +501,22 @@ class Warehouse:
         rewritten = (current | incoming | outgrown) - fresh
         published = {partition: _folder(staged.location_of(partition), partition) for partition in fresh}
         dropped: set[Partition] = set()
-        if rewritten:
-            location = self._new_folder(S.FACT)
-            merged = merge_upsert(fact.where(_within(rewritten)), rows, batch_rows=changed_rows)
-            merged = merged.where(_within(rewritten))
-            self._write_fact(wider.place(merged.drop(*PARTITION)) if resliced else merged, location)
-            written = _distinct_partitions(self._fact_files(location, fact.columns))
-            self._write_companions(location, written)
-            published |= {partition: _folder(location, partition) for partition in written}
-            dropped = (rewritten & existing) - written
-        for location, taken in ((staged.location, fresh - staged.cleared), (staged.cleared_location, fresh & staged.cleared)):
-            self._write_companions(location, taken)
+        with ThreadPoolExecutor(1) as threads:
+            # Meanwhile, since a calendar that is wider than the fact does no harm.
+            covered = threads.submit(self._cover_days, rows)
+            if rewritten:
+                location = self._new_folder(S.FACT)
+                merged = merge_upsert(fact.where(_within(rewritten)), rows, batch_rows=changed_rows)
+                merged = merged.where(_within(rewritten))
+                self._write_fact(wider.place(merged.drop(*PARTITION)) if resliced else merged, location)
+                written = _distinct_partitions(self._fact_files(location, fact.columns))
+                self._write_companions(location, written)
+                published |= {partition: _folder(location, partition) for partition in written}
+                dropped = (rewritten & existing) - written
+            for location, taken in ((staged.location, fresh - staged.cleared), (staged.cleared_location, fresh & staged.cleared)):
+                self._write_companions(location, taken)
+            covered.result()
         staged.taken_over, staged.published = bool(fresh), set(published) | dropped
-        self._cover_days(rows)
         self._publish(published, dropped, {**properties, **(wider.properties() if resliced else {})})
 
     def _changes(self, staged: StagedBatch, complete: bool) -> tuple[dict[Partition, int], DataFrame]:
@@ -525,13 +554,14 @@ class Warehouse:
             rows = self._fact_files(location, [*companion.columns]).where(_within(partitions))
             self._write_in_partitions(companion.make(rows, *PARTITION), companion.folder(location), companion.order)
 
-        with ThreadPoolExecutor(len(COMPANIONS)) as threads:
-            list(threads.map(write, COMPANIONS))
+        companions = self.companions
+        with ThreadPoolExecutor(len(companions)) as threads:
+            list(threads.map(write, companions))
 
     def _complete_companions(self) -> None:
         """Make what the companion tables lack, as in a warehouse that was loaded before there were any."""
         partitions = self.partitions()
-        for companion in COMPANIONS:
+        for companion in self.companions:
             self.ensure_table(companion.table, companion.schema, companion.description, PARTITION_SCHEMA)
             present = self.partitions(companion.table)
             missing = partitions - present
@@ -693,9 +723,13 @@ class Warehouse:
             delete_folder(self.spark, plan)
 
     def _carry_out(self, entries: list[tuple[int, int, str | None]]) -> None:
-        for companion in COMPANIONS:
+        def move(companion: Companion) -> None:
             beside = [(period, part, location and companion.beside(location)) for period, part, location in entries]
             self._set_locations(companion.table, beside)
+
+        companions = self.companions
+        with ThreadPoolExecutor(len(companions)) as threads:
+            list(threads.map(move, companions))
         self._set_locations(S.FACT, entries)
 
     def _set_locations(self, table: str, entries: list[tuple[int, int, str | None]]) -> None:
@@ -772,7 +806,7 @@ class Warehouse:
         described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(table)}")
         locations = [described.where(F.col("col_name") == "Location").first()["data_type"]]
         if table == S.FACT:
-            beside = [c.table for c in COMPANIONS if self.spark.catalog.tableExists(self.name(c.table))]
+            beside = [c.table for c in self.companions if self.spark.catalog.tableExists(self.name(c.table))]
             for name in (table, *beside):
                 locations += partition_locations(self.spark, self.database, name)
         return {location.rstrip("/").split(f"/{table}/")[-1].split("/")[0] for location in locations}

@@ -16,6 +16,7 @@ CONTROL = "etl_control"
 # Kept with the fact, one partition for each of its partitions.
 KEYS = "fact_article_keys"
 ROLLUP = "fact_article_rollup"
+OUTLIERS = "fact_article_outliers"
 
 # Process names and states stored in the control table.
 BACKFILL_PROCESS = "articles_historical_backfill"
@@ -86,6 +87,12 @@ ROLLUP_SCHEMA = _struct(
     ("last_updated_at", _TIME),
 )
 
+OUTLIERS_SCHEMA = _struct(
+    ("article_id", _TEXT),
+    ("published_date_key", _LONG),
+    ("created_date_key", _LONG),
+)
+
 DATES_SCHEMA = _struct(
     ("date_key", _LONG),
     ("date_actual", T.DateType()),

@@ -68,7 +68,7 @@ def clone(original, tmp_path):
     """A warehouse of its own that starts from the files of ``original``; files never change."""
     spark, copy = original.spark, new_warehouse(original.spark, tmp_path, original.layout)
     spark.sql(f"create database {copy.database} location '{copy.root}'")
-    for table in (S.FACT, S.KEYS, S.ROLLUP, S.DATES, S.AUTHORS, S.CONTROL):
+    for table in (S.FACT, S.KEYS, S.ROLLUP, S.OUTLIERS, S.DATES, S.AUTHORS, S.CONTROL):
         properties = ", ".join(f"'{k}' = '{v}'" for k, v in {"cloned": "yes", **original._properties(table)}.items())
         spark.sql(
             f"create table {copy.name(table)} like {original.name(table)} using parquet "
@@ -76,7 +76,7 @@ def clone(original, tmp_path):
         )
     for period, part in original.partitions():
         spec = f"partition (created_period = {period}, key_slice = {part})"
-        for table in (S.FACT, S.KEYS, S.ROLLUP):
+        for table in (S.FACT, S.KEYS, S.ROLLUP, S.OUTLIERS):
             copy._alter(table, f"add {spec} location '{_location(original, table, spec)}'")
     return copy
 

@@ -108,10 +108,10 @@ def folders(warehouse, table=S.FACT):
 def check_companions(warehouse):
     """The tables beside the fact hold what their parts would be if made anew, and the dimension is that of the fact."""
     stored = warehouse.spark.table(warehouse.name(S.FACT))
-    for companion in storage.COMPANIONS:
+    for companion in warehouse.companions:
         beside = warehouse.spark.table(warehouse.name(companion.table))
         assert sorted_rows(companion.make(stored, *storage.PARTITION)) == sorted_rows(beside), companion.table
-        assert warehouse.partitions(companion.table) == warehouse.partitions()
+        assert warehouse.partitions(companion.table) == warehouse.partitions(), companion.table
     found, wanted = op.authors_of_rollup(warehouse.table(S.ROLLUP), NOW), op.author_dimension(warehouse.table(S.FACT), NOW)
     assert sorted_rows(found) == sorted_rows(wanted)
 
@@ -189,7 +189,7 @@ def test_the_tables_beside_the_fact_follow_it(spark, stocked):
 
 
 def test_a_warehouse_without_them_gets_them(spark, stocked):
-    for table in (S.KEYS, S.ROLLUP):
+    for table in (S.KEYS, S.ROLLUP, S.OUTLIERS):
         spark.sql(f"drop table {stocked.name(table)}")
     stocked.merge_fact(_fact(spark, article(5, datetime(2015, 6, 1), title="x")))
     check_companions(stocked)
@@ -258,6 +258,29 @@ def test_deletes_ask_for_ids_of_differing_ranges_only(spark, tmp_path):
     assert sync([]) == 179
 
 
+def test_implausible_days_are_listed_and_counted(spark, tmp_path):
+    warehouse = new_warehouse(spark, tmp_path)
+    warehouse.bootstrap()
+    days = warehouse.table(S.DATES).count()
+    far, early = datetime(9999, 12, 30), datetime(1, 3, 1)
+    rows = [article(1, DAY), article(2, DAY, published=far), article(3, early, published=DAY), article(4, far)]
+    warehouse.merge_fact(_fact(spark, *rows))
+    assert warehouse.table(S.DATES).count() == days
+    assert sorted_rows(warehouse.table(S.OUTLIERS), "article_id") == [("2",), ("3",), ("4",)]
+    assert sorted_rows(plans.outlier_days(warehouse.table(S.OUTLIERS)), "date_column", "date_key", "row_count") == [
+        ("created_date_key", 10301, 1), ("created_date_key", 99991230, 1), ("published_date_key", 99991230, 2),
+    ]
+    dates, rollup = warehouse.table(S.DATES), warehouse.table(S.ROLLUP)
+    for found in (plans.articles_per_quarter(warehouse.table(S.FACT), dates), plans.quarters_of_rollup(rollup, dates)):
+        assert sorted_rows(found, "year", "quarter", "articles") == [(2020, 1, 2), (None, None, 2)]
+    for found in (plans.weekend_share_per_author(warehouse.table(S.FACT), dates), plans.weekends_of_rollup(rollup, dates)):
+        assert sorted_rows(found, "author_id", "articles", "weekend_articles") == [(101, 4, 0)]
+    # Corrected articles leave the list, and a later day within the years widens the calendar.
+    warehouse.merge_fact(_fact(spark, article(2, DAY, published=datetime(2035, 1, 1)), article(3, DAY), article(4, DAY)))
+    assert warehouse.table(S.OUTLIERS).count() == 0 and warehouse.table(S.DATES).count() > days
+    check_companions(warehouse)
+
+
 def test_a_lookup_skips_row_groups(spark, tmp_path):
     warehouse = new_warehouse(spark, tmp_path)
     warehouse.bootstrap()
