@@ -37,10 +37,12 @@ def range_predicates(
     cuts: Sequence[tuple[datetime, datetime]],
     counted: Mapping[int, tuple[int, int, int]],
     max_rows: int,
+    bounds_of: Mapping[int, Sequence[int]] = {},
 ) -> list[str]:
     """One read per range; a range above ``max_rows`` is divided further by bounds of the id.
 
-    ``counted`` has rows, lowest and highest id of a range. Bounds of ids split rows that share one time too,
+    ``counted`` has rows, lowest and highest id of a range, ``bounds_of`` the ids that a range is divided at if it has
+    gaps; others are divided into equal widths. Bounds of ids split rows that share one time too,
     and an index on the id serves them. The first and the last read of a range are open, and a range without a count
     is still read, as rows may have arrived since the counting.
     """
@@ -50,12 +52,22 @@ def range_predicates(
         rows, lowest, highest = counted.get(index, (0, 0, 0))
         parts = max(1, min(-(-rows // max_rows), highest - lowest + 1))
         bounds = [lowest + (highest - lowest + 1) * part // parts for part in range(1, parts)]
-        lower = ["", *[f" AND id >= {bound}" for bound in bounds]]
-        upper = [*[f" AND id < {bound}" for bound in bounds], ""]
-        predicates += [within + low + high for low, high in zip(lower, upper)]
+        predicates += [" AND ".join([within, *between]) for between in id_predicates(bounds_of.get(index, bounds))]
     return predicates or ["1 = 0"]
 
 
+def id_predicates(bounds: Sequence[int]) -> list[list[str]]:
+    """Conditions of reads that are divided at ids ``bounds``; the first and the last read are open."""
+    lower = [[], *[[f"id >= {bound}"] for bound in bounds]]
+    upper = [*[[f"id < {bound}"] for bound in bounds], []]
+    return [low + high for low, high in zip(lower, upper, strict=True)]
+
+
+def has_gaps(rows: int, lowest: int, highest: int) -> bool:
+    """Whether reads of equal width could hold more than twice their share of the ids."""
+    return highest - lowest + 1 > 2 * rows
+
+
 def span_predicates(spans: Sequence[tuple[int, int]], max_rows: int) -> list[str]:
     """Reads of about ``max_rows`` ids at most that cover spans ``[first, end)``; neighbouring short spans share one."""
     predicates, held, rows = [], [], 0
@@ -72,6 +84,10 @@ def span_predicates(spans: Sequence[tuple[int, int]], max_rows: int) -> list[str
     return predicates or ["1 = 0"]
 
 
+def _range_index(column: str, start: datetime, step: timedelta) -> str:
+    return f"floor(extract(epoch FROM {column} - {sql_instant(start)}) / {step.total_seconds()})"
+
+
 class JdbcSource:
     """Articles in a database, read in parallel by ranges that the database's indexes serve.
 
@@ -108,6 +124,9 @@ class JdbcSource:
         return self.spark.read.jdbc(self.url, f"({query}) AS answer", properties=self.properties)
 
     def rows(self) -> DataFrame:
+        bounds = self.id_bounds()
+        if bounds:
+            return self._read([" AND ".join(between) for between in id_predicates(bounds)])
         options = self.id_read_options()
         frame = self.spark.read.jdbc(self.url, self.table, properties=self.properties, **options)
         return frame.select(*ARTICLES_SCHEMA.names)
@@ -142,15 +161,39 @@ class JdbcSource:
             int(row["range_index"]): (int(row["row_count"]), int(row["lowest"]), int(row["highest"]))
             for row in self._query(self.count_query(column, start, end, step)).collect()
         }
-        return self._read(range_predicates(column, ranges(start, end, step), counts, self.max_rows))
+        bounds: dict[int, list[int]] = {}
+        if any(rows > self.max_rows and has_gaps(rows, *ends) for rows, *ends in counts.values()):
+            # A row for each read, which the database finds in the order of ids.
+            for row in self._query(self.cut_query(column, start, end, step)).collect():
+                bounds.setdefault(int(row["range_index"]), []).append(int(row["id"]))
+        bounds = {index: sorted(ids) for index, ids in bounds.items() if has_gaps(*counts.get(index, (0, 0, 0)))}
+        return self._read(range_predicates(column, ranges(start, end, step), counts, self.max_rows, bounds))
 
     def count_query(self, column: str, start: datetime, end: datetime, step: timedelta) -> str:
-        elapsed = f"extract(epoch FROM {column} - {sql_instant(start)})"
         return (
-            f"SELECT floor({elapsed} / {step.total_seconds()}) AS range_index, count(*) AS row_count, "
+            f"SELECT {_range_index(column, start, step)} AS range_index, count(*) AS row_count, "
             f"min(id) AS lowest, max(id) AS highest FROM {self.table} WHERE {sql_range(column, start, end)} GROUP BY 1"
         )
 
+    def cut_query(self, column: str, start: datetime, end: datetime, step: timedelta) -> str:
+        """Of each range every ``max_rows``-th id, so that reads between them are equally deep."""
+        number = _range_index(column, start, step)
+        placed = (
+            f"SELECT {number} AS range_index, id, row_number() OVER (PARTITION BY {number} ORDER BY id) - 1 AS place "
+            f"FROM {self.table} WHERE {sql_range(column, start, end)}"
+        )
+        return f"SELECT range_index, id FROM ({placed}) AS placed WHERE place > 0 AND mod(place, {self.max_rows}) = 0"
+
+    def id_bounds(self) -> list[int]:
+        """Every ``max_rows``-th id of a table whose ids have gaps; none for others, which equal widths divide well."""
+        counted = self._query(f"SELECT count(*) AS row_count, min(id) AS lowest, max(id) AS highest FROM {self.table}").first()
+        rows = int(counted["row_count"])
+        if rows <= self.max_rows or not has_gaps(rows, int(counted["lowest"]), int(counted["highest"])):
+            return []
+        placed = f"SELECT id, row_number() OVER (ORDER BY id) - 1 AS place FROM {self.table}"
+        cuts = self._query(f"SELECT id FROM ({placed}) AS placed WHERE place > 0 AND mod(place, {self.max_rows}) = 0")
+        return sorted(int(row["id"]) for row in cuts.collect())
+
     def id_read_options(self) -> dict:
         """Partitioning by id ranges, from the bounds that the key index gives."""
         bounds = self._query(f"SELECT min(id) AS lowest, max(id) AS highest FROM {self.table}").first()

@@ -1,5 +1,6 @@
 from datetime import datetime, timedelta
 
+import duckdb
 import pytest
 from conftest import article, frame
 
@@ -92,6 +93,55 @@ def test_ids_are_read_in_ranges(spark):
     assert source.id_read_options() == {}
 
 
+class InDuckDb(JdbcSource):
+    """Runs the SQL of small queries and of reads in DuckDB, in place of a database server."""
+
+    def __init__(self, spark, connection, **options):
+        super().__init__(spark, "jdbc:postgresql://host/db", **options)
+        self.connection, self.sizes = connection, []
+
+    def _query(self, query):
+        found = self.connection.sql(query)
+        rows = [tuple(value if value is None else int(value) for value in row) for row in found.fetchall()]
+        return self.spark.createDataFrame(rows, ", ".join(f"{name} bigint" for name in found.columns))
+
+    def _read(self, predicates):
+        reads = [self.connection.sql(f"select id, created_at from articles where {p}").fetchall() for p in predicates]
+        self.sizes = [len(read) for read in reads]
+        return sorted(id for read in reads for id, _ in read)
+
+
+def test_reads_of_clustered_ids_are_equally_deep(spark):
+    connection = duckdb.connect()
+    connection.sql("set timezone = 'UTC'")
+    # Three dense clusters far apart, one with a third of the rows at one time.
+    connection.sql(
+        "create table articles as select id, timestamptz '2016-01-01 00:00:00+00' + to_hours(cast(case when id % 3 = 0 then 5 else id % 1400 end as integer)) "
+        "as created_at from (select unnest(range(1, 4000)) as id union all select unnest(range(1000000, 1003000)) "
+        "union all select unnest(range(900000000, 900005000)))"
+    )
+    source = InDuckDb(spark, connection, max_rows=500)
+    within = [id for (id,) in connection.sql("select id from articles where created_at < timestamptz '2016-03-01 00:00:00+00' order by 1").fetchall()]
+    assert source.created(START, END, 31) == within
+    assert max(source.sizes) <= 1000 and sum(source.sizes) == len(within)
+    # The last read of each of both ranges may be short.
+    assert len(source.sizes) <= len(within) / 500 + 2
+    assert source.rows() == [id for (id,) in connection.sql("select id from articles order by 1").fetchall()]
+    assert max(source.sizes) <= 1000 and min(source.sizes[:-1]) >= 250
+    # Equal widths would put most rows into a few reads.
+    counts = {0: (len(within), 1, 900004999)}
+    wide = range_predicates("created_at", [(START, END)], counts, 500)
+    assert max(connection.sql(f"select count(*) from articles where {p}").fetchall()[0][0] for p in wide) > 2000
+
+
+def test_dense_tables_need_no_second_query(spark):
+    connection = duckdb.connect()
+    connection.sql("create table articles as select unnest(range(1, 4000)) as id")
+    assert InDuckDb(spark, connection, max_rows=500).id_bounds() == []
+    connection.sql("delete from articles")
+    assert InDuckDb(spark, connection, max_rows=500).id_bounds() == []
+
+
 def test_connection_properties(spark):
     source = article_source(spark, "jdbc:postgresql://host/db", properties={"user": "reader"}, fetch_size=7)
     assert isinstance(source, JdbcSource)
