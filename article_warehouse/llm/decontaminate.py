@@ -10,15 +10,17 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from article_warehouse.llm.common import flat_bytes, pieces, text_of
+from article_warehouse.llm.common import columns_of, flat_bytes, pieces, small, stored, text_of
 from article_warehouse.llm.words import WORD_BYTE, hashed_shingles, hashed_words
 
 # Words of a shingle, and the share of an item's shingles that a document must have.
 SHINGLE, THRESHOLD = 5, 0.8
-# Bytes of items that are sent to the executors at a time; a larger benchmark takes several passes.
+# Bytes of items that are sent to all executors; the sketches of a larger benchmark are joined.
 BLOCK_BYTES = 8 << 20
+# Bits for each sketch hash of a filter that goes to all executors, and the most that it has (128 MB).
+FILTER_BITS, FILTER_MOST = 16, 1 << 30
 
 
 @dataclass(frozen=True)
@@ -116,13 +118,90 @@ def contained_items(texts: pa.Array, classes: list[SizeClass], shingles: list[tu
     return found
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[list[tuple]]:
-    """The distinct items, in blocks of about ``BLOCK_BYTES``; only one block is on the driver at a time."""
+def _items(benchmark: DataFrame) -> tuple[DataFrame, int]:
+    """The distinct items, and the bytes of their texts."""
     items = benchmark.select("item_id", text_of().alias("text")).distinct()
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    count = -(-total // BLOCK_BYTES)
-    for block in range(count):
-        yield [tuple(row) for row in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == block).collect()]
+    return items, items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+
+
+def _text_key() -> Column:
+    """128 bits of a text."""
+    return F.unhex(F.md5(text_of()))
+
+
+def _joined_matches(docs: DataFrame, items: DataFrame, threshold: float) -> DataFrame:
+    """Matches of each distinct text, by joins: text_key, item_id, n_shingles, n_shared.
+
+    Nothing that grows with the benchmark is in a task: a filter of bounded size drops most shingles of the documents, the
+    rest meet the sketches by hash, and the texts of candidate pairs are compared by exact shingles.
+    """
+    numbered = stored(items.select(F.monotonically_increasing_id().alias("item"), "item_id", "text"))
+
+    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            numbers, lengths, hashes = [], [], []
+            texts = pc.utf8_lower(batch.column(1)).to_pylist()
+            for number, text in zip(batch.column(0).to_pylist(), texts, strict=True):
+                length, found = item_shingles(text_words(text.encode()))
+                if found:
+                    (group,) = size_classes([(length, found)], threshold)
+                    hashes += group.hashes.view(np.int64).tolist()
+                    numbers += [number] * len(group.hashes)
+                    lengths += [length] * len(group.hashes)
+            columns = [pa.array(numbers, pa.int64()), pa.array(lengths, pa.int32()), pa.array(hashes, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["item", "length", "hash"])
+
+    sketches = stored(numbered.select("item", "text").mapInArrow(sketched, "item long, length int, hash long"))
+    bits = min(FILTER_MOST, 1 << max(16, (FILTER_BITS * sketches.count()).bit_length()))
+    place = F.pmod("hash", F.lit(bits))
+    # At most FILTER_MOST bits come to the driver, 4 KB in a row.
+    parts = sketches.groupBy(F.shiftright(place, 15).alias("part")).agg(F.bitmap_construct_agg(place.bitwiseAND(32767)).alias("bits"))
+    held = np.zeros(bits // 8, np.uint8)
+    for row in parts.toLocalIterator():
+        held[row.part * 4096 : (row.part + 1) * 4096] = np.frombuffer(row.bits, np.uint8)
+    shared = docs.sparkSession.sparkContext.broadcast(held.tobytes())
+    lengths = [row.length for row in sketches.select("length").distinct().collect()]
+
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.frombuffer(shared.value, np.uint8)
+        for batch in batches:
+            start = 0
+            for piece in pieces(batch.column(1)):
+                flat, offsets = flat_bytes(pc.utf8_lower(piece))
+                words, _, _, before = hashed_words(flat, offsets, WORD_BYTE)
+                for length in lengths:
+                    hashes = hashed_shingles(words, length)
+                    at = hashes.view(np.int64) & (bits - 1)
+                    hit = np.flatnonzero(held[at >> 3] >> (at & 7).astype(np.uint8) & 1)
+                    document = np.searchsorted(before, hit, "right") - 1
+                    inside = hit + length <= before[document + 1]
+                    pairs = np.unique(np.stack([document[inside], hashes[hit[inside]].view(np.int64)], axis=1), axis=0)
+                    keys = batch.column(0).slice(start, len(piece)).take(pa.array(pairs[:, 0]))
+                    yield pa.RecordBatch.from_arrays([keys, pa.array([length] * len(pairs), pa.int32()), pa.array(pairs[:, 1])], ["text_key", "length", "hash"])
+                start += len(piece)
+
+    texts = docs.select(_text_key().alias("text_key"), text_of().alias("text"))
+    met = texts.mapInArrow(likely, "text_key binary, length int, hash long")
+    candidates = stored(met.join(sketches, ["length", "hash"]).select("text_key", "item").distinct())
+    wanted = texts.join(small(candidates.select("text_key").distinct()), "text_key", "left_semi").dropDuplicates(["text_key"])
+    pairs = candidates.join(wanted, "text_key").join(numbered.withColumnRenamed("text", "item_text"), "item")
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = []
+            for text, item in zip(*(pc.utf8_lower(batch.column(i)).to_pylist() for i in (2, 3)), strict=True):
+                length, wanted = item_shingles(text_words(item.encode()))
+                listed = text_words(text.encode())
+                sizes.append((len(wanted), len(wanted & {b" ".join(listed[i : i + length]) for i in range(len(listed) - length + 1)})))
+            kept = [i for i, (n, both) in enumerate(sizes) if both >= math.ceil(threshold * n - 1e-9)]
+            counts = [pa.array([sizes[i][k] for i in kept], pa.int32()) for k in (0, 1)]
+            rest = [batch.column(i).take(pa.array(kept, pa.int64())) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*rest, *counts], ["text_key", "item_id", "n_shingles", "n_shared"])
+
+    kind = items.schema["item_id"].dataType.simpleString()
+    return pairs.select("text_key", "item_id", "text", "item_text").mapInArrow(
+        compared, f"text_key binary, item_id {kind}, n_shingles int, n_shared int"
+    )
 
 
 def _search(items: list[tuple], threshold: float):
@@ -150,19 +229,26 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     words must stand in the document as a whole; one without words, such as a null text, matches nothing.
     Equal rows of ``benchmark`` count once, rows of ``docs`` that repeat match on their own.
     """
-    spark = docs.sparkSession
-    item_type = benchmark.schema["item_id"].dataType.simpleString()
-    found = docs.select("doc_id", F.lit(None).cast(item_type).alias("item_id"), F.lit(0).alias("n_shingles"), F.lit(0).alias("n_shared")).limit(0)
-    for items in _blocks(benchmark):
-        ids = spark.createDataFrame([(i, item_id) for i, (item_id, _) in enumerate(items)], f"item int, item_id {item_type}")
-        pairs = docs.select("doc_id", F.explode(_search(items, threshold)(text_of())).alias("pair")).select("doc_id", "pair.*")
-        # As large as one block of items.
-        found = found.unionByName(pairs.join(F.broadcast(ids), "item").select("doc_id", "item_id", "n_shingles", "n_shared"))
+    items, size = _items(benchmark)
+    if size > BLOCK_BYTES:
+        matches = _joined_matches(docs, items, threshold)
+        found = docs.select("doc_id", _text_key().alias("text_key")).join(small(stored(matches)), "text_key").drop("text_key")
+    else:
+        listed = [tuple(row) for row in items.collect()]
+        item_type = items.schema["item_id"].dataType.simpleString()
+        ids = docs.sparkSession.createDataFrame([(i, item_id) for i, (item_id, _) in enumerate(listed)], f"item int, item_id {item_type}")
+        pairs = docs.select("doc_id", F.explode(_search(listed, threshold)(text_of())).alias("pair")).select("doc_id", "pair.*")
+        # As many rows as items of BLOCK_BYTES.
+        found = pairs.join(F.broadcast(ids), "item").select("doc_id", "item_id", "n_shingles", "n_shared")
     return found.withColumn("containment", F.col("n_shared") / F.col("n_shingles"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that hold no benchmark item, with all columns of ``docs``."""
-    for items in _blocks(benchmark):
-        docs = docs.where(F.size(_search(items, threshold)(text_of())) == 0)
-    return docs
+    """The documents that hold no benchmark item, with all columns of ``docs``; null and empty texts hold none, and of rows
+    that repeat all stay or all go. An empty benchmark drops nothing."""
+    items, size = _items(benchmark)
+    if size <= BLOCK_BYTES:
+        return docs.where(F.size(_search([tuple(row) for row in items.collect()], threshold)(text_of())) == 0)
+    held = stored(_joined_matches(docs, items, threshold).select("text_key").distinct())
+    rows = docs.select(F.struct(*columns_of(docs)).alias("row"), _text_key().alias("text_key"))
+    return rows.join(small(held), "text_key", "left_anti").select("row.*")

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from article_warehouse.llm import language, licenses, quality, queries, recurrent
+from article_warehouse.llm import decontaminate, language, licenses, quality, queries, recurrent
 from article_warehouse.llm.language import counted, identify, letter_stream, merged, most_frequent, own_ranks, ranked
 from article_warehouse.llm.licenses import license_scan
 from article_warehouse.llm.mixing import MOST_COPIES, mix
@@ -198,3 +198,18 @@ def test_scattered_words_are_no_license(spark):
     whole = "filler " * 3000 + " ".join(words) + " filler" * 3000
     rows = license_scan(spark.createDataFrame([(1, scattered), (2, whole)], "doc_id long, text string")).orderBy("doc_id").collect()
     assert [(row.labels, row.score) for row in rows] == [("", 0.0), ("no-reproduction", 1.0)]
+
+
+def test_a_large_benchmark_is_joined(spark, monkeypatch):
+    docs, benchmark = (spark.read.parquet(f"/root/testdata/sf0.01/{name}.parquet") for name in ("documents", "benchmark"))
+    docs = docs.unionByName(docs.where("doc_id < 200"))
+    before = sorted(map(tuple, decontaminate.contaminated(docs, benchmark).collect()))
+    kept = sorted(repr(row) for row in decontaminate.drop_contaminated(docs, benchmark).collect())
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 100)
+    assert len(before) > 5 and sorted(map(tuple, decontaminate.contaminated(docs, benchmark).collect())) == before
+    assert sorted(repr(row) for row in decontaminate.drop_contaminated(docs, benchmark).collect()) == kept
+    # A filter that is full drops nothing, and the matches stay.
+    monkeypatch.setattr(decontaminate, "FILTER_MOST", 1 << 15)
+    assert sorted(map(tuple, decontaminate.contaminated(docs, benchmark).collect())) == before
+    plan = decontaminate.contaminated(docs, benchmark)._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" not in plan
