@@ -221,5 +221,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
-    """The documents with a score of ``threshold`` or more, with all columns of ``docs``."""
+    """The documents with a score of ``threshold`` or more, with all columns of ``docs``.
+
+    A null text is scored as an empty one. Rows that repeat all stay or all go, and an empty table stays empty.
+    """
     return docs.where(quality_column(docs, fit_quality(docs, labels)) >= threshold)

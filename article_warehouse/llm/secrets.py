@@ -165,7 +165,11 @@ def secret_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 
 def secret_digest(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """Counts of the base rules, a digest of their spans and all spans as text, per document."""
+    """Counts of the base rules, a digest of their spans and all spans as text, one row per document.
+
+    Null and empty texts have no spans: counts of 0, the digest of the empty text, and empty ``spans``. Rows that repeat are
+    rows of their own, and an empty table gives none.
+    """
 
     def joined(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
