@@ -8,8 +8,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from article_warehouse.files import delete_folder
 from article_warehouse.llm.common import flat_bytes, id_remainder, new_folder, pieces, stored, text_of
 from article_warehouse.llm.words import LOWER, NOT_BLANK, Places, hashed_words, mixed
 
@@ -19,9 +20,9 @@ KNOWN = CLASSES * WORDS
 # Tokens whose counts each task has at hand, at most; the counts of the rest are joined.
 FREQUENT = 1 << 16
 # Training: tokens that a copy learns from in a round, about, windows and lanes of a step.
-STREAM_TOKENS, WINDOW, LANES, RATE = 1 << 19, 32, 64, 0.01
-# Tokens that a task holds counts of before it passes them on.
-HELD_COUNTS = 1 << 20
+STREAM_TOKENS, WINDOW, LANES, RATE = 1 << 19, 32, 128, 0.014
+# Tokens that a task holds counts of before it passes them on, and pieces of text that are added to them together.
+HELD_COUNTS, TOGETHER = 1 << 20, 16
 # Bytes of text whose documents go forward together, steps of a window, rows of the output layer at a time.
 TOGETHER_BYTES, STEPS, OUTPUT_ROWS = 12 << 20, 64, 1 << 15
 
@@ -52,18 +53,26 @@ def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of tokens, added up over a task up to ``HELD_COUNTS`` at a time."""
     keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    waiting: list[tuple[np.ndarray, np.ndarray]] = []
 
     def result() -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], ["token", "n"])
 
+    def added() -> tuple[np.ndarray, np.ndarray]:
+        parts = [(keys, counts), *waiting]
+        waiting.clear()
+        both, place = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+        return both, np.bincount(place, np.concatenate([n for _, n in parts]), len(both)).astype(np.int64)
+
     for batch in batches:
         for piece in pieces(batch.column(0)):
-            found, n = np.unique(tokens_of(piece)[0], return_counts=True)
-            both, place = np.unique(np.concatenate([keys, found]), return_inverse=True)
-            keys, counts = both, np.bincount(place, np.concatenate([counts, n])).astype(np.int64)
-            if len(keys) > HELD_COUNTS:
-                yield result()
-                keys, counts = keys[:0], counts[:0]
+            waiting.append(np.unique(tokens_of(piece)[0], return_counts=True))
+            if len(waiting) == TOGETHER or sum(len(k) for k, _ in waiting) > HELD_COUNTS:
+                keys, counts = added()
+                if len(keys) > HELD_COUNTS:
+                    yield result()
+                    keys, counts = keys[:0], counts[:0]
+    keys, counts = added()
     yield result()
 
 
@@ -82,6 +91,10 @@ class Vocabulary:
     tail_total: np.ndarray
     tail_distinct: np.ndarray
 
+    def parts(self) -> tuple:
+        """What a vocabulary is made of, for a broadcast: its class may be unknown where that is read."""
+        return self.tokens, self.counts, self.total, self.distinct, self.tail_total, self.tail_distinct
+
     def numbers(self, tokens: np.ndarray, places: Places) -> tuple[np.ndarray, np.ndarray]:
         """Input number of each token (word of the network, or tail class) and its place in the counts, -1 if not there."""
         place = places.find(tokens)
@@ -359,10 +372,10 @@ def training_streams(docs: DataFrame, vocabulary: Vocabulary) -> tuple[DataFrame
     """
     streams = max(1, round(vocabulary.total / STREAM_TOKENS))
     rounds = math.isqrt(streams)
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary.parts())
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = shared.value
+        vocabulary = Vocabulary(*shared.value)
         places = Places(vocabulary.tokens)
         for batch in batches:
             for piece in pieces(batch.column(0)):
@@ -387,7 +400,7 @@ def training_streams(docs: DataFrame, vocabulary: Vocabulary) -> tuple[DataFrame
     dealt = each.select("numbers", "hash", unit.alias("unit"), times.alias("times"))
     whole = dealt.groupBy("unit").applyInArrow(joined, "unit long, stream binary")
     kept = whole.select(F.expr(f"int(unit div {rounds})").alias("copy"), "stream", F.expr(f"int(unit % {rounds})").alias("round"))
-    return kept.repartition("round"), rounds, -(-streams // rounds)
+    return kept.repartition("round", "copy"), rounds, -(-streams // rounds)
 
 
 def fit_network(docs: DataFrame, vocabulary: Vocabulary) -> Weights:
@@ -401,10 +414,18 @@ def fit_network(docs: DataFrame, vocabulary: Vocabulary) -> Weights:
     if not len(vocabulary.tokens):
         return weights
     spark, end = docs.sparkSession, end_number(vocabulary, Places(vocabulary.tokens))
-    shapes = {name: values.shape for name, values in weights.items()}
     streams, rounds, copies = training_streams(docs, vocabulary)
     path = new_folder(spark)
-    streams.write.partitionBy("round").parquet(path)
+    try:
+        streams.write.partitionBy("round").parquet(path)
+        return _rounds(spark, path, rounds, copies, weights, end)
+    finally:
+        delete_folder(spark, path)
+
+
+def _rounds(spark: SparkSession, path: str, rounds: int, copies: int, weights: Weights, end: int) -> Weights:
+    """The weights after all rounds over the streams stored at ``path``."""
+    shapes = {name: values.shape for name, values in weights.items()}
     groups, schema = math.isqrt(copies), "part int, tokens long, weights binary"
 
     def row(part: int, tokens: int, weights: bytes) -> dict[str, pa.Array]:
@@ -478,11 +499,11 @@ def language_model_scores(docs: DataFrame) -> DataFrame:
     counts = stored(token_counts(learned))
     vocabulary, least = learned_vocabulary(counts)
     weights = fit_network(learned, vocabulary)
-    shared = docs.sparkSession.sparkContext.broadcast((weights, vocabulary))
+    shared = docs.sparkSession.sparkContext.broadcast((weights, vocabulary.parts()))
 
     @F.arrow_udf("struct<n_tokens: long, n_known: long, base: double, score: double, rest: array<long>>")
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        weights, vocabulary = shared.value
+        weights, vocabulary = shared.value[0], Vocabulary(*shared.value[1])
         places = Places(vocabulary.tokens)
         for texts in batches:
             parts = [scored_texts(part, weights, vocabulary, places) for part in pieces(texts, TOGETHER_BYTES)]
