@@ -12,7 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from article_warehouse.scratch import scratch_folder
+from article_warehouse.scratch import scratch_folder, stored
 
 # Text that one step of a Python function holds in arrays, in bytes; a longer text is held alone.
 PIECE_BYTES = 1 << 20
@@ -51,14 +51,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the shared checkpoint folder."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(scratch_folder(df.sparkSession))
-    return df.checkpoint()
-
-
 def new_folder(spark: SparkSession) -> str:
     """A folder of its own in the shared one."""
     return f"{scratch_folder(spark)}/tables/{uuid.uuid4().hex}"
