@@ -134,3 +134,41 @@ def test_test_pages_against_patterns(spark):
         blocks = [re.sub("<[^>]*>", " ", part) for part in re.split("</?p>|</?h1>", article)]
         wanted = [" ".join(html.unescape(block).split()) for block in blocks]
         assert found[row.page_id] == "\n\n".join(block for block in wanted if block)
+
+
+@pytest.mark.parametrize("own", [False, True], ids=["exact", "near"])
+def test_many_copies_in_a_row_are_compared_beyond_them(spark, own):
+    body = "<div>Site</div><p>first words of the article, which has some length</p>{}<p>second words of it, no less long</p><div>Contact</div>"
+    other = "<div>Site</div><p>something else that is only here, and so on</p><div>Contact</div>"
+    rows = [(i, f"https://h.example/x/{i:04}", body.format(f"<p>no {i}</p>" if own else "")) for i in range(700)]
+    rows += [(700, "https://h.example/y", other), (701, "https://a.example/x", other)]
+    found = texts(main_text(frame(spark, rows)))
+    for i in range(700):
+        middle = f"no {i}\n\n" if own else ""
+        assert found[i] == f"first words of the article, which has some length\n\n{middle}second words of it, no less long"
+    assert found[700] == "something else that is only here, and so on"
+    assert found[701] == "Site\n\nsomething else that is only here, and so on\n\nContact"
+
+
+def test_every_page_is_aligned_with_all_its_lines(spark):
+    rows = [(i, f"//h.example/{i}", f"<nav>n</nav><article><p>own {i}, of some length here</p><p>quoted</p></article>") for i in range(5)]
+    deleted = pages._deleted(pages._signed(frame(spark, rows))).collect()
+    assert [row.deleted for row in deleted] == [[0, 2]] * 5
+
+
+def test_copies_of_all_pairs():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    some = [
+        pages._Page(b"", "h", "", (lines := rng.integers(0, 3000, rng.integers(0, 3000)).astype(np.uint64)), (lines % 7).astype(np.int64), i)
+        for i in range(12)
+    ]
+    some += [page._replace(lines=page.lines[: k * len(page.lines) // 10], sizes=page.sizes[: k * len(page.lines) // 10]) for k, page in enumerate(some, -1) if k > 0]
+    found = pages.copies(some)
+    for i, a in enumerate(some):
+        for j, b in enumerate(some):
+            if i != j:
+                shares = [x.sizes[np.isin(x.lines, y.lines)].sum() / max(1, x.sizes.sum()) for x, y in ((a, b), (b, a))]
+                assert found[i, j] == (max(shares) >= pages.COPY)
+    assert found[np.triu_indices(len(some), 1)].any() and not found.all()
