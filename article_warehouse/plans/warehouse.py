@@ -34,6 +34,7 @@ from article_warehouse.operators.calendar import (
 )
 from article_warehouse.operators.keys import differing_ranges, id_spans, key_bitmaps, key_digests, key_range, located
 from article_warehouse.operators.merge import (
+    BROADCAST_KEYS,
     duplicate_keys,
     keep_latest,
     key_profile,
@@ -103,8 +104,9 @@ class DeleteGuardError(RuntimeError):
 
 
 PARTITION_BYTES = 4 << 30
-# Size that the tasks which write the fact aim at, as shuffled.
-FILE_BYTES = 512 << 20
+# Size that the tasks which write the fact aim at, as shuffled. They sort whole rows, which take some three times that in
+# memory; with more than a task has of it, rows are spilled and read again.
+FILE_BYTES = 128 << 20
 # Lookups by key skip row groups. The filter of a row group is the smallest of eight lengths that its keys fit, 128 KB at
 # most, which is about one false hit in a hundred for 100,000 keys.
 BLOOM = {
@@ -645,7 +647,8 @@ class Warehouse:
             rows = fact.where(_within(touched)).join(flags, [S.ARTICLE_KEY, *PARTITION], "left")
             gone = F.col("missing") & (F.col("is_deleted") == F.lit(False))
             location = self._new_folder(S.FACT)
-            self._write_fact(mark_deleted(rows, gone, as_of).select(*fact.columns), location)
+            # With few keys the rows are still as the files of their partitions hold them.
+            self._write_fact(mark_deleted(rows, gone, as_of).select(*fact.columns), location, in_files=count <= BROADCAST_KEYS)
             self._write_companions(location, touched)
             self._publish({partition: _folder(location, partition) for partition in touched}, set())
             return count
@@ -655,24 +658,29 @@ class Warehouse:
     def _write(self, rows: DataFrame, location: str) -> None:
         rows.write.mode("errorifexists").parquet(location)
 
-    def _write_fact(self, placed: DataFrame, location: str) -> None:
-        """Write fact rows with a fingerprint of what they hold now."""
+    def _write_fact(self, placed: DataFrame, location: str, in_files: bool = False) -> None:
+        """Write fact rows with a fingerprint of what they hold now.
+
+        With ``in_files`` the rows are read from files of the fact, so those of a task are of few partitions: each task
+        writes its own, and none is shuffled.
+        """
         size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
         before = self.spark.conf.get(size)
         self.spark.conf.set(size, str(self.file_bytes))
         data = [name for name in placed.columns if name not in HIDDEN]
         printed = placed.select(*data, row_fingerprint(data).alias(FINGERPRINT), *PARTITION)
         try:
-            self._write_in_partitions(printed, location, CLUSTERING, BLOOM)
+            self._write_in_partitions(printed, location, CLUSTERING, BLOOM, dealt=not in_files)
         finally:
             self.spark.conf.set(size, before)
 
     def _write_in_partitions(
-        self, placed: DataFrame, location: str, order: Iterable[str], options: Mapping[str, str] = {}
+        self, placed: DataFrame, location: str, order: Iterable[str], options: Mapping[str, str] = {}, dealt: bool = True
     ) -> None:
         # Rebalancing splits a partition with many rows over several tasks and joins small ones,
         # which a repartition by the same columns would not.
-        rows = placed.hint("rebalance", *PARTITION).sortWithinPartitions(*PARTITION, *order)
+        rows = placed.hint("rebalance", *PARTITION) if dealt else placed
+        rows = rows.sortWithinPartitions(*PARTITION, *order)
         rows.write.mode("errorifexists").options(**options).partitionBy(*PARTITION).parquet(location)
 
     def _fact_files(self, location: str, columns: list[str]) -> DataFrame:

@@ -451,3 +451,32 @@ def test_a_large_partition_is_written_by_several_tasks(spark, tmp_path):
     warehouse.merge_fact(op.transform_articles(rows))
     assert warehouse.partitions() == {(2020, 0)}
     assert len(warehouse.table(S.FACT).inputFiles()) > 3
+
+
+def test_a_delete_sync_rewrites_partitions_without_a_shuffle(spark, stocked, monkeypatch):
+    rewritten = []
+    writer = type(spark.range(1).write)
+    write = writer.parquet
+
+    def noted(self, path, *args, **options):
+        if "content" in self._df.columns:
+            rewritten.append(self._df._jdf.queryExecution().optimizedPlan().toString())
+        return write(self, path, *args, **options)
+
+    monkeypatch.setattr(writer, "parquet", noted)
+    ids = spark.createDataFrame([("1",), ("2",), ("4",)], "article_id string")
+    assert stocked.mark_missing(ids, NOW) == 1
+    monkeypatch.undo()
+    assert len(rewritten) == 1 and "Rebalance" not in rewritten[0] and "Repartition" not in rewritten[0]
+    assert sorted_rows(stocked.table(S.FACT).where("is_deleted"), "article_id", "deleted_at") == [("3", NOW)]
+    # Keys beyond a broadcast deal the rows by key, so those are dealt by partition again.
+    monkeypatch.setattr(storage, "BROADCAST_KEYS", 0)
+    monkeypatch.setattr(merge, "BROADCAST_KEYS", 0)
+    assert stocked.mark_missing(ids.where("article_id <> '4'"), NOW) == 1
+    assert sorted_rows(stocked.table(S.FACT).where("is_deleted"), "article_id") == [("3",), ("4",)]
+    assert len(stocked.table(S.FACT).inputFiles()) == len(stocked.partitions())
+
+
+def test_a_writing_task_sorts_little_enough_to_do_without_spilling(warehouse):
+    # Rows take some three times their shuffled size; four tasks share 60 % of an executor of 4 GB.
+    assert 3 * warehouse.file_bytes <= 0.6 * (4 << 30) / 4
