@@ -104,8 +104,8 @@ class DeleteGuardError(RuntimeError):
 
 
 PARTITION_BYTES = 4 << 30
-# Size that the tasks which write the fact aim at, as shuffled. They sort whole rows, which take some three times that in
-# memory; with more than a task has of it, rows are spilled and read again.
+# Size that the tasks which write the fact aim at, as shuffled. They sort whole rows, which are longer in memory; with more
+# than a task has of it, rows are spilled and read again.
 FILE_BYTES = 128 << 20
 # Lookups by key skip row groups. The filter of a row group is the smallest of eight lengths that its keys fit, 128 KB at
 # most, which is about one false hit in a hundred for 100,000 keys.

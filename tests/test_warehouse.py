@@ -478,5 +478,5 @@ def test_a_delete_sync_rewrites_partitions_without_a_shuffle(spark, stocked, mon
 
 
 def test_a_writing_task_sorts_little_enough_to_do_without_spilling(warehouse):
-    # Rows take some three times their shuffled size; four tasks share 60 % of an executor of 4 GB.
+    # Rows are estimated to take three times their shuffled size; four tasks share 60 % of an executor of 4 GB.
     assert 3 * warehouse.file_bytes <= 0.6 * (4 << 30) / 4
